@@ -6,7 +6,7 @@ import importlib
 
 from folio.plans.registry import REGISTRY, Query
 
-_MODULES = ["folio.plans.q_text"]
+_MODULES = ["folio.plans.q_text", "folio.plans.q_images"]
 
 
 def registry() -> dict[str, Query]:
