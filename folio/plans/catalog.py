@@ -6,7 +6,7 @@ import importlib
 
 from folio.plans.registry import REGISTRY, Query
 
-_MODULES = ["folio.plans.q_text", "folio.plans.q_images", "folio.plans.q_telemetry"]
+_MODULES = ["folio.plans.q_text", "folio.plans.q_images", "folio.plans.q_telemetry", "folio.plans.q_data"]
 
 
 def registry() -> dict[str, Query]:

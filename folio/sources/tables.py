@@ -62,6 +62,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 7 % 700).cast("double").alias("y1"),
         (k * 13 % 500 + s).cast("double").alias("x2"),
         (k * 7 % 700 + s).cast("double").alias("y2"),
+        F.col("p_type").alias("source_id"),
     )
 
 
