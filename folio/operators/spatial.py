@@ -6,8 +6,8 @@ average. An image is joined only with the cells within ``r`` rings of its own ce
 every block outside that square is at least ``r * cell`` away, so when ``min(k, n)``
 candidates are strictly closer than that, the top k are exact (ties included). Images
 not settled double ``r`` and go again; a square that covers the whole page grid is
-always settled. Usually one round settles every image. A page holding a third of all
-blocks is spread over many cells, so no task sees a page's full pair set.
+always settled. Usually the first round settles every image. A page holding a third of
+all blocks is spread over many cells, so no task sees a page's full pair set.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def _centres(df: DataFrame) -> DataFrame:
 
 
 def knn_blocks(images: DataFrame, texts: DataFrame, k: int = 5, per_cell: int = 16,
-               max_rounds: int = 32) -> DataFrame:
+               rings: tuple[int, ...] = (1,), materialize: bool = True) -> DataFrame:
     """Exact k nearest ``texts`` per image on the same (job_id, page), by centre distance,
     ties by text ``pos``.
 
@@ -33,7 +33,14 @@ def knn_blocks(images: DataFrame, texts: DataFrame, k: int = 5, per_cell: int =
     Returns job_id, page, image_pos, rank (1..min(k, n)), text_pos, d2 and the other text
     columns. Pages without candidate texts give no rows.
     """
+    # Both inputs are read by several branches (page statistics, cell join, leftovers);
+    # their thin projections are checkpointed once to the shared checkpoint folder so
+    # upstream work (parsing, element building) is neither repeated nor replayed after
+    # an executor loss.
     t = _centres(texts).withColumnRenamed("pos", "text_pos")
+    images = images.select(*PAGE, "pos", "x1", "y1", "x2", "y2")
+    if materialize:
+        t, images = cut_lineage(t), cut_lineage(images)
     stats = (t.groupBy(*PAGE).agg(
         F.count("*").alias("n"), F.min("cx").alias("minx"), F.max("cx").alias("maxx"),
         F.min("cy").alias("miny"), F.max("cy").alias("maxy"))
@@ -55,41 +62,49 @@ def knn_blocks(images: DataFrame, texts: DataFrame, k: int = 5, per_cell: int =
           .withColumn("kk", F.least(F.lit(k), F.col("n")))
           .select(*PAGE, "image_pos", "icx", "icy", "ix", "iy", "g", "cell", "kk"))
 
-    results = []
-    pending, r = im, 1
-    for rnd in range(max_rounds):
-        res, unresolved = _round(pending, tc, r, extra)
+    # Ring rounds (default: one ring of cells); a last round covers the whole page grid
+    # for the few images still unsettled. One plan, no driver action: the subplans
+    # shared by a round's result and its leftovers are computed once (exchange reuse).
+    results, pending = [], im
+    for r in rings:
+        res, pending = _round(pending, tc, r, extra)
         results.append(res)
-        if unresolved.isEmpty():
-            break
-        if rnd + 1 == max_rounds:
-            raise RuntimeError("knn_blocks: images left unsettled after max_rounds")
-        pending, r = cut_lineage(unresolved), r * 2
+    res, _ = _round(pending, tc, None, extra)
+    results.append(res)
     out = results[0]
     for x in results[1:]:
         out = out.unionByName(x)
     return out
 
 
-def _round(pending: DataFrame, tc: DataFrame, r: int, extra: list[str]):
-    rng = F.sequence(F.lit(-r), F.lit(r))
-    # only cells that lie on the grid
-    cells = (pending
-             .withColumn("dx", F.explode(F.filter(rng, lambda d: ((F.col("ix") + d) >= 0)
-                                                  & ((F.col("ix") + d) < F.col("g")))))
-             .withColumn("dy", F.explode(F.filter(rng, lambda d: ((F.col("iy") + d) >= 0)
-                                                  & ((F.col("iy") + d) < F.col("g")))))
-             .withColumn("tx", F.col("ix") + F.col("dx")).withColumn("ty", F.col("iy") + F.col("dy"))
-             .drop("dx", "dy"))
+def _round(pending: DataFrame, tc: DataFrame, r: int | None, extra: list[str]):
+    """One ring round; ``r=None`` covers the whole grid of the image's page."""
+    if r is None:
+        dx = F.sequence(F.lit(0), F.col("g") - 1)
+        dy = dx
+        cells = pending.withColumn("tx", F.explode(dx)).withColumn("ty", F.explode(dy))
+    else:
+        rng = F.sequence(F.lit(-r), F.lit(r))
+        # only cells that lie on the grid
+        cells = (pending
+                 .withColumn("dx", F.explode(F.filter(rng, lambda d: ((F.col("ix") + d) >= 0)
+                                                      & ((F.col("ix") + d) < F.col("g")))))
+                 .withColumn("dy", F.explode(F.filter(rng, lambda d: ((F.col("iy") + d) >= 0)
+                                                      & ((F.col("iy") + d) < F.col("g")))))
+                 .withColumn("tx", F.col("ix") + F.col("dx")).withColumn("ty", F.col("iy") + F.col("dy"))
+                 .drop("dx", "dy"))
     cand = (cells.join(tc, [*PAGE, "tx", "ty"])
             .withColumn("d2", (F.col("icx") - F.col("cx")) ** 2 + (F.col("icy") - F.col("cy")) ** 2))
-    radius2 = (F.lit(float(r)) * F.col("cell")) ** 2
+    radius2 = (F.lit(float(r or 0)) * F.col("cell")) ** 2
     w_img = Window.partitionBy(*PAGE, "image_pos")
     ranked = (cand
               .withColumn("rank", F.row_number().over(w_img.orderBy("d2", "text_pos")))
               .withColumn("n_sure", F.sum(F.when(F.col("d2") < radius2, 1).otherwise(0)).over(w_img)))
-    covers = ((F.col("ix") - r <= 0) & (F.col("ix") + r >= F.col("g") - 1)
-              & (F.col("iy") - r <= 0) & (F.col("iy") + r >= F.col("g") - 1))
+    if r is None:
+        covers = F.lit(True)
+    else:
+        covers = ((F.col("ix") - r <= 0) & (F.col("ix") + r >= F.col("g") - 1)
+                  & (F.col("iy") - r <= 0) & (F.col("iy") + r >= F.col("g") - 1))
     settled = covers | (F.col("n_sure") >= F.col("kk"))
     cols = [*PAGE, "image_pos", "rank", "text_pos", "d2", "x1", "y1", "x2", "y2", *extra]
     res = ranked.where(settled & (F.col("rank") <= F.col("kk"))).select(*cols)
@@ -112,28 +127,29 @@ def associate_nearby_text(df: DataFrame, k: int = 5, per_cell: int = 16) -> Data
     is_near = F.coalesce(md["text_metadata"]["text_type"] == "nearby_block", F.lit(False))
     box = F.coalesce(md["text_metadata"]["text_location"], md["image_metadata"]["image_location"])
 
-    def flat(cond: Column, with_text: bool):
-        sel = [F.col("job_id"), page.alias("page"), F.col("pos"),
-               box[0].alias("x1"), box[1].alias("y1"), box[2].alias("x2"), box[3].alias("y2")]
-        if with_text:
-            sel.append(md["content"].alias("text"))
-        return df.where(cond & box.isNotNull()).select(*sel)
-
-    nn = knn_blocks(flat(is_img, False), flat(is_near, True), k=k, per_cell=per_cell)
+    # one thin table of images and candidate texts, written once, feeds the search
+    thin = cut_lineage(df.where(is_img | is_near).select(
+        F.col("job_id"), page.alias("page"), F.col("pos"), is_img.alias("_img"),
+        box[0].alias("x1"), box[1].alias("y1"), box[2].alias("x2"), box[3].alias("y2"),
+        md["content"].alias("text")).where(F.col("x1").isNotNull()))
+    nn = knn_blocks(thin.where(F.col("_img")).drop("_img", "text"),
+                    thin.where(~F.col("_img")).drop("_img"), k=k, per_cell=per_cell, materialize=False)
     lists = (nn.groupBy("job_id", F.col("image_pos").alias("pos"))
                .agg(F.array_sort(F.collect_list(F.struct(
                    "rank", "text", F.array("x1", "y1", "x2", "y2").alias("bbox")))).alias("_nn")))
-    out = df.join(lists, ["job_id", "pos"], "left")
+    # only image rows take part in the join; every other row passes untouched
+    img_rows = df.where(is_img).join(lists, ["job_id", "pos"], "left")
     tl = md["content_metadata"]["hierarchy"]["nearby_objects"]["text"]
     new_text = F.struct(
         F.concat(F.coalesce(tl["content"], F.array().cast("array<string>")),
                  F.transform("_nn", lambda x: x["text"])).alias("content"),
         F.concat(F.coalesce(tl["bbox"], F.array().cast("array<array<double>>")),
                  F.transform("_nn", lambda x: x["bbox"])).alias("bbox"))
-    return (out.withColumn("metadata", F.when(
+    done = (img_rows.withColumn("metadata", F.when(
         F.col("_nn").isNotNull(),
         md.withField("content_metadata.hierarchy.nearby_objects.text", new_text)).otherwise(md))
         .drop("_nn"))
+    return done.unionByName(df.where(~is_img))
 
 
 def nearest_captions(df: DataFrame, k: int = 5, list_col: str | None = None,
