@@ -132,8 +132,9 @@ def detect_language(df: DataFrame, text_col: str = "content", fn=None, out_col:
         code = udf(F.col(text_col))
     else:
         words = F.split(F.lower(F.col(text_col)), "[^\\p{L}]+", -1)
-        scores = [F.struct(F.size(F.filter(words, lambda x, ws=ws: x.isin(*ws))).alias("n"),
-                           F.lit(lang).alias("lang"))
+        def hits(ws):
+            return F.size(F.filter(words, lambda x: x.isin(*ws)))
+        scores = [F.struct(hits(ws).alias("n"), F.lit(lang).alias("lang"))
                   for lang, ws in sorted(STOPWORDS.items())]
         best = F.reduce(F.array(*scores[1:]), scores[0],
                         lambda acc, s: F.when(s["n"] > acc["n"], s).otherwise(acc))
