@@ -38,10 +38,12 @@ def task_violations(task: Column) -> Column:
     p = task["task_properties"]
     keys = F.json_object_keys(p)
     msgs = [F.when(~t.isin(*JOB_TASK_TYPES), F.concat(F.lit("unknown task type "), task["type"]))]
+    def unknown_key(allowed):
+        return F.exists(keys, lambda k: ~k.isin(*allowed))
+
     for name, (allowed, required) in TASK_KEYS.items():
         is_t = t == name
-        msgs.append(F.when(is_t & F.exists(keys, lambda k, a=allowed: ~k.isin(*a)),
-                           F.lit(f"{name}: unknown property")))
+        msgs.append(F.when(is_t & unknown_key(allowed), F.lit(f"{name}: unknown property")))
         for r in required:
             msgs.append(F.when(is_t & _j(p, r).isNull(), F.lit(f"{name}: missing {r}")))
     sp = t == "split"
