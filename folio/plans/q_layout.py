@@ -153,15 +153,17 @@ def _raw(spark, sf_dir):
 
 
 def _norm_sql():
-    ratio = "least(1024.0 / img_h, 1024.0 / img_w)"
+    ratio = "least(CAST(1024 AS DOUBLE) / img_h, CAST(1024 AS DOUBLE) / img_w)"
     cl = "least(greatest({}, 0.0), 1.0)"
     x1 = cl.format(f"(cx - w / 2) / {ratio} / img_w")
     y1 = cl.format(f"(cy - h / 2) / {ratio} / img_h")
     x2 = cl.format(f"(cx + w / 2) / {ratio} / img_w")
     y2 = cl.format(f"(cy + h / 2) / {ratio} / img_h")
-    return f"""SELECT image_id, box_id, label, round(x1, 4) AS x1,
-  round(CASE WHEN label = 'table' THEN least(greatest(y1 - (y2 - y1) * 0.2, 0.0), 1.0) ELSE y1 END, 4) AS y1,
-  round(x2, 4) AS x2, round(y2, 4) AS y2, round(score, 4) AS score FROM (
+    def r4(e):
+        return f"round(({e}) * 10000.0::DOUBLE) / 10000.0::DOUBLE"
+    y1r = r4("CASE WHEN label = 'table' THEN least(greatest(y1 - (y2 - y1) * 0.2, 0.0), 1.0) ELSE y1 END")
+    return f"""SELECT image_id, box_id, label, {r4('x1')} AS x1, {y1r} AS y1,
+  {r4('x2')} AS x2, {r4('y2')} AS y2, {r4('score')} AS score FROM (
   SELECT image_id, box_id, {x1} AS x1, {y1} AS y1, {x2} AS x2, {y2} AS y2, obj * list_max(cls) AS score,
          ['table', 'chart', 'title'][list_position(cls, list_max(cls))] AS label
   FROM ({RAW_SQL}) r) t WHERE score >= 0.01 AND score > 0.1"""
