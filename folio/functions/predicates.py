@@ -61,13 +61,22 @@ def is_subset(col, subset, _path: str = "$") -> Column:
             if item == "*":
                 conds.append(F.size(arr) > 0)
             elif isinstance(item, (dict, list)):
-                conds.append(F.exists(arr, lambda e, item=item: is_subset(e, item, "$")))
+                conds.append(F.exists(arr, _nested_match(item)))
             else:
-                conds.append(F.exists(arr, lambda e, item=item: _scalar_eq(e, item)))
+                conds.append(F.exists(arr, _scalar_match(item)))
         return arr.isNotNull() & _all(conds)
     return _scalar_eq(F.get_json_object(col, _path), subset)
 
 
+def _nested_match(item):
+    # one-argument lambdas only: Spark reads a second parameter as the element index
+    return lambda e: is_subset(e, item, "$")
+
+
+def _scalar_match(item):
+    return lambda e: _scalar_eq(e, item)
+
+
 def _scalar_eq(c: Column, v) -> Column:
     if isinstance(v, bool):
         return F.lower(c) == F.lit(json.dumps(v))

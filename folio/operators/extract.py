@@ -57,8 +57,13 @@ def _run_parsers(registry: dict, params: dict):
                 except Exception as e:  # noqa: BLE001 - failures become rows
                     rows.append({"job_id": job_id, "piece": -1, "kind": None, "error": f"{type(e).__name__}: {e}"})
             out = pd.DataFrame(rows, columns=["job_id", "piece", *cols, "error"])
-            for c in ("page", "block", "line", "span"):
-                out[c] = out[c].astype("Int32")
+            # explicit dtypes: all-null object columns do not convert to Arrow numbers
+            for c in ("page", "block", "line", "span", "x1", "y1", "x2", "y2"):
+                out[c] = pd.to_numeric(out[c], errors="coerce").astype("float64")
+            for c in ("job_id", "piece"):
+                out[c] = out[c].astype("int64")
+            for c in ("kind", "text", "error"):
+                out[c] = out[c].astype(object)
             yield out
     return run
 
