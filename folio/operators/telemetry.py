@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.operators.ranking import exact_median, rolling_frame  # noqa: F401
+from folio.operators.ranking import exact_median, global_position, rolling_frame  # noqa: F401
 
 
 def to_micros(ts) -> Column:
@@ -61,9 +61,16 @@ def pair_trace(events: DataFrame) -> DataFrame:
 
 def channel_latency(spans: DataFrame) -> DataFrame:
     """Queue wait before each stage: from the previous stage's exit to this entry, per
-    job in entry order (first stage: no wait)."""
-    w = Window.partitionBy("job_id").orderBy("entry_us", "pos")
-    return spans.withColumn("wait_us", F.col("entry_us") - F.lag("exit_us").over(w))
+    job in entry order (first stage: no wait).
+
+    The predecessor is found by exact position (range slices, see ``ranking``) and an
+    equi-join on (job, position - 1), so a job with a huge trace is spread over many
+    tasks instead of one window partition."""
+    g = global_position(spans, ["job_id"], ["entry_us", "pos"], "_g")
+    prev = g.select("job_id", (F.col("_g") + 1).alias("_g"), F.col("exit_us").alias("_prev_exit"))
+    return (g.join(prev, ["job_id", "_g"], "left")
+             .withColumn("wait_us", F.col("entry_us") - F.col("_prev_exit"))
+             .drop("_g", "_prev_exit"))
 
 
 def rolling_stage_stats(values: DataFrame, window: int = 100, stage_col: str = "stage",
@@ -102,12 +109,12 @@ def build_spans(spans: DataFrame) -> DataFrame:
     parent = spans.groupBy("job_id").agg(F.min("entry_us").alias("start_us"), F.max("exit_us").alias("end_us")) \
         .select("job_id", F.concat(F.lit("job::"), F.col("job_id").cast("string")).alias("span"),
                 F.lit(None).cast("string").alias("parent"), "start_us", "end_us", F.lit(0).alias("seq"))
-    w = Window.partitionBy("job_id").orderBy("entry_us", "pos")
-    child = spans.select(
+    g = global_position(spans, ["job_id"], ["entry_us", "pos"], "_g")
+    child = g.select(
         "job_id", F.concat(F.col("stage"), F.lit("::"), F.col("pos").cast("string")).alias("span"),
         F.concat(F.lit("job::"), F.col("job_id").cast("string")).alias("parent"),
         F.col("entry_us").alias("start_us"), F.col("exit_us").alias("end_us"),
-        F.row_number().over(w).alias("seq"))
+        (F.col("_g") + 1).cast("int").alias("seq"))
     return parent.unionByName(child)
 
 

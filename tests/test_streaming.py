@@ -42,3 +42,17 @@ def test_job_stream_keeps_failed_and_drops_anonymous(spark):
     _run(SJ.read_job_stream(spark, d), "jobs_in")
     got = {r.job_id: (r.cm_failed, r.response_channel) for r in spark.sql("select * from jobs_in").collect()}
     assert got == {"a": (False, "response_a"), "b": (True, "response_b")}
+
+
+def test_write_vector_stream_idempotent_batches(spark):
+    from folio.streaming.sinks import write_vector_stream
+    d = tempfile.mkdtemp(prefix="folio-vec-")
+    rows = [(i, f"t{i}", [float(i), 1.0], "{}") for i in range(7)]
+    spark.createDataFrame(rows, "pk long, text string, vector array<double>, source string") \
+        .write.mode("overwrite").parquet(d + "/in")
+    src = spark.readStream.schema("pk long, text string, vector array<double>, source string").parquet(d + "/in")
+    q = write_vector_stream(src, d + "/table", d + "/ckpt", batch_size=3)
+    q.processAllAvailable()
+    q.stop()
+    out = spark.read.parquet(d + "/table")
+    assert sorted(r.pk for r in out.collect()) == list(range(7))
