@@ -44,9 +44,9 @@ def test_manifest_and_unpack(spark):
 
 
 def test_is_subset(spark):
-    props = json.dumps({"method": "pdfium", "params": {"a": 1, "list": ["x", "y"]}})
+    props = json.dumps({"method": "native", "params": {"a": 1, "list": ["x", "y"]}})
     df = spark.createDataFrame([(props,)], "p string")
-    cases = [({"method": "pdfium"}, True), ({"method": "*"}, True), ({"method": "other"}, False),
+    cases = [({"method": "native"}, True), ({"method": "*"}, True), ({"method": "other"}, False),
              ({"params": {"a": 1}}, True), ({"params": {"list": ["y"]}}, True), ({"params": {"list": ["z"]}}, False),
              ({"missing": "*"}, True), ("*", True)]
     for subset, want in cases:
