@@ -4,8 +4,8 @@ The model call is the user's ``embed(list[str]) -> list[list[float]]``. It runs
 ``mapInPandas`` on the executors, in batches of ``batch_size`` prompts; a failing batch
 does not fail the task: its rows become ``info_message`` rows with an ``embed`` error
 (``filter`` = ``filter_errors``) and no vector. Only the rows to embed enter Python; the
-rest of the element table stays in the JVM, and the result is merged back by a join on
-the row id, so there is one Python hop per pipeline.
+rest of the element table stays in the JVM and never enters the shuffle; embedded rows
+are merged back by a join on the deterministic element id, one Python hop per pipeline.
 """
 
 from __future__ import annotations
@@ -82,20 +82,27 @@ def embed_elements(df: DataFrame, fn: EmbedFn | None = None, text: bool = True,
     # the element id is deterministic (not a partition-dependent counter), so both
     # branches of the self-join agree even when a task is recomputed
     base = df.withColumn("_rid", F.col("uuid")).withColumn("_text", src)
-    todo = base.where(F.col("_text").isNotNull()).select("_rid", "_text")
-    emb = todo.mapInPandas(_embed_partitions(fn, batch_size), "_rid string, _vec array<float>, _err string")
-    out = base.join(emb, "_rid", "left")
+    todo = base.where(F.col("_text").isNotNull())
+    emb = todo.select("_rid", "_text").mapInPandas(_embed_partitions(fn, batch_size),
+                                                   "_rid string, _vec array<float>, _err string")
+    # only embeddable rows take part in the join; the rest pass through without a shuffle
+    done = todo.join(emb, "_rid", "left")
     md = F.col("metadata")
     err = F.col("_err").isNotNull()
     info = build_struct(S.INFO_MESSAGE_METADATA, task=F.lit("embed"), status=F.lit("error"),
                         message=F.col("_err"), filter=F.lit(bool(filter_errors)))
     new_md = F.when(err, md.withField("info_message_metadata", info)).otherwise(
         md.withField("embedding", F.col("_vec")))
-    return (out.withColumn("metadata", F.when(F.col("_text").isNotNull(), new_md).otherwise(md))
-               .withColumn("document_type", F.when(err, F.lit("info_message")).otherwise(t))
-               .withColumn("_contains_embeddings", F.col("_vec").isNotNull())
-               .withColumn("_content", F.col("_text"))
-               .drop("_rid", "_text", "_vec", "_err"))
+    done = (done.withColumn("metadata", new_md)
+                .withColumn("document_type", F.when(err, F.lit("info_message")).otherwise(t))
+                .withColumn("_contains_embeddings", F.col("_vec").isNotNull())
+                .withColumn("_content", F.col("_text"))
+                .drop("_rid", "_text", "_vec", "_err"))
+    rest = (base.where(F.col("_text").isNull())
+                .withColumn("_contains_embeddings", F.lit(False))
+                .withColumn("_content", F.lit(None).cast("string"))
+                .drop("_rid", "_text"))
+    return done.unionByName(rest)
 
 
 def embed_text(df: DataFrame, fn: EmbedFn | None = None, **kw) -> DataFrame:
