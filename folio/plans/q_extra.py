@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from folio.functions.dates import parse_pdf_date, validate_iso8601
 from folio.operators import assemble, chunk, detect, responses
-from folio.plans.q_layout import DET_SQL
 from folio.plans.q_text import text_elements
 from folio.plans.registry import query
 from folio.sources import files, tables
@@ -138,17 +137,15 @@ def fragment_responses_q(spark, sf_dir):
     together (rows-only check; the greedy packing is checked against Python in tests)."""
     from folio.operators import chunk as C
     el = C.split_documents(text_elements(spark, sf_dir), "word", 60, 10, 450)
-    el = el.withColumn("job_id", F.col("job_id")).withColumn("pos", F.col("pos") * 100000 + F.col("piece"))
+    el = el.withColumn("pos", F.col("pos") * 100000 + F.col("piece"))
     fr = responses.fragment_responses(el.select("job_id", "pos", "document_type", "metadata"), size_limit=65536)
     return fr.groupBy("job_id", "fragment").agg(F.count("*").alias("n_items"), F.max("fragment_count").alias("n_frag"))
 
 
-@query("iou_nms_raw", operators=("E5", "E7"))
+@query("layout_detections", operators=("E5", "E7", "E8", "E9", "E10"))
 def layout_detections_q(spark, sf_dir):
     """The full detector post-processing chain on raw predictions (rows-only)."""
     from folio.plans.q_layout import _raw
     out = detect.layout_detections(_raw(spark, sf_dir))
     return out.select("image_id", "box_id", "label", F.round("score", 4).alias("score"))
 
-
-DET_ONLY = DET_SQL  # re-exported for tests
