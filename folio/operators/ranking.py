@@ -72,11 +72,13 @@ def rolling_frame(df: DataFrame, group_cols, order_cols, window: int, aggs: dict
         raise ValueError("block must be >= window")
     group_cols = list(group_cols)
     g = global_position(df, group_cols, order_cols, "_g", num_slices=num_slices)
-    g = g.withColumn("_b", F.floor(F.col("_g") / block))
-    own = g.withColumn("_halo", F.lit(False))
-    halo = (g.where((F.col("_g") % block) >= block - (window - 1))
-             .withColumn("_b", F.col("_b") + 1).withColumn("_halo", F.lit(True)))
-    both = own.unionByName(halo)
+    g = g.withColumn("_b0", F.floor(F.col("_g") / block))
+    # one pass emits each row for its own block and, when it is among the last
+    # window-1 rows of that block, once more as halo of the next block
+    in_halo = (F.col("_g") % block) >= block - (window - 1)
+    copies = F.when(in_halo, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = (g.withColumn("_halo", F.explode(copies))
+             .withColumn("_b", F.col("_b0") + F.col("_halo").cast("long")).drop("_b0"))
     w = Window.partitionBy(*group_cols, "_b").orderBy("_g").rowsBetween(-(window - 1), 0)
     for name, (value_col, fn) in aggs.items():
         both = both.withColumn(name, fn(F.col(value_col)).over(w))

@@ -56,3 +56,21 @@ def test_write_vector_stream_idempotent_batches(spark):
     q.stop()
     out = spark.read.parquet(d + "/table")
     assert sorted(r.pk for r in out.collect()) == list(range(7))
+
+
+def test_dedup_images_stream(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    d = tempfile.mkdtemp(prefix="folio-dedup-")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, i, "same" if i < 3 else "other", t0 + dt.timedelta(seconds=i)) for i in range(4)] + \
+           [(2, 9, "same", t0)]
+    spark.createDataFrame(rows, "job_id long, pos long, content string, ts timestamp") \
+        .write.mode("overwrite").parquet(d + "/in")
+    src = spark.readStream.schema("job_id long, pos long, content string, ts timestamp").parquet(d + "/in")
+    src = src.withColumn("metadata", F.struct(F.col("content").alias("content")))
+    _run(SS.dedup_images_stream(src, "1 hour").select("job_id", "pos"), "dedup_out")
+    got = sorted((r.job_id, r.pos) for r in spark.sql("select * from dedup_out").collect())
+    assert len(got) == 3 and (1, 3) in got and (2, 9) in got
