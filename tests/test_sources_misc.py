@@ -126,3 +126,28 @@ def test_embed_errors_become_info_rows(spark):
     assert out[0]._contains_embeddings and len(out[0].metadata.embedding) == 8
     assert out[1].document_type == "info_message" and out[1].metadata.info_message_metadata.filter
     assert metadata.project_results(embed.merge_embedded(el)).columns == ["job_id", "pos", "document_type", "metadata"]
+
+
+def test_store_objects_writes_bytes_and_output_by_type(spark):
+    import base64
+
+    from folio.sources import sinks
+    d = tempfile.mkdtemp(prefix="folio-store-")
+    payload = base64.b64encode(b"\x89PNGdata").decode()
+    el = spark.createDataFrame([(1, 0, "structured", payload, "doc a.pdf"), (1, 1, "text", "hello", "doc a.pdf")],
+                               "job_id long, pos long, document_type string, c string, src string")
+    el = el.select("job_id", "pos", "document_type", build_struct(
+        S.METADATA, content=F.col("c"),
+        source_metadata=build_struct(S.SOURCE_METADATA, source_id=F.col("src"), source_name=F.col("src")),
+        content_metadata=build_struct(S.CONTENT_METADATA, type=F.col("document_type")),
+        table_metadata=F.when(F.col("document_type") == "structured",
+                              build_struct(S.TABLE_METADATA, table_format=F.lit("image")))).alias("metadata"))
+    out = {r.pos: r for r in sinks.store_objects(el, "file://" + d, bucket="b", write=True).collect()}
+    url = out[0].metadata.table_metadata.uploaded_image_uri
+    assert url == f"file://{d}/b/doc%20a.pdf/0.png" and out[1].metadata.source_metadata.source_location is None
+    with open(f"{d}/b/doc%20a.pdf/0.png", "rb") as fh:
+        assert fh.read() == b"\x89PNGdata"
+    sinks.write_by_content_type(el, d + "/by_type")
+    back = spark.read.json(d + "/by_type").select("type", "doc_name").distinct().collect()
+    assert sorted((r.type, r.doc_name) for r in back) == [("structured", "doc_a.pdf.metadata.json"),
+                                                         ("text", "doc_a.pdf.metadata.json")]
