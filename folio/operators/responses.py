@@ -18,18 +18,22 @@ def _by_key(a, b):
     return F.when(a["_k"] < b["_k"], -1).when(a["_k"] > b["_k"], 1).otherwise(0)
 
 
-def build_responses(jobs: DataFrame, elements: DataFrame, failed_col: str = "cm_failed") -> DataFrame:
-    """One response per job: status, description, ``data`` = elements as
-    ``{document_type, metadata}`` in ``pos`` order; failed jobs carry null data.
-
-    The element list of a job is gathered with one aggregation keyed by job (partial
-    aggregation happens map-side); a job's list is what the job's response carries."""
+def build_responses(jobs: DataFrame, elements: DataFrame, failed_col: str = "cm_failed",
+                    size_limit: int = SIZE_LIMIT, overhead_bytes: int = 49) -> DataFrame:
+    """Responses per job: status, description, ``data`` = elements as
+    ``{document_type, metadata}`` in ``pos`` order, ``fragment`` / ``fragment_count``.
+    Failed jobs carry null data. A job whose result exceeds ``size_limit`` is split into
+    fragments (:func:`fragment_responses`), so no response row, and no aggregation
+    group, holds more than the size limit."""
+    fr = fragment_responses(elements, size_limit, overhead_bytes)
     keys = [c for c in ("pos", "piece") if c in elements.columns]
     order = F.struct(*[F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(c) for c in keys])
     item = F.struct(order.alias("_k"), F.col("document_type"), F.col("metadata"))
-    per_job = elements.groupBy("job_id").agg(F.array_sort(F.collect_list(item), _by_key).alias("_items"))
+    per = fr.groupBy("job_id", "fragment").agg(
+        F.array_sort(F.collect_list(item), _by_key).alias("_items"),
+        F.max("fragment_count").alias("fragment_count"))
     j = jobs.select("job_id", F.coalesce(F.col(failed_col), F.lit(False)).alias("_failed")).distinct()
-    out = j.join(per_job, "job_id", "left")
+    out = j.join(per, "job_id", "left")
     data = F.transform(F.coalesce(F.col("_items"), F.array()),
                        lambda e: F.struct(e["document_type"].alias("document_type"), e["metadata"].alias("metadata")))
     return out.select(
@@ -37,44 +41,62 @@ def build_responses(jobs: DataFrame, elements: DataFrame, failed_col: str = "cm_
         F.when(F.col("_failed"), "failed").otherwise("success").alias("status"),
         F.when(F.col("_failed"), DESC_FAILED).otherwise(DESC_OK).alias("description"),
         F.when(F.col("_failed"), F.lit(None)).otherwise(data).alias("data"),
-        F.lit(0).alias("fragment"), F.lit(1).alias("fragment_count"))
+        F.coalesce(F.col("fragment"), F.lit(0)).cast("int").alias("fragment"),
+        F.coalesce(F.col("fragment_count"), F.lit(1)).cast("int").alias("fragment_count"))
 
 
-def _assign_fragments(size_limit: int, overhead: int):
+def _greedy_fragments(size_limit: int, overhead: int):
     empty = 2 + overhead  # size of "[]"
 
+    def one_job(sizes: np.ndarray) -> np.ndarray:
+        frag = np.zeros(len(sizes), dtype=np.int64)
+        cur, f = empty, 0
+        for i, s in enumerate(sizes):
+            s = int(s) + overhead
+            if cur + s > size_limit:
+                f += 1  # the previous fragment closes (it may be empty, as in the reference)
+                cur = empty
+            frag[i] = f
+            cur += s
+        return frag
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        sizes = pdf["item_bytes"].to_numpy(dtype=np.int64) + overhead
-        total = int(pdf["item_bytes"].sum()) + max(len(pdf) - 1, 0) * 2 + 2 + overhead
+        pdf = pdf.sort_values(["job_id", "pos"], kind="stable")
+        jid = pdf["job_id"].to_numpy()
+        sizes = pdf["item_bytes"].to_numpy(dtype=np.int64)
         frag = np.zeros(len(pdf), dtype=np.int64)
-        if total > size_limit:
-            cur, f = empty, 0
-            for i, s in enumerate(sizes):
-                if cur + s > size_limit:
-                    f += 1  # the previous fragment closes (it may be empty, as in the reference)
-                    cur = empty
-                frag[i] = f
-                cur += s
-        return pd.DataFrame({"job_id": pdf["job_id"].to_numpy(), "pos": pdf["pos"].to_numpy(), "fragment": frag})
+        starts = np.flatnonzero(np.r_[True, jid[1:] != jid[:-1]]) if len(jid) else np.array([], dtype=int)
+        for s0, e0 in zip(starts, np.r_[starts[1:], len(jid)]):
+            frag[s0:e0] = one_job(sizes[s0:e0])
+        return pd.DataFrame({"job_id": jid, "pos": pdf["pos"].to_numpy(), "fragment": frag})
     return run
 
 
-def fragment_responses(elements: DataFrame, size_limit: int = SIZE_LIMIT, overhead_bytes: int = 49) -> DataFrame:
+def fragment_responses(elements: DataFrame, size_limit: int = SIZE_LIMIT, overhead_bytes: int = 49,
+                       buckets: int | None = None) -> DataFrame:
     """Greedy, order-preserving packing of a job's items into fragments when the whole
     result exceeds ``size_limit``: a new fragment starts when current + item > limit
     (an oversize first item leaves an empty first fragment). Item size = JSON bytes +
     ``overhead_bytes``. Returns elements with ``fragment`` and ``fragment_count``.
 
-    The fold is sequential per job, so it runs per job in ``applyInPandas`` on the thin
-    (job_id, pos, size) table only; the elements themselves never leave the JVM."""
+    Job totals are a JVM aggregate; only jobs over the limit go through the sequential
+    fold, on the thin (job_id, pos, size) table, many jobs per Python call (hashed
+    buckets, numpy per job). Everything else is fragment 0 of 1 without leaving the JVM."""
+    n = buckets or 4 * int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sized = elements.withColumn("item_bytes", F.length(F.to_json(F.struct("document_type", "metadata"))))
-    thin = sized.select("job_id", "pos", "item_bytes")
-    frags = thin.groupBy("job_id").applyInPandas(_assign_fragments(size_limit, overhead_bytes),
-                                                 "job_id long, pos long, fragment long")
-    out = sized.join(frags, ["job_id", "pos"])
+    totals = sized.groupBy("job_id").agg(
+        (F.sum("item_bytes") + 2 * F.count("*") + F.lit(overhead_bytes)).alias("_total"))
+    big = totals.where(F.col("_total") > size_limit).select("job_id")
+    thin = sized.join(big, "job_id", "left_semi").select("job_id", "pos", "item_bytes")
+    frags = thin.groupBy((F.abs(F.xxhash64("job_id")) % n).alias("_bucket")).applyInPandas(
+        _greedy_fragments(size_limit, overhead_bytes), "job_id long, pos long, fragment long")
     cnt = frags.groupBy("job_id").agg((F.max("fragment") + 1).alias("fragment_count"))
-    return out.join(cnt, "job_id").drop("item_bytes")
+    big_rows = (sized.join(big, "job_id", "left_semi").join(frags, ["job_id", "pos"])
+                     .join(cnt, "job_id"))
+    small_rows = (sized.join(big, "job_id", "left_anti")
+                       .withColumn("fragment", F.lit(0).cast("long"))
+                       .withColumn("fragment_count", F.lit(1).cast("long")))
+    return big_rows.unionByName(small_rows).drop("item_bytes")
 
 
 def reassemble_responses(fragments: DataFrame) -> DataFrame:
