@@ -71,9 +71,12 @@ def nearby_blocks(df: DataFrame, scope=("job_id", "page"), order_cols=("top", "l
 def caption_from_next_block(df: DataFrame, scope=("job_id",), kind_col: str = "kind") -> DataFrame:
     """Caption of an image = text of the next paragraph after it in ``pos`` order, "" at
     the end of the document."""
-    w = Window.partitionBy(*scope).orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    # walk the document backwards: the nearest following paragraph is the last one seen
+    # before this row, a growing frame that Spark evaluates incrementally (a frame that
+    # ends at "unbounded following" would be re-aggregated for every row)
+    w = Window.partitionBy(*scope).orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     para_text = F.when(F.col(kind_col) == "paragraph", F.col("text"))
-    nxt = F.first(para_text, ignorenulls=True).over(w)
+    nxt = F.last(para_text, ignorenulls=True).over(w)
     return df.withColumn("caption", F.when(F.col(kind_col) == "image", F.coalesce(nxt, F.lit(""))))
 
 
