@@ -74,3 +74,13 @@ def test_dedup_images_stream(spark):
     _run(SS.dedup_images_stream(src, "1 hour").select("job_id", "pos"), "dedup_out")
     got = sorted((r.job_id, r.pos) for r in spark.sql("select * from dedup_out").collect())
     assert len(got) == 3 and (1, 3) in got and (2, 9) in got
+
+
+def test_watch_files(spark):
+    d = tempfile.mkdtemp(prefix="folio-watch-")
+    for name in ("a.txt", "b.pdf"):
+        with open(os.path.join(d, name), "wb") as fh:
+            fh.write(name.encode())
+    _run(SJ.watch_files(spark, d, max_files=1).select("path", "length"), "watched")
+    got = sorted(os.path.basename(r.path) for r in spark.sql("select * from watched").collect())
+    assert got == ["a.txt", "b.pdf"]
