@@ -20,7 +20,9 @@ def read_job_stream(spark: SparkSession, source_dir: str, max_files_per_trigger:
 def watch_files(spark: SparkSession, directory: str, max_files: int = 1024, glob: str | None = None) -> DataFrame:
     """New files in ``directory`` as a stream of (path, modificationTime, length,
     content); ``max_files`` per micro-batch is the batch size of the watcher."""
-    r = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", max_files)
+    r = (spark.readStream.format("binaryFile")
+         .schema("path string, modificationTime timestamp, length long, content binary")
+         .option("maxFilesPerTrigger", max_files))
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(directory)
