@@ -51,12 +51,25 @@ def dedup_images_stream(images: DataFrame, watermark: str = "10 minutes", ts_col
                   .dropDuplicatesWithinWatermark(["job_id", "_h"]).drop("_h"))
 
 
-def reassemble_stream(fragments: DataFrame, timeout: str = "10 minutes") -> DataFrame:
+_UNIT_MS = {"ms": 1, "millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000}
+
+
+def _duration_ms(d) -> int:
+    """``600000`` or ``"10 minutes"`` -> milliseconds."""
+    if isinstance(d, (int, float)):
+        return int(d)
+    num, unit = d.split()
+    unit = unit.lower().rstrip("s") if unit.lower() != "ms" else "ms"
+    return int(float(num) * _UNIT_MS[unit])
+
+
+def reassemble_stream(fragments: DataFrame, timeout="10 minutes") -> DataFrame:
     """Collect fragments per job until ``fragment_count`` have arrived, then emit the job
     (status, description, number of items); jobs incomplete after ``timeout`` of
     processing time are emitted as failed."""
     out_schema = "job_id long, status string, description string, n_items long"
     state_schema = "seen array<long>, status string, description string, n_items long, count long"
+    timeout_ms = _duration_ms(timeout)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
@@ -81,7 +94,7 @@ def reassemble_stream(fragments: DataFrame, timeout: str = "10 minutes") -> Data
             yield pd.DataFrame([(key[0], status, desc, n)], columns=["job_id", "status", "description", "n_items"])
         else:
             state.update((seen, status, desc, n, cnt))
-            state.setTimeoutDuration(timeout)
+            state.setTimeoutDuration(timeout_ms)
             yield pd.DataFrame([], columns=["job_id", "status", "description", "n_items"])
 
     return fragments.select("job_id", "fragment", "fragment_count", "status", "description", "n_items") \

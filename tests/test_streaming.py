@@ -84,3 +84,19 @@ def test_watch_files(spark):
     _run(SJ.watch_files(spark, d, max_files=1).select("path", "length"), "watched")
     got = sorted(os.path.basename(r.path) for r in spark.sql("select * from watched").collect())
     assert got == ["a.txt", "b.pdf"]
+
+
+def test_reassemble_stream_emits_complete_jobs(spark):
+    d = tempfile.mkdtemp(prefix="folio-frag-")
+    rows = [(5, 1, 2, "success", "d", 3), (5, 0, 2, "success", "d0", 2), (6, 0, 2, "success", "x", 9)]
+    schema = "job_id long, fragment long, fragment_count long, status string, description string, n_items long"
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(d + "/in")
+    src = spark.readStream.schema(schema).parquet(d + "/in")
+    # available-now: a query with pending processing-time timeouts keeps running
+    # no-data batches, so it is stopped after the data at hand
+    q = (SS.reassemble_stream(src).writeStream.format("memory").queryName("reassembled")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(20)
+    q.stop()
+    got = [(r.job_id, r.status, r.description, r.n_items) for r in spark.sql("select * from reassembled").collect()]
+    assert got == [(5, "success", "d0", 5)]
