@@ -17,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints written to cut lineage are removed once their DataFrame is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
