@@ -2,22 +2,22 @@
 
 1. Each text's shingles (whole text) give ``HASHES`` minima of universal hashes and a fingerprint
    of the set. Texts with equal sets are one class from here on, whatever their number.
-2. Classes that agree in all minima of a band share a bucket. Members are compared by signature
-   with the least one of each of their buckets, and with the most alike of those by full set.
+2. Classes that agree in all minima of a band share a bucket. Each class is compared, by signature
+   and then by full set, with the least member of its buckets that it shares most buckets with.
 3. Stars give components. A bucket whose members are in one component holds no more links that
    matter. In the others, members of different components are compared with each other, in
-   blocks of bounded size, most alike pairs first; once the groups have merged, the last pass
-   compares every pair that is left.
+   blocks of bounded size: by signature, then by full set, until what a block's links have
+   joined needs no more comparing. Stars of all links give the groups.
 
 No pair is left out that shares a bucket and lies in different components, nor are all pairs of
 a group of copies ever made: within a component nothing is compared any more. At similarity 0.8,
-32 bands of 4 minima miss a pair with probability 5e-8; the signature check, which rejects pairs
-with under 70 of 128 equal minima, another with 1e-12.
+40 bands of 6 minima miss a pair with probability 5e-6; the signature check, which rejects pairs
+with under 162 of 240 equal minima, another with 2e-6.
 
 Defined cases: a text of fewer words than a shingle has its whole sequence as its one shingle; null,
 empty and blank texts have no shingles and are linked with nothing; rows that repeat an id
-are taken for one document (where their texts differ, the one with the least fingerprint
-is compared); a null id has no component and is kept; no rows give no rows; other columns are ignored.
+are grouped each by its own text, a group's id being the least in it; a null id has no
+component and is kept; no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,13 +34,14 @@ from folio.llm.shared import small_side, stage
 from folio.llm.textnum import chunks, mix, shingle_set, word_bounds, word_hashes
 
 U = np.uint64
-HASHES, BANDS = 128, 32
+HASHES, BANDS = 240, 40
 _GEN = np.random.Generator(np.random.PCG64(8191))
 _A = _GEN.integers(0, 1 << 63, HASHES, dtype=np.uint64) * U(2) + U(1)
 _B = _GEN.integers(0, 1 << 63, HASHES, dtype=np.uint64) * U(2)
-LEAST_EQUAL = 70        # of 128 minima, for pairs at similarity 0.8; scaled for other thresholds
-BLOCK = 512             # members of a bucket that are compared as one block
-HUB_PAIRS = 256         # pairs that one copy of a hub's set serves
+DEVIATIONS = 4.8        # a pair at the threshold may have so many standard deviations fewer equal minima
+BLOCK = 512             # members of a bucket that are compared as one block, by signature
+BLOCK_SHINGLES = 1 << 17  # shingles of such a block, by full set
+ID_LIST = 2_000_000     # ids that may be broadcast (16 MB); longer lists are joined by a shuffle
 SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
 
 
@@ -56,13 +57,13 @@ def shingles_of(col: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """The least value of each universal hash over the set, its upper 32 bits."""
+    """The least value of each universal hash over the set, 16 of its bits."""
     least = np.full(HASHES, np.iinfo(np.uint64).max, U)
     for lo in range(0, len(s), 1024):
         v = s[None, lo:lo + 1024] * _A[:, None]
         v += _B[:, None]
         np.minimum(least, v.min(axis=1), out=least)
-    return (least >> U(32)).astype(np.uint32)
+    return (least >> U(24)).astype(np.uint16)
 
 
 def _signature_task(k: int):
@@ -80,44 +81,54 @@ def _signature_task(k: int):
     return run
 
 
+def _signatures(col: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(-1, HASHES)
+
+
 def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = HASHES // BANDS
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, rows).astype(U)
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U), sig.shape[:2]) * U(0x9E3779B97F4A7C15)
-        for i in range(rows):
-            key = mix(key ^ (sig[:, :, i] + U(i << 40)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["bucket", "rep"])
+        for lo in range(0, batch.num_rows, 2000):
+            part = batch.slice(lo, 2000)
+            sig = _signatures(part.column(1)).reshape(-1, BANDS, rows).astype(U)
+            key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U), sig.shape[:2]) * U(0x9E3779B97F4A7C15)
+            for i in range(rows):
+                key = mix(key ^ (sig[:, :, i] + U((i + 1) << 40)))
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), part.num_rows)),
+                                              pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["bucket", "band", "rep"])
 
 
 # ---- comparing pairs ------------------------------------------------------------------------
 
 def _only(table: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows of ``table`` whose ``column`` is among the (staged, distinct) ids; only a list of checked size is broadcast."""
-    return table.join(small_side(ids.select(F.col("id").alias(column)), 500_000), column, "left_semi")
+    return table.join(small_side(ids.select(F.col("id").alias(column)), ID_LIST), column, "left_semi")
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
     return stage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "near-ids")
 
 
+def _sizes_fit(n: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of such sizes can reach the threshold."""
+    return 100 * np.minimum(n, other) >= percent * np.maximum(n, other)
+
+
 def _alike(pairs: DataFrame, classes: DataFrame, least_equal: int, percent: int) -> DataFrame:
-    """(a, b, equal) of the staged pairs whose signatures agree often enough and whose sizes allow the threshold."""
+    """The staged pairs whose signatures agree often enough and whose sizes allow the threshold."""
     side = stage(_only(classes, "rep", _ids(pairs)), "near-compared")
     a = side.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("sig_a"))
     b = side.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("sig_b"))
-    joined = pairs.join(a, "a").join(b, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b", "sig_a", "sig_b")
+    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, HASHES) for i in (2, 3))
-                equal = (x == y).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(equal, pa.int64())], names=["a", "b", "equal"]).filter(pa.array(equal >= least_equal))
+                equal = (_signatures(batch.column(4)) == _signatures(batch.column(5))).sum(axis=1)
+                fit = _sizes_fit(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
+                yield batch.select(["a", "b"]).filter(pa.array((equal >= least_equal) & fit))
 
-    return joined.mapInArrow(run, "a long, b long, equal long")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _set_task(k: int):
@@ -128,110 +139,144 @@ def _set_task(k: int):
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if not len(x) or not len(y):
+        return False
+    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _verify_task(percent: int):
-    """Rows sorted by (a, part, member): a hub's set, then the members to compare with it."""
     def run(batches):
-        hub, at = None, None
         for batch in batches:
-            a, part, b = (batch.column(i).to_pylist() for i in range(3))
-            found = []
+            good = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                s = np.frombuffer(batch.column(3)[i].as_buffer(), U)
-                if b[i] is None:
-                    hub, at = s, (a[i], part[i])
-                    continue
-                if at != (a[i], part[i]):
-                    raise ValueError(f"the set of {a[i]} is missing")
-                where = np.minimum(np.searchsorted(hub, s), len(hub) - 1)
-                common = int((hub[where] == s).sum())
-                if 100 * common >= percent * (len(hub) + len(s) - common):
-                    found.append((a[i], b[i]))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+                good[i] = _linked(*(np.frombuffer(batch.column(c)[i].as_buffer(), U) for c in (2, 3)), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return run
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold.
-
-    Only texts in a pair are read; a hub's set is copied once for every ``HUB_PAIRS`` of its
-    pairs, and each task keeps one set at a time.
-    """
-    pairs = stage(pairs.select("a", "b"), "near-pairs")
+    """The staged pairs whose full sets reach the threshold. Only texts in a pair are read."""
     sets = stage(_only(texts, "id", _ids(pairs)).mapInArrow(_set_task(k), "id long, shingles binary"), "near-sets")
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_PAIRS).cast("int").alias("parts"))
-    members = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b").join(sets.withColumnRenamed("id", "b"), "b")
-    hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(sets.withColumnRenamed("id", "a"), "a")
-    rows = members.select("a", "part", "b", "shingles").union(hubs.select("a", "part", F.lit(None).cast("long").alias("b"), "shingles"))
-    return stage(rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(_verify_task(percent), "a long, b long"), "near-links")
+    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
+    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
+    rows = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
+    return stage(rows.mapInArrow(_verify_task(percent), "a long, b long"), "near-links")
 
 
 # ---- buckets whose members are in several components ------------------------------------------
 
 def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(bucket, rep, comp) of the buckets that hold more than one component."""
-    named = members.join(comps, members.rep == comps.node, "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
+    """(bucket, band, rep, comp) of the buckets that hold more than one component."""
+    named = members.join(comps, members.rep == comps.node, "left").select("bucket", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     split = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi")).select(F.col("bucket").alias("open"))
     return named.join(split, F.col("bucket") == F.col("open"), "left_semi")
 
 
-def _pairs_at_most(open_: DataFrame, per_member: int) -> bool:
-    """Whether the open buckets have at most so many pairs across components for each member."""
-    n = open_.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-    total = n.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs")).first()
-    return total["n"] is None or total["pairs"] <= per_member * total["n"]
+def _fields(rows) -> tuple:
+    """Columns of a block: reps, components, sizes, signatures, and what else there is."""
+    v = rows.values
+    return (*(v.field(i).to_numpy() for i in range(3)), _signatures(v.field(3)), *(v.field(i) for i in range(4, v.type.num_fields)))
+
 
+def _candidates(j: int, x: tuple, y: tuple, band: int, main: int, least_equal: int, percent: int) -> np.ndarray:
+    """Members of block y that stray j of block x has to be compared with, likeliest first.
 
-def _cross_task(least_equal: int, most: int | None):
-    """Pairs of two blocks that lie in different components and have alike signatures; of each member
-    the ``most`` likeliest in each block."""
+    A pair comes up only in the first band that it shares, and two strays only once.
+    """
+    reps_x, comps_x, n_x, sig_x = x[:4]
+    reps_y, comps_y, n_y, sig_y = y[:4]
+    other = np.flatnonzero((comps_y != comps_x[j]) & ((comps_y == main) | (reps_y > reps_x[j])) & _sizes_fit(n_y, n_x[j], percent))
+    same = sig_y[other] == sig_x[j]
+    equal = same.sum(axis=1)
+    good = np.flatnonzero(equal >= least_equal)
+    shared = same[good].reshape(len(good), BANDS, HASHES // BANDS).all(axis=2)
+    good = good[shared.argmax(axis=1) == band]
+    return other[good[np.lexsort((reps_y[other[good]], -equal[good]))]]
+
+
+def _alike_task(least_equal: int, percent: int):
+    """(bucket, rep) of members that have somebody to be compared with."""
     def run(batches):
         for batch in batches:
-            out_a, out_b = [], []
             for i in range(batch.num_rows):
-                same, reps_x, comps_x, sig_x, reps_y, comps_y, sig_y = (batch.column(j)[i].as_py() for j in range(7))
-                reps_x, reps_y, comps_x, comps_y = (np.array(v, np.int64) for v in (reps_x, reps_y, comps_x, comps_y))
-                x, y = (np.frombuffer(b"".join(v), np.uint32).reshape(-1, HASHES) for v in (sig_x, sig_y))
-                for j in range(len(reps_x)):
-                    other = np.flatnonzero((comps_y != comps_x[j]) & ((reps_y > reps_x[j]) if same else True))
-                    equal = (y[other] == x[j]).sum(axis=1)
-                    other, equal = other[equal >= least_equal], equal[equal >= least_equal]
-                    if most is not None and len(other) > most:
-                        other = other[np.argsort(-equal, kind="stable")[:most]]
-                    out_a.append(np.minimum(reps_x[j], reps_y[other]))
-                    out_b.append(np.maximum(reps_x[j], reps_y[other]))
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+                bucket, band, main = (batch.column(c)[i].as_py() for c in range(3))
+                x, y = _fields(batch.column(3)[i]), _fields(batch.column(4)[i])
+                found_x, found_y = np.zeros(len(x[0]), bool), np.zeros(len(y[0]), bool)
+                for j in range(len(x[0])):
+                    other = _candidates(j, x, y, band, main, least_equal, percent)
+                    found_x[j], found_y[other] = len(other) > 0, True
+                reps = np.union1d(x[0][found_x], y[0][found_y])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(reps), bucket, np.int64)), pa.array(reps)], names=["bucket", "rep"])
 
     return run
 
 
-def _cross_pairs(open_: DataFrame, classes: DataFrame, least_equal: int, most: int | None) -> DataFrame:
-    """Candidate pairs between components, bucket by bucket, in blocks.
+def _link_task(least_equal: int, percent: int):
+    """Links (a, b) between the components of two blocks, found on full sets. What links have joined
+    within the two blocks is not compared again, so there are fewer links than members."""
+    def run(batches):
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for i in range(batch.num_rows):
+                band, main = (batch.column(c)[i].as_py() for c in (1, 2))
+                x, y = _fields(batch.column(3)[i]), _fields(batch.column(4)[i])
+                joined: dict[int, int] = {}
+
+                def root(c: int) -> int:
+                    while c in joined:
+                        c = joined[c]
+                    return c
+
+                for j in range(len(x[0])):
+                    own = np.frombuffer(x[4][j].as_buffer(), U)
+                    for k in _candidates(j, x, y, band, main, least_equal, percent).tolist():
+                        c, d = root(int(x[1][j])), root(int(y[1][k]))
+                        if c != d and _linked(own, np.frombuffer(y[4][k].as_buffer(), U), percent):
+                            joined[max(c, d)] = min(c, d)
+                            out.append((int(x[0][j]), int(y[0][k])))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
 
-    Large components of a bucket have blocks of their own and small ones share blocks, so that a block
-    is mostly of one component and is never compared with another of the same.
+    return run
+
+
+def _meet(open_: DataFrame, content: DataFrame, limit: int, task, schema: str) -> DataFrame:
+    """Let the members of each open bucket that lie in different components meet, block by block.
+
+    All but a bucket's largest component are strays: blocks of strays meet blocks of all members, so
+    that what is compared grows with a bucket's size times its strays. ``content`` has rep, weight and
+    what a comparison needs; a block's weights come to about ``limit``.
     """
-    sizes = open_.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    large = F.col("n") >= BLOCK // 2
-    small = sizes.where(~large).groupBy(F.col("bucket").alias("s_bucket")).agg(F.sum("n").alias("small"))
-    plan = sizes.join(small, F.col("bucket") == F.col("s_bucket"), "left").select(
-        F.col("bucket").alias("p_bucket"), F.col("comp").alias("p_comp"), F.when(large, F.col("comp")).otherwise(F.lit(-1)).alias("own"),
-        F.ceil(F.when(large, F.col("n")).otherwise(F.col("small")) / BLOCK).alias("blocks"))
-    placed = open_.join(plan, (F.col("bucket") == F.col("p_bucket")) & (F.col("comp") == F.col("p_comp"))).select(
-        "bucket", "own", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), "rep", "comp")
-    reps = stage(placed.select(F.col("rep").alias("id")).distinct(), "near-ids")
-    signed = placed.join(stage(_only(classes.select("rep", "signature"), "rep", reps), "near-compared"), "rep")
-    blocks = stage(signed.groupBy("bucket", "own", "block").agg(F.sort_array(F.collect_list(F.struct("rep", "comp", "signature"))).alias("m")).select(
-        "bucket", F.xxhash64("own", "block").alias("no"), F.col("m.rep").alias("reps"), F.col("m.comp").alias("comps"), F.col("m.signature").alias("sigs")), "near-blocks")
-    thin = blocks.select("bucket", "no", F.array_min("comps").alias("lo"), F.array_max("comps").alias("hi"))
-    x = thin.select("bucket", F.col("no").alias("x"), F.col("lo").alias("lo_x"), F.col("hi").alias("hi_x"))
-    y = thin.select("bucket", F.col("no").alias("y"), F.col("lo").alias("lo_y"), F.col("hi").alias("hi_y"))
-    matched = x.join(y, "bucket").where((F.col("x") <= F.col("y")) & (F.least("lo_x", "lo_y") != F.greatest("hi_x", "hi_y"))).select("bucket", "x", "y")
-    full = matched.join(blocks.select("bucket", F.col("no").alias("x"), F.col("reps").alias("reps_x"), F.col("comps").alias("comps_x"), F.col("sigs").alias("sigs_x")), ["bucket", "x"])
-    full = full.join(blocks.select("bucket", F.col("no").alias("y"), F.col("reps").alias("reps_y"), F.col("comps").alias("comps_y"), F.col("sigs").alias("sigs_y")), ["bucket", "y"])
-    rows = full.select((F.col("x") == F.col("y")).alias("same"), "reps_x", "comps_x", "sigs_x", "reps_y", "comps_y", "sigs_y")
-    return rows.mapInArrow(_cross_task(least_equal, most), "a long, b long").distinct()
+    known = open_.join(content, "rep")
+    sizes = known.groupBy("bucket", "comp").agg(F.sum("weight").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("all"))
+    plan = sizes.select(F.col("bucket").alias("p_bucket"), F.col("m.comp").alias("main"), F.ceil(F.col("all") / limit).alias("blocks"),
+                        F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("m.n")) / limit)).alias("stray_blocks"))
+    spread = F.xxhash64("rep")
+    everyone = F.struct(F.lit(False).alias("stray"), F.pmod(spread, F.col("blocks")).alias("block"))
+    strays = F.struct(F.lit(True).alias("stray"), F.pmod(spread, F.col("stray_blocks")).alias("block"))
+    fields = [c for c in content.columns if c not in ("rep", "weight")]
+    placed = known.join(plan, F.col("bucket") == F.col("p_bucket")).select(
+        "bucket", "band", "main", "rep", "comp", *fields, F.explode(F.when(F.col("comp") == F.col("main"), F.array(everyone)).otherwise(F.array(everyone, strays))).alias("at"))
+    blocks = stage(placed.groupBy("bucket", "band", "main", F.col("at.stray").alias("stray"), F.col("at.block").alias("block")).agg(
+        F.collect_list(F.struct("rep", "comp", *fields)).alias("rows")), "near-blocks")
+    x = blocks.where("stray").select("bucket", "band", "main", F.col("rows").alias("x"))
+    y = blocks.where("NOT stray").select("bucket", F.col("rows").alias("y"))
+    return x.join(y, "bucket").select("bucket", "band", "main", "x", "y").mapInArrow(task, schema)
+
+
+def _links_across(open_: DataFrame, classes: DataFrame, texts: DataFrame, k: int, least_equal: int, percent: int) -> DataFrame:
+    """The links between components that share a bucket: signatures tell who has to be compared, full
+    sets of those decide."""
+    reps = stage(open_.select(F.col("rep").alias("id")).distinct(), "near-ids")
+    signed = stage(_only(classes, "rep", reps).select("rep", F.lit(1).alias("weight"), "n_shingles", "signature"), "near-compared")
+    alike = stage(_meet(open_, signed, BLOCK, _alike_task(least_equal, percent), "bucket long, rep long").distinct(), "near-alike")
+    ids = stage(alike.select(F.col("rep").alias("id")).distinct(), "near-ids")
+    sets = stage(_only(texts, "id", ids).mapInArrow(_set_task(k), "id long, shingles binary"), "near-sets")
+    full = signed.join(sets, F.col("rep") == F.col("id")).select("rep", F.col("n_shingles").alias("weight"), "n_shingles", "signature", "shingles")
+    return stage(_meet(open_.join(alike, ["bucket", "rep"], "left_semi"), full, BLOCK_SHINGLES, _link_task(least_equal, percent), "a long, b long"), "near-links")
 
 
 # ---- the operator -----------------------------------------------------------------------------
@@ -239,40 +284,29 @@ def _cross_pairs(open_: DataFrame, classes: DataFrame, least_equal: int, most: i
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document: the least id that links reach, and whether it is
     the document's own. Linked: 100 * common shingles >= percent * all shingles of two texts."""
-    least_equal = max(1, int(HASHES * (percent / 100) - (HASHES * 0.8 - LEAST_EQUAL)))
+    share = percent / 100
+    least_equal = max(1, int(HASHES * share - DEVIATIONS * (HASHES * share * (1 - share)) ** 0.5))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stage(texts.mapInArrow(_signature_task(shingle), SIGNATURES), "near-signatures")
     worded = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    first = worded.groupBy("set_a", "set_b", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))
-    thin = signed.select("doc_id", "n_shingles", "set_a", "set_b").alias("s").join(
-        first.alias("f"), F.expr("s.doc_id IS NOT NULL AND s.set_a = f.set_a AND s.set_b = f.set_b AND s.n_shingles = f.n"), "left").select("doc_id", "n_shingles", "rep")
-    member_of = stage(thin, "near-classes")
-    leaders = first.groupBy("rep").agg(F.min(F.struct("set_a", "set_b")).alias("l")).select("rep", F.col("l.set_a").alias("l_a"), F.col("l.set_b").alias("l_b"))
-    led = worded.join(leaders, (F.col("doc_id") == F.col("rep")) & (F.col("set_a") == F.col("l_a")) & (F.col("set_b") == F.col("l_b")))
-    classes = stage(led.select("rep", "n_shingles", "signature").dropDuplicates(["rep"]), "near-reps")
-
-    banded = classes.select("rep", "signature").mapInArrow(_band_task, "bucket long, rep long")
+    classes = stage(worded.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")), "near-reps")
+    of = classes.select(F.col("set_a").alias("f_a"), F.col("set_b").alias("f_b"), F.col("n_shingles").alias("f_n"), "rep")
+    named = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(
+        of, F.expr("doc_id IS NOT NULL AND set_a = f_a AND set_b = f_b AND n_shingles = f_n"), "left")
+    member_of = stage(named.select("doc_id", "n_shingles", "rep"), "near-classes")
+
+    banded = classes.select("rep", "signature").mapInArrow(_band_task, "bucket long, band int, rep long")
     hubs = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where(F.col("hub") != F.col("last")).select(F.col("bucket").alias("h_bucket"), "hub")
-    members = stage(banded.join(hubs, F.col("bucket") == F.col("h_bucket")).select("bucket", "rep", "hub"), "near-buckets")
+    members = stage(banded.join(hubs, F.col("bucket") == F.col("h_bucket")).select("bucket", "band", "rep", "hub"), "near-buckets")
 
-    to_hub = stage(members.where(F.col("rep") != F.col("hub")).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "near-hubs")
-    best = _alike(to_hub, classes, least_equal, percent).groupBy("b").agg(F.max(F.struct("equal", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
-    tested = stage(best, "near-tested")
-    links = _confirmed(tested, texts, shingle, percent)
+    shared = members.where(F.col("rep") != F.col("hub")).groupBy("hub", "rep").agg(F.count(F.lit(1)).alias("n"))
+    nearest = shared.groupBy("rep").agg(F.min_by("hub", F.struct(-F.col("n"), F.col("hub"))).alias("a"))
+    tested = stage(nearest.select("a", F.col("rep").alias("b")), "near-tested")
+    links = _confirmed(stage(_alike(tested, classes, least_equal, percent), "near-alike"), texts, shingle, percent)
     comps = components(links)
-    for most in (1, 8, None):  # likeliest pairs first: they merge most groups; the last pass leaves none out
-        open_ = stage(_open_members(members.select("bucket", "rep"), comps), "near-open")
-        if open_.isEmpty():
-            break
-        if most == 8 and _pairs_at_most(open_, 64):
-            continue  # the last pass is small enough
-        new = stage(_cross_pairs(open_, classes, least_equal, most).join(tested, ["a", "b"], "left_anti"), "near-cross")
-        if not new.isEmpty():
-            more = _confirmed(_alike(new, classes, least_equal, percent), texts, shingle, percent)
-            if not more.isEmpty():
-                links = links.union(more)
-                comps = components(links)
-            tested = tested.union(new)
+    open_ = stage(_open_members(members, comps), "near-open")
+    if not open_.isEmpty():
+        comps = components(links.union(_links_across(open_, classes, texts, shingle, least_equal, percent)))
     found = stage(comps, "near-components")
     out = member_of.join(found, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "doc_id")
@@ -282,7 +316,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns; the others go."""
     found = stage(near_duplicates(docs, id_col, text_col, shingle, percent), "near-verdicts")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_near_gone")).distinct()
-    kept = docs.join(gone, F.col(id_col) == F.col("_near_gone"), "left_anti")
+    gone = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("_near_gone")).distinct(), "near-gone")
+    kept = docs.join(small_side(gone, ID_LIST), F.col(id_col) == F.col("_near_gone"), "left_anti")
     repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     return kept if repeated.isEmpty() else kept.where(F.col(id_col).isNull()).union(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
