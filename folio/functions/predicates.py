@@ -81,7 +81,7 @@ def _scalar_eq(c: Column, v) -> Column:
     if isinstance(v, bool):
         return F.lower(c) == F.lit(json.dumps(v))
     if isinstance(v, (int, float)):
-        return c.cast("double") == F.lit(float(v))
+        return c.try_cast("double") == F.lit(float(v))
     if v is None:
         return c.isNull()
     return c == F.lit(str(v))

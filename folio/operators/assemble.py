@@ -102,7 +102,7 @@ def render_markdown_text(df: DataFrame, single_style: bool = True, escape: bool
     """Runs table (text, bold, italic, underline [, url]) -> ``markdown``.
 
     ``single_style`` (slides): italic wins, else bold, else underline; otherwise (word
-    processing) all flags apply. A run with a URL becomes ``[text](url)``."""
+    processing) all flags apply. A run with a URL becomes ``[text](url)``, styled as a whole."""
     t = escape_markdown(F.col("text")) if escape else F.col("text")
     b, i, u = F.col("bold"), F.col("italic"), F.col("underline")
     if single_style:
@@ -110,11 +110,9 @@ def render_markdown_text(df: DataFrame, single_style: bool = True, escape: bool
         b = ~i2 & F.coalesce(b, F.lit(False))
         u = ~i2 & ~b & F.coalesce(u, F.lit(False))
         i = i2
-    styled = format_text(t, b, i, u)
     if "url" in df.columns:
-        styled = F.when(F.col("url").isNotNull(), F.concat(F.lit("["), styled, F.lit("]("), F.col("url"), F.lit(")"))) \
-            .otherwise(styled)
-    return df.withColumn("markdown", styled)
+        t = F.when(F.col("url").isNotNull(), F.concat(F.lit("["), t, F.lit("]("), F.col("url"), F.lit(")"))).otherwise(t)
+    return df.withColumn("markdown", format_text(t, b, i, u))
 
 
 def merge_styled_runs(df: DataFrame, scope=("job_id", "paragraph")) -> DataFrame:
@@ -163,6 +161,7 @@ def render_table(cells: DataFrame, fmt: str = "markdown", scope=("job_id", "tabl
     whitespace and of dashes collapsed; csv: header with a leading empty index column,
     data rows prefixed with their 0-based index, fields quoted when needed."""
     scope = list(scope)
+    cells = cells.withColumn("text", F.coalesce("text", F.lit("")))  # an empty cell keeps its column
     if fmt not in ("markdown", "markdown_light", "csv"):
         raise ValueError("fmt must be markdown, markdown_light or csv")
     if fmt == "csv":

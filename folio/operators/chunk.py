@@ -44,6 +44,7 @@ def split_documents(df: DataFrame, split_by: str = "word", split_length: int = 6
     Each piece becomes a text element with ``metadata.content`` = piece (plus
     ``window``/``original_text`` when ``sentence_window_size`` > 0), a fresh
     deterministic ``uuid`` and ``piece`` = its index (rows order by ``pos, piece``).
+    The document's own text isn't copied beside its pieces: a raw ``content`` column is null there.
     Whitespace-only pieces are skipped but still count as window neighbours. A text
     row with null content becomes an error row (the reference fails the job).
     """
@@ -59,9 +60,17 @@ def split_documents(df: DataFrame, split_by: str = "word", split_length: int = 6
     else:
         items = F.transform(pieces, lambda p: F.struct(p.alias("p"), F.lit(None).cast("string").alias("w")))
     passthrough = F.array(F.struct(F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("w")))
-    exploded = df.select("*", F.posexplode(F.when(is_text, items).otherwise(passthrough)).alias("piece", "_it"))
-    keep_row = ~is_text | F.col("_it.p").rlike(NON_BLANK)
+    # what is copied to every piece: the row without the document's own text
     md = F.col("metadata")
+    bare = {"metadata": F.when(is_text, md.withField("content", F.lit(None).cast("string"))).otherwise(md)}
+    if "content" in df.columns:
+        bare["content"] = F.when(~is_text, F.col("content"))
+    null_text = F.coalesce(F.col("document_type") == "text", F.lit(False)) & content.isNull()
+    lean = df.select(*[bare[c].alias(c) if c in bare else F.col(c) for c in df.columns], is_text.alias("_split"), null_text.alias("_null"),
+                     F.when(is_text, items).otherwise(passthrough).alias("_items"))
+    exploded = lean.select(*df.columns, "_split", "_null", F.posexplode("_items").alias("piece", "_it"))
+    is_text = F.col("_split")
+    keep_row = ~is_text | F.col("_it.p").rlike(NON_BLANK)
     new_md = md.withField("content", F.col("_it.p"))
     if w > 0:
         new_md = new_md.withField("window", F.col("_it.w")).withField("original_text", F.col("_it.p"))
@@ -71,10 +80,9 @@ def split_documents(df: DataFrame, split_by: str = "word", split_length: int = 6
            .withColumn("uuid", F.when(is_text, new_uuid(*uuid_cols)).otherwise(F.col("uuid")) if "uuid" in df.columns
                        else new_uuid(*uuid_cols))
            .withColumn("piece", F.when(is_text, F.col("piece")).otherwise(F.lit(None)).cast("int"))
-           .drop("_it"))
-    null_text = F.coalesce(F.col("document_type") == "text", F.lit(False)) & content.isNull()
+           .drop("_it", "_split"))
     from folio.operators.metadata import tag_error  # local import: avoid cycle at module load
-    return tag_error(out, null_text, "DocumentSplitter needs text content; got null", task="split")
+    return tag_error(out, F.col("_null"), "DocumentSplitter needs text content; got null", task="split").drop("_null")
 
 
 def count_words(text) -> Column:

@@ -1,7 +1,7 @@
-"""Duplicate images: first row (by ``pos``) of each content hash wins inside a scope.
+"""Duplicate images: first row (by ``pos``, then job) of each content hash wins inside a scope.
 
 Plan: hash the content in place (narrow), aggregate the *thin* key table
-``(scope, hash) -> min(pos)`` (partial aggregation before the shuffle, so one image
+``(scope, hash) -> min(pos, job)`` (partial aggregation before the shuffle, so one image
 repeated in a third of all rows still costs one row per map task), and join it back to
 the image rows only. AQE's skew join splits a hot hash on the big side. Non-image rows
 never enter a shuffle: they are unioned back untouched.
@@ -37,9 +37,11 @@ def dedup_images(df: DataFrame, drop: bool = False, scope=("job_id",), algorithm
     scope = list(scope)
     is_img = F.coalesce(F.col("document_type") == content_type, F.lit(False))
     imgs = df.where(is_img).withColumn("_h", content_hash(F.col("metadata.content"), algorithm))
-    firsts = imgs.groupBy(*scope, "_h").agg(F.min("pos").alias("_first_pos"))
+    # pos orders rows inside a job only: across jobs the job decides between equal positions
+    place = F.struct(*[F.col(c).alias(c) for c in ("pos", "job_id") if c in df.columns and c not in scope])
+    firsts = imgs.groupBy(*scope, "_h").agg(F.min(place).alias("_first_pos"))
     joined = imgs.join(firsts, on=[*scope, "_h"], how="inner")
-    dup = F.col("pos") != F.col("_first_pos")
+    dup = place != F.col("_first_pos")
     if drop:
         kept = joined.where(~dup)
     else:

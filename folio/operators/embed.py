@@ -1,11 +1,10 @@
 """Embedding of text and table rows with a user-given function, in Arrow batches.
 
 The model call is the user's ``embed(list[str]) -> list[list[float]]``. It runs inside
-``mapInPandas`` on the executors, in batches of ``batch_size`` prompts; a failing batch
+a pandas UDF on the executors, in batches of ``batch_size`` prompts; a failing batch
 does not fail the task: its rows become ``info_message`` rows with an ``embed`` error
-(``filter`` = ``filter_errors``) and no vector. Only the rows to embed enter Python; the
-rest of the element table stays in the JVM and never enters the shuffle; embedded rows
-are merged back by a join on the deterministic element id, one Python hop per pipeline.
+(``filter`` = ``filter_errors``) and no vector. Only the text column enters Python; vectors come back
+beside their rows, so nothing is joined or shuffled: one Python hop per pipeline.
 """
 
 from __future__ import annotations
@@ -46,23 +45,25 @@ def batch_prompts(items: list, batch_size: int = 100) -> list[list]:
     return [items[i:i + batch_size] for i in range(0, len(items), batch_size)]
 
 
-def _embed_partitions(fn: EmbedFn, batch_size: int):
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            texts = pdf["_text"].tolist()
-            vecs, errs = [], []
-            for b in batch_prompts(texts, batch_size):
+def _embed_column(fn: EmbedFn, batch_size: int):
+    """Vector and error of every text, batch by batch; a null text has neither."""
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            vecs: list = [None] * len(texts)
+            errs: list = [None] * len(texts)
+            there = [i for i, t in enumerate(texts) if t is not None]
+            for rows in batch_prompts(there, batch_size):
                 try:
-                    got = fn(b)
-                    if len(got) != len(b):
-                        raise ValueError(f"embedder returned {len(got)} vectors for {len(b)} prompts")
-                    vecs.extend([list(map(float, v)) for v in got])
-                    errs.extend([None] * len(b))
+                    out = fn([texts.iloc[i] for i in rows])
+                    if len(out) != len(rows):
+                        raise ValueError(f"{len(out)} vectors for {len(rows)} texts")
+                    for i, v in zip(rows, out):
+                        vecs[i] = [float(x) for x in v]
                 except Exception as e:  # noqa: BLE001 - a failed batch becomes data
-                    vecs.extend([None] * len(b))
-                    errs.extend([f"{type(e).__name__}: {e}"] * len(b))
-            yield pd.DataFrame({"_rid": pdf["_rid"], "_vec": vecs, "_err": errs})
-    return run
+                    for i in rows:
+                        errs[i] = f"{type(e).__name__}: {e}"
+            yield pd.DataFrame({"vec": pd.Series(vecs, dtype=object), "err": pd.Series(errs, dtype=object)})
+    return F.pandas_udf(run, "vec array<float>, err string")
 
 
 def embed_elements(df: DataFrame, fn: EmbedFn | None = None, text: bool = True, tables: bool = True,
@@ -79,30 +80,18 @@ def embed_elements(df: DataFrame, fn: EmbedFn | None = None, text: bool = True,
     if text:
         src = F.when((t == "text") & F.coalesce(F.col("metadata.content") != "", F.lit(False)),
                      F.col("metadata.content")).otherwise(src)
-    # the element id is deterministic (not a partition-dependent counter), so both
-    # branches of the self-join agree even when a task is recomputed
-    base = df.withColumn("_rid", F.col("uuid")).withColumn("_text", src)
-    todo = base.where(F.col("_text").isNotNull())
-    emb = todo.select("_rid", "_text").mapInPandas(_embed_partitions(fn, batch_size),
-                                                   "_rid string, _vec array<float>, _err string")
-    # only embeddable rows take part in the join; the rest pass through without a shuffle
-    done = todo.join(emb, "_rid", "left")
-    md = F.col("metadata")
-    err = F.col("_err").isNotNull()
+    # one column goes to Python and back beside its row: no join, no shuffle, no id to agree on
+    done = df.withColumn("_text", src).withColumn("_e", _embed_column(fn, batch_size)(F.col("_text")))
+    md, err = F.col("metadata"), F.col("_e.err").isNotNull()
     info = build_struct(S.INFO_MESSAGE_METADATA, task=F.lit("embed"), status=F.lit("error"),
-                        message=F.col("_err"), filter=F.lit(bool(filter_errors)))
-    new_md = F.when(err, md.withField("info_message_metadata", info)).otherwise(
-        md.withField("embedding", F.col("_vec")))
-    done = (done.withColumn("metadata", new_md)
+                        message=F.col("_e.err"), filter=F.lit(bool(filter_errors)))
+    new_md = F.when(F.col("_text").isNull(), md).when(err, md.withField("info_message_metadata", info)).otherwise(
+        md.withField("embedding", F.col("_e.vec")))
+    return (done.withColumn("metadata", new_md)
                 .withColumn("document_type", F.when(err, F.lit("info_message")).otherwise(t))
-                .withColumn("_contains_embeddings", F.col("_vec").isNotNull())
+                .withColumn("_contains_embeddings", F.col("_e.vec").isNotNull())
                 .withColumn("_content", F.col("_text"))
-                .drop("_rid", "_text", "_vec", "_err"))
-    rest = (base.where(F.col("_text").isNull())
-                .withColumn("_contains_embeddings", F.lit(False))
-                .withColumn("_content", F.lit(None).cast("string"))
-                .drop("_rid", "_text"))
-    return done.unionByName(rest)
+                .drop("_text", "_e"))
 
 
 def embed_text(df: DataFrame, fn: EmbedFn | None = None, **kw) -> DataFrame:

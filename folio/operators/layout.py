@@ -75,5 +75,5 @@ def layout_elements(df: DataFrame, text_col: str = "raw", offset_x_col: str = "p
     oy = F.col(offset_y_col) if offset_y_col in df.columns else F.lit(0)
     bb = reverse_transform_bbox(F.array("x1", "y1", "x2", "y2"), ox, oy, width, height)
     return (t.withColumn("bbox", bb)
-             .withColumn("text", F.when(F.col("kind") == "text", markdown_to_plain(F.col("text")))
+             .withColumn("text", F.when(F.col("kind") == "text", markdown_to_plain(F.replace(F.col("text"), F.lit("<tbc>"), F.lit(""))))
                          .otherwise(F.col("text"))))

@@ -146,7 +146,7 @@ def _source(df: DataFrame) -> Column:
 def _element(df: DataFrame, doc_type: str, metadata: Column) -> DataFrame:
     keep = [c for c in ("job_id", "pos") if _has(df, c)]
     return df.select(*keep, F.lit(doc_type).alias("document_type"), metadata.alias("metadata"),
-                     new_uuid(*[F.col(c) for c in keep] or [F.lit(doc_type)]).alias("uuid"))
+                     new_uuid(*[F.col(c) for c in keep], F.lit(doc_type)).alias("uuid"))
 
 
 def build_text_elements(df: DataFrame, text_col: str = "text") -> DataFrame:

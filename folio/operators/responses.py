@@ -18,6 +18,11 @@ def _by_key(a, b):
     return F.when(a["_k"] < b["_k"], -1).when(a["_k"] > b["_k"], 1).otherwise(0)
 
 
+def _keys(elements: DataFrame) -> list:
+    """What orders a job's items: position and piece, -1 where there is none."""
+    return [F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(f"_{c}") if c in elements.columns else F.lit(-1).cast("long").alias(f"_{c}") for c in ("pos", "piece")]
+
+
 def build_responses(jobs: DataFrame, elements: DataFrame, failed_col: str = "cm_failed",
                     size_limit: int = SIZE_LIMIT, overhead_bytes: int = 49) -> DataFrame:
     """Responses per job: status, description, ``data`` = elements as
@@ -26,12 +31,15 @@ def build_responses(jobs: DataFrame, elements: DataFrame, failed_col: str = "cm_
     fragments (:func:`fragment_responses`), so no response row, and no aggregation
     group, holds more than the size limit."""
     fr = fragment_responses(elements, size_limit, overhead_bytes)
-    keys = [c for c in ("pos", "piece") if c in elements.columns]
-    order = F.struct(*[F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(c) for c in keys])
+    order = F.struct(*_keys(elements))
     item = F.struct(order.alias("_k"), F.col("document_type"), F.col("metadata"))
     per = fr.groupBy("job_id", "fragment").agg(
         F.array_sort(F.collect_list(item), _by_key).alias("_items"),
         F.max("fragment_count").alias("fragment_count"))
+    # a fragment can be empty: every number up to the count has its row
+    counts = per.groupBy("job_id").agg(F.max("fragment_count").alias("fragment_count"))
+    numbers = counts.select("job_id", "fragment_count", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fragment_count") - 1)).alias("fragment"))
+    per = numbers.join(per.drop("fragment_count"), ["job_id", "fragment"], "left")
     j = jobs.select("job_id", F.coalesce(F.col(failed_col), F.lit(False)).alias("_failed")).distinct()
     out = j.join(per, "job_id", "left")
     data = F.transform(F.coalesce(F.col("_items"), F.array()),
@@ -61,14 +69,14 @@ def _greedy_fragments(size_limit: int, overhead: int):
         return frag
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["job_id", "pos"], kind="stable")
+        pdf = pdf.sort_values(["job_id", "_pos", "_piece"], kind="stable")
         jid = pdf["job_id"].to_numpy()
         sizes = pdf["item_bytes"].to_numpy(dtype=np.int64)
         frag = np.zeros(len(pdf), dtype=np.int64)
         starts = np.flatnonzero(np.r_[True, jid[1:] != jid[:-1]]) if len(jid) else np.array([], dtype=int)
         for s0, e0 in zip(starts, np.r_[starts[1:], len(jid)]):
             frag[s0:e0] = one_job(sizes[s0:e0])
-        return pd.DataFrame({"job_id": jid, "pos": pdf["pos"].to_numpy(), "fragment": frag})
+        return pd.DataFrame({"job_id": jid, "_pos": pdf["_pos"].to_numpy(), "_piece": pdf["_piece"].to_numpy(), "fragment": frag})
     return run
 
 
@@ -83,27 +91,28 @@ def fragment_responses(elements: DataFrame, size_limit: int = SIZE_LIMIT, overhe
     fold, on the thin (job_id, pos, size) table, many jobs per Python call (hashed
     buckets, numpy per job). Everything else is fragment 0 of 1 without leaving the JVM."""
     n = buckets or 4 * int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = elements.withColumn("item_bytes", F.length(F.to_json(F.struct("document_type", "metadata"))))
+    sized = elements.select("*", *_keys(elements)).withColumn("item_bytes", F.octet_length(F.to_json(F.struct("document_type", "metadata"))))
     totals = sized.groupBy("job_id").agg(
         (F.sum("item_bytes") + 2 * F.count("*") + F.lit(overhead_bytes)).alias("_total"))
     big = totals.where(F.col("_total") > size_limit).select("job_id")
-    thin = sized.join(big, "job_id", "left_semi").select("job_id", "pos", "item_bytes")
+    thin = sized.join(big, "job_id", "left_semi").select("job_id", "_pos", "_piece", "item_bytes")
     frags = thin.groupBy((F.abs(F.xxhash64("job_id")) % n).alias("_bucket")).applyInPandas(
-        _greedy_fragments(size_limit, overhead_bytes), "job_id long, pos long, fragment long")
+        _greedy_fragments(size_limit, overhead_bytes),
+        f"job_id {elements.schema['job_id'].dataType.simpleString()}, _pos long, _piece long, fragment long")
     cnt = frags.groupBy("job_id").agg((F.max("fragment") + 1).alias("fragment_count"))
-    big_rows = (sized.join(big, "job_id", "left_semi").join(frags, ["job_id", "pos"])
+    big_rows = (sized.join(big, "job_id", "left_semi").join(frags, ["job_id", "_pos", "_piece"])
                      .join(cnt, "job_id"))
     small_rows = (sized.join(big, "job_id", "left_anti")
                        .withColumn("fragment", F.lit(0).cast("long"))
                        .withColumn("fragment_count", F.lit(1).cast("long")))
-    return big_rows.unionByName(small_rows).drop("item_bytes")
+    return big_rows.unionByName(small_rows).drop("item_bytes", "_pos", "_piece")
 
 
 def reassemble_responses(fragments: DataFrame) -> DataFrame:
     """Complete jobs only (fragments seen = fragment_count): data concatenated in
     fragment order; status / description from fragment 0. Annotations are not kept."""
     g = fragments.groupBy("job_id").agg(
-        F.count("*").alias("_seen"), F.max("fragment_count").alias("_count"),
+        F.countDistinct("fragment").alias("_seen"), F.max("fragment_count").alias("_count"),
         F.array_sort(F.collect_list(F.struct(F.struct("fragment").alias("_k"), "status", "description", "data")),
                      _by_key).alias("_f"))
     done = g.where(F.col("_seen") == F.col("_count"))
@@ -112,8 +121,3 @@ def reassemble_responses(fragments: DataFrame) -> DataFrame:
         F.flatten(F.transform("_f", lambda x: F.coalesce(x["data"], F.array().cast(
             fragments.schema["data"].dataType)))).alias("data"))
 
-
-def project_items(df: DataFrame) -> DataFrame:
-    """Keep only document_type and metadata (scope columns too, if present)."""
-    keep = [c for c in ("job_id", "pos") if c in df.columns]
-    return df.select(*keep, "document_type", "metadata")

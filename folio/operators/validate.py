@@ -50,17 +50,17 @@ def task_violations(task: Column) -> Column:
     msgs += [
         F.when(sp & ~F.coalesce(_j(p, "split_by").isin("word", "sentence", "passage"), F.lit(False)),
                F.lit("split: split_by must be word, sentence or passage")),
-        F.when(sp & ~F.coalesce(_j(p, "split_length").cast("int") > 0, F.lit(False)),
+        F.when(sp & ~F.coalesce(_j(p, "split_length").try_cast("int") > 0, F.lit(False)),
                F.lit("split: split_length must be > 0")),
-        F.when(sp & ~F.coalesce(_j(p, "split_overlap").cast("int") >= 0, F.lit(False)),
+        F.when(sp & ~F.coalesce(_j(p, "split_overlap").try_cast("int") >= 0, F.lit(False)),
                F.lit("split: split_overlap must be >= 0")),
-        F.when(sp & (_j(p, "split_overlap").cast("int") >= _j(p, "split_length").cast("int")),
+        F.when(sp & (_j(p, "split_overlap").try_cast("int") >= _j(p, "split_length").try_cast("int")),
                F.lit("split: split_overlap must be < split_length")),
-        F.when(sp & (_j(p, "max_character_length").cast("int") <= 0),
+        F.when(sp & (_j(p, "max_character_length").try_cast("int") <= 0),
                F.lit("split: max_character_length must be > 0")),
-        F.when(sp & (_j(p, "sentence_window_size").cast("int") < 0),
+        F.when(sp & (_j(p, "sentence_window_size").try_cast("int") < 0),
                F.lit("split: sentence_window_size must be >= 0")),
-        F.when(sp & (_j(p, "sentence_window_size").cast("int") > 0) & (_j(p, "split_by") != "sentence"),
+        F.when(sp & (_j(p, "sentence_window_size").try_cast("int") > 0) & (_j(p, "split_by") != "sentence"),
                F.lit("split: sentence_window_size needs split_by sentence")),
         F.when((t == "extract") & ~F.coalesce(F.lower(_j(p, "document_type")).isin(*EXTRACT_DOCUMENT_TYPES),
                                               F.lit(False)),

@@ -125,6 +125,8 @@ def to_vector_rows(df: DataFrame, drop_filtered: bool = True) -> DataFrame:
     has = F.col("_contains_embeddings") if "_contains_embeddings" in df.columns else \
         F.col("metadata.embedding").isNotNull()
     keep = [c for c in ("job_id", "pos", "piece") if c in df.columns]
+    # the text that was embedded: a table's content is its image
+    text = F.coalesce(F.col("_content"), F.col("metadata.content")) if "_content" in df.columns else F.col("metadata.content")
     return d.where(F.coalesce(has, F.lit(False))).select(
-        *keep, F.col("metadata.embedding").alias("vector"), F.col("metadata.content").alias("text"),
+        *keep, F.col("metadata.embedding").alias("vector"), text.alias("text"),
         F.to_json(F.col("metadata.source_metadata")).alias("source"))

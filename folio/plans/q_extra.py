@@ -137,8 +137,7 @@ def fragment_responses_q(spark, sf_dir):
     together (rows-only check; the greedy packing is checked against Python in tests)."""
     from folio.operators import chunk as C
     el = C.split_documents(text_elements(spark, sf_dir), "word", 60, 10, 450)
-    el = el.withColumn("pos", F.col("pos") * 100000 + F.col("piece"))
-    fr = responses.fragment_responses(el.select("job_id", "pos", "document_type", "metadata"), size_limit=65536)
+    fr = responses.fragment_responses(el.select("job_id", "pos", "piece", "document_type", "metadata"), size_limit=65536)
     return fr.groupBy("job_id", "fragment").agg(F.count("*").alias("n_items"), F.max("fragment_count").alias("n_frag"))
 
 

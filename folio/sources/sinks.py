@@ -29,8 +29,8 @@ def store_objects(df: DataFrame, base_uri: str, bucket: str = "ingest", structur
     """Decode base64 payloads of structured (default) / image rows and point their
     metadata at the stored object: ``source_location`` and the uploaded URL/URI become
     ``<base_uri>/<bucket>/<key>``. With ``write`` the bytes are written under that URI
-    by the executors (``foreachPartition`` through the Hadoop file system), idempotently:
-    a retried task rewrites the same keys."""
+    by the executors (``foreachPartition``; through fsspec where it is installed, else to
+    mounted paths only), idempotently: a retried task rewrites the same keys."""
     types = (["structured"] if structured else []) + (["image"] if images else [])
     sel = F.coalesce(F.col("document_type").isin(*types), F.lit(False))
     url = F.concat(F.lit(base_uri.rstrip("/") + "/" + bucket + "/"), object_key(df, index_col))
@@ -57,6 +57,8 @@ def _write_objects(rows) -> None:
 
         def opener(u):
             path = u[len("file://"):] if u.startswith("file://") else u
+            if "://" in path:
+                raise ValueError(f"{u}: no file system for this scheme without fsspec")
             os.makedirs(os.path.dirname(path), exist_ok=True)
             return open(path, "wb")
     for r in rows:

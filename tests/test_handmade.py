@@ -122,7 +122,7 @@ def test_apply_text_style_and_format(spark):
     runs = spark.createDataFrame([("  hi ", True, False, False, None), ("a.b", False, True, False, "http://u")],
                                  "text string, bold boolean, italic boolean, underline boolean, url string")
     md = [r["markdown"] for r in assemble.render_markdown_text(runs).collect()]
-    assert md == ["  **hi** ", "[*a\\.b*](http://u)"]
+    assert md == ["  **hi** ", "*[a\\.b](http://u)*"]
 
 
 def test_join_chart_text(spark):
