@@ -166,6 +166,12 @@ def _decode(segment: bytes) -> np.ndarray:
         y[row, lane] = (y[row, lane] << U(32)) | padded[np.minimum(at_word[row] + nth, len(padded) - 1)]
         x[:live] = y
         at_word[:live] += taken
+    # a run of steps ends in the next checkpoint's states, a block's last one in those it was begun with
+    ends = np.full_like(states, LOW)
+    inner = np.flatnonzero(block[1:] == block[:-1])
+    ends[inner] = states[inner + 1]
+    if not np.array_equal(x, ends):
+        raise ValueError("the coded words don't lead from checkpoint to checkpoint")
     ids = np.empty(blocks * BLOCK, np.uint32).reshape(blocks, STEPS // CHECKPOINT, CHECKPOINT * LANES)
     ids[block, mark] = symbols[grid].reshape(len(block), -1)
     ids = ids.reshape(-1)[:n]
