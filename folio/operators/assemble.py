@@ -117,7 +117,7 @@ def render_markdown_text(df: DataFrame, single_style: bool = True, escape: bool
 
 def merge_styled_runs(df: DataFrame, scope=("job_id", "paragraph")) -> DataFrame:
     """Adjacent runs with the same (bold, italic, underline) merge; blank runs never
-    change the current style. Gaps-and-islands: lag + running sum over a window, then one
+    change the current style, and leading ones belong to the first group. Gaps-and-islands: lag + running sum over a window, then one
     aggregation per island; output: scope, run_group, text, bold, italic, underline."""
     blank = ~F.coalesce(F.col("text").rlike("(?U)\\S"), F.lit(False))
     style = F.when(~blank, F.struct(F.coalesce(F.col("bold"), F.lit(False)).alias("bold"),
@@ -126,8 +126,8 @@ def merge_styled_runs(df: DataFrame, scope=("job_id", "paragraph")) -> DataFrame
     w = Window.partitionBy(*scope).orderBy("pos")
     filled = df.withColumn("_s", style).withColumn(
         "_eff", F.last("_s", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    chg = F.when(F.lag("_eff").over(w).isNull() & F.col("_eff").isNull(), 0) \
-        .when(F.lag("_eff").over(w).eqNullSafe(F.col("_eff")), 0).otherwise(1)
+    before = F.lag("_eff").over(w)
+    chg = (before.isNotNull() & ~before.eqNullSafe(F.col("_eff"))).cast("int")
     g = filled.withColumn("_chg", chg).withColumn("run_group", F.sum("_chg").over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
     return (g.groupBy(*scope, "run_group").agg(

@@ -11,7 +11,6 @@ parser (roll-ups, element building) is Spark: :mod:`folio.operators.assemble`.
 from __future__ import annotations
 
 import html as _html
-import json
 import re
 from typing import Callable, Iterator
 
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 Parser = Callable[[str, dict], list]
 
-RAW_SCHEMA = ("job_id long, piece long, kind string, text string, page int, block int, line int, span int, "
+RAW_FIELDS = ("piece long, kind string, text string, page int, block int, line int, span int, "
               "x1 double, y1 double, x2 double, y2 double, error string")
 
 
@@ -60,8 +59,7 @@ def _run_parsers(registry: dict, params: dict):
             # explicit dtypes: all-null object columns do not convert to Arrow numbers
             for c in ("page", "block", "line", "span", "x1", "y1", "x2", "y2"):
                 out[c] = pd.to_numeric(out[c], errors="coerce").astype("float64")
-            for c in ("job_id", "piece"):
-                out[c] = out[c].astype("int64")
+            out["piece"] = out["piece"].astype("int64")
             for c in ("kind", "text", "error"):
                 out[c] = out[c].astype(object)
             yield out
@@ -71,34 +69,31 @@ def _run_parsers(registry: dict, params: dict):
 def extract_documents(jobs: DataFrame, registry: dict | None = None, text: bool = True, images: bool = False,
                       tables: bool = False, charts: bool | None = None, text_depth: str = "document",
                       **params) -> DataFrame:
-    """jobs (job_id, document_type, content) -> raw pieces (RAW_SCHEMA) by the parser of
+    """jobs (job_id of any type, document_type, content) -> raw pieces (RAW_FIELDS) by the parser of
     each document type; ``kind`` filtered by the extract flags (charts default to the
     tables flag). Repartition jobs by size before this when documents are skewed."""
     reg = {**DEFAULT_REGISTRY, **(registry or {})}
     charts = tables if charts is None else charts
     raw = jobs.select("job_id", "document_type", "content").mapInPandas(
-        _run_parsers(reg, {"text_depth": text_depth, **params}), RAW_SCHEMA)
+        _run_parsers(reg, {"text_depth": text_depth, **params}),
+        f"job_id {jobs.schema['job_id'].dataType.simpleString()}, {RAW_FIELDS}")
     kinds = (["text"] if text else []) + (["image"] if images else []) + (["table"] if tables else []) \
         + (["chart"] if charts else [])
     return raw.where(F.col("error").isNotNull() | F.col("kind").isin(*kinds))
 
 
-# Element path prefixes of hosted extraction services.
-CLOUD_KINDS = {"Figure": "image", "Table": "table"}
 
 
 def cloud_elements(df: DataFrame, json_col: str = "elements") -> DataFrame:
     """Hosted-service output (JSON array of {Path, Text, Page, Bounds}) -> raw pieces:
-    kind from the path (Figure -> image, Table -> table, else text), page, box."""
+    a path that ends in ``/Figure`` is an image, one under a table a table, one that names
+    neither a text; anything else inside a figure is dropped. Page and box are kept."""
     schema = "array<struct<Path:string,Text:string,Page:int,Bounds:array<double>>>"
     e = df.select("job_id", F.posexplode(F.from_json(F.col(json_col), schema)).alias("piece", "e"))
     path = F.col("e.Path")
-    kind = F.coalesce(*[F.when(path.contains(f"/{k}"), F.lit(v)) for k, v in CLOUD_KINDS.items()], F.lit("text"))
+    kind = (F.when(path.endswith("/Figure"), "image").when(path.contains("Table"), "table")
+            .when(path.isNull() | ~path.contains("Figure"), "text"))
     b = F.col("e.Bounds")
     return e.select("job_id", "piece", kind.alias("kind"), F.col("e.Text").alias("text"),
                     F.col("e.Page").alias("page"), b[0].alias("x1"), b[1].alias("y1"), b[2].alias("x2"),
-                    b[3].alias("y2"))
-
-
-def to_json_text(obj) -> str:
-    return json.dumps(obj)
+                    b[3].alias("y2")).where(F.col("kind").isNotNull())

@@ -18,21 +18,21 @@ from folio.operators.filters import filter_by_class
 LAYOUT_TOKEN = "(?s)<x_(\\d+)><y_(\\d+)>(.*?)<x_(\\d+)><y_(\\d+)><class_([^>]+)>"
 MD_REWRITES_HEAD = [
     ("\\(\\[https?://[^\\s\\]]+\\]\\((https?://[^\\s\\]]+)\\)\\)", "($1)"),
-    ("#+\\s", ""),
+    ("(?U)#+\\s", ""),
     ("\\*\\*", ""),
-    ("\\*(.*?)\\*", "$1"),
+    ("(?d)\\*(.*?)\\*", "$1"),
     ("(?U)(?<!\\w)_([^_]+)_", "$1"),
     ("</?su[pb]>", ""),
 ]
-MD_INLINE_MATH_KEEP = ("\\\\\\((.*?)\\\\\\)", "$1")
-MD_INLINE_MATH_DROP = ("\\\\\\((.*?)\\\\\\)", "")
+MD_INLINE_MATH_KEEP = ("(?d)\\\\\\((.*?)\\\\\\)", "$1")
+MD_INLINE_MATH_DROP = ("(?d)\\\\\\((.*?)\\\\\\)", "")
 MD_REWRITES_TAIL = [
-    ("(?m)^\\*\\s", ""),
+    ("(?mdU)^\\*\\s", ""),
     ("(?s)\\\\begin\\{table\\}(.*?)\\\\end\\{table\\}", ""),
     ("(?s)\\\\begin\\{tabular\\}(.*?)\\\\end\\{tabular\\}", "<table>"),
     ("(?s)```.*?```", ""),
     ("(?s)\\\\\\[(.*?)\\\\\\]", ""),
-    ("\\$(.*?)\\$", ""),
+    ("(?d)\\$(.*?)\\$", ""),
     ("(?s)\\|.*?\\|", ""),
     ("\\\\", ""),
 ]

@@ -88,13 +88,16 @@ def rolling_frame(df: DataFrame, group_cols, order_cols, window: int, aggs: dict
 def exact_median(df: DataFrame, group_cols, value_col: str, out: str = "median",
                  num_slices: int | None = None) -> DataFrame:
     """Exact median per group (mean of the two middle values for even counts) without
-    holding a group in one task: position every value, keep the middle one or two."""
+    holding a group in one task. Equal values are counted first (combined before the
+    shuffle), so a frequent value is one row; running counts over the distinct values
+    then tell which one or two hold the middle positions."""
     group_cols = list(group_cols)
-    base = (df.where(F.col(value_col).isNotNull()).select(*group_cols, value_col)
-              .withColumn("_tie", F.monotonically_increasing_id()))  # ties hold equal values
-    g = global_position(base, group_cols, [value_col, "_tie"], "_g", num_slices=num_slices)
-    n = df.groupBy(*group_cols).agg(F.count(value_col).alias("_cnt"))
-    mid = (g.join(n, group_cols)
-            .where((F.col("_g") == F.floor((F.col("_cnt") - 1) / 2))
-                   | (F.col("_g") == F.ceil((F.col("_cnt") - 1) / 2))))
-    return mid.groupBy(*group_cols).agg(F.avg(value_col).alias(out))
+    h = df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(F.count("*").alias("_n"))
+    g = global_position(h, group_cols, [value_col], "_g", sum_col="_n", sum_out="_upto", num_slices=num_slices)
+    n = h.groupBy(*group_cols).agg(F.sum("_n").alias("_cnt"))
+
+    def holds(position):
+        return ((position >= F.col("_upto") - F.col("_n")) & (position < F.col("_upto"))).cast("long")
+    low, high = F.floor((F.col("_cnt") - 1) / 2), F.ceil((F.col("_cnt") - 1) / 2)
+    mid = g.join(n, group_cols).withColumn("_w", holds(low) + holds(high)).where(F.col("_w") > 0)
+    return mid.groupBy(*group_cols).agg((F.sum(F.col(value_col) * F.col("_w")) / 2).alias(out))

@@ -56,47 +56,38 @@ def build_responses(jobs: DataFrame, elements: DataFrame, failed_col: str = "cm_
 def _greedy_fragments(size_limit: int, overhead: int):
     empty = 2 + overhead  # size of "[]"
 
-    def one_job(sizes: np.ndarray) -> np.ndarray:
-        frag = np.zeros(len(sizes), dtype=np.int64)
-        cur, f = empty, 0
-        for i, s in enumerate(sizes):
-            s = int(s) + overhead
-            if cur + s > size_limit:
-                f += 1  # the previous fragment closes (it may be empty, as in the reference)
-                cur = empty
-            frag[i] = f
-            cur += s
-        return frag
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["job_id", "_pos", "_piece"], kind="stable")
-        jid = pdf["job_id"].to_numpy()
-        sizes = pdf["item_bytes"].to_numpy(dtype=np.int64)
-        frag = np.zeros(len(pdf), dtype=np.int64)
-        starts = np.flatnonzero(np.r_[True, jid[1:] != jid[:-1]]) if len(jid) else np.array([], dtype=int)
-        for s0, e0 in zip(starts, np.r_[starts[1:], len(jid)]):
-            frag[s0:e0] = one_job(sizes[s0:e0])
-        return pd.DataFrame({"job_id": jid, "_pos": pdf["_pos"].to_numpy(), "_piece": pdf["_piece"].to_numpy(), "fragment": frag})
+    def run(batches):
+        job, cur, f = None, empty, 0  # carried from batch to batch
+        for pdf in batches:
+            frag = np.zeros(len(pdf), dtype=np.int64)
+            for i, (j, s) in enumerate(zip(pdf["job_id"], pdf["item_bytes"])):
+                if j != job:
+                    job, cur, f = j, empty, 0
+                s = int(s) + overhead
+                if cur + s > size_limit:
+                    f += 1  # the previous fragment closes, with nothing in it if this is the first item
+                    cur = empty
+                frag[i] = f
+                cur += s
+            yield pd.DataFrame({"job_id": pdf["job_id"], "_pos": pdf["_pos"], "_piece": pdf["_piece"], "fragment": frag})
     return run
 
 
-def fragment_responses(elements: DataFrame, size_limit: int = SIZE_LIMIT, overhead_bytes: int = 49,
-                       buckets: int | None = None) -> DataFrame:
+def fragment_responses(elements: DataFrame, size_limit: int = SIZE_LIMIT, overhead_bytes: int = 49) -> DataFrame:
     """Greedy, order-preserving packing of a job's items into fragments when the whole
     result exceeds ``size_limit``: a new fragment starts when current + item > limit
     (an oversize first item leaves an empty first fragment). Item size = JSON bytes +
     ``overhead_bytes``. Returns elements with ``fragment`` and ``fragment_count``.
 
     Job totals are a JVM aggregate; only jobs over the limit go through the sequential
-    fold, on the thin (job_id, pos, size) table, many jobs per Python call (hashed
-    buckets, numpy per job). Everything else is fragment 0 of 1 without leaving the JVM."""
-    n = buckets or 4 * int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fold, on the thin (job_id, pos, piece, size) table, sorted by job and streamed in
+    batches with only the open fragment's size carried over. Everything else is fragment 0 of 1 without leaving the JVM."""
     sized = elements.select("*", *_keys(elements)).withColumn("item_bytes", F.octet_length(F.to_json(F.struct("document_type", "metadata"))))
     totals = sized.groupBy("job_id").agg(
         (F.sum("item_bytes") + 2 * F.count("*") + F.lit(overhead_bytes)).alias("_total"))
     big = totals.where(F.col("_total") > size_limit).select("job_id")
     thin = sized.join(big, "job_id", "left_semi").select("job_id", "_pos", "_piece", "item_bytes")
-    frags = thin.groupBy((F.abs(F.xxhash64("job_id")) % n).alias("_bucket")).applyInPandas(
+    frags = thin.repartition("job_id").sortWithinPartitions("job_id", "_pos", "_piece").mapInPandas(
         _greedy_fragments(size_limit, overhead_bytes),
         f"job_id {elements.schema['job_id'].dataType.simpleString()}, _pos long, _piece long, fragment long")
     cnt = frags.groupBy("job_id").agg((F.max("fragment") + 1).alias("fragment_count"))

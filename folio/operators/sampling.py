@@ -41,34 +41,52 @@ def dataset_stats(files: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def sample_files(files: DataFrame, shares: dict, total_bytes: int, order_col: str = "pos",
-                 path_col: str = "path", replacement: bool = False, seed: int = 0,
-                 draws: int | None = None) -> DataFrame:
+                 path_col: str = "path", replacement: bool = False, seed: int = 0) -> DataFrame:
     """Per type a byte budget of ``share% x total_bytes``; take files in ``order_col``
     order and stop at the first file that would overflow the budget. With
-    ``replacement`` the order is ``draws`` seeded random draws per file type instead.
-    Shares are percentages and must sum to 100."""
+    ``replacement`` each draw picks one file of the type by a seeded hash of the draw's
+    number instead, so a file can come more than once; column ``draw`` numbers the draws.
+    Shares are percentages and must sum to 100. Files of no bytes are never drawn with
+    replacement (they would be drawn forever)."""
     if abs(sum(shares.values()) - 100) > 1e-9:
         raise ValueError("shares must sum to 100")
     f = with_ext(files, path_col)
     budgets = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k.lower()), F.lit(v / 100 * total_bytes))])
     f = f.withColumn("budget", F.element_at(budgets, F.col("ext"))).where(F.col("budget").isNotNull())
     if replacement:
-        n = draws or 1
-        f = (f.withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-              .withColumn("_o", F.xxhash64(F.lit(seed), F.col(path_col), F.col("_d"))))
-        order = ["_o", path_col, "_d"]
-    else:
-        order = [order_col]
-    g = global_position(f, ["ext"], order, "_g", sum_col="size", sum_out="cum_bytes")
+        f = _draws(f.where(F.col("size") > 0), path_col, seed)
+        order_col = "draw"
+    g = global_position(f, ["ext"], [order_col], "_g", sum_col="size", sum_out="cum_bytes")
     # sizes are >= 0, so "stop at the first overflow" == keep while the running total fits
-    return g.where(F.col("cum_bytes") <= F.col("budget")).drop("_g", "_d", "_o")
+    return g.where(F.col("cum_bytes") <= F.col("budget")).drop("_g")
+
+
+def _draws(f: DataFrame, path_col: str, seed: int) -> DataFrame:
+    """Numbered draws of files of each type, certainly enough to pass the type's budget:
+    no draw is smaller than the type's smallest file, and no budget needs more draws than
+    budget / smallest size + 1. Draws are made by exploding per-type blocks of numbers."""
+    f = f.withColumn("_rank", F.xxhash64(path_col))
+    numbered = global_position(f, ["ext"], ["_rank"], "_i").drop("_rank")
+    per = f.groupBy("ext").agg(F.count("*").alias("_files"), F.min("size").alias("_min"), F.max("budget").alias("_b"))
+    block = 1 << 16  # numbers a row explodes into
+    wanted = F.floor(F.col("_b") / F.col("_min")) + 1
+    starts = per.withColumn("_wanted", wanted).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_wanted") - 1, F.lit(block).cast("long"))))
+    draw = (starts.repartition("ext", "_from")
+                  .withColumn("draw", F.explode(F.sequence("_from", F.least(F.col("_from") + block, F.col("_wanted")) - 1)))
+                  .select("ext", "draw", F.pmod(F.xxhash64(F.lit(seed), "ext", "draw"), F.col("_files")).alias("_i")))
+    return draw.join(numbered, ["ext", "_i"]).drop("_i")
 
 
 def check_sample(sampled: DataFrame, shares: dict, total_bytes: int, tol: float = 0.05) -> DataFrame:
-    """Achieved bytes per type against the target share: within +-tol of the target."""
+    """Achieved bytes of every type asked for against its target. ``ratio`` is the type's
+    share of all bytes achieved (types not asked for included) over the share asked for,
+    and ``ok`` whether that is within +-tol. A type with nothing sampled has a row with 0."""
     f = with_ext(sampled) if "ext" not in sampled.columns else sampled
-    targets = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k.lower()), F.lit(v / 100 * total_bytes))])
-    a = f.groupBy("ext").agg(F.sum("size").alias("achieved_bytes"))
-    a = a.withColumn("target_bytes", F.element_at(targets, F.col("ext")))
-    ratio = F.col("achieved_bytes") / F.col("target_bytes")
-    return a.withColumn("ratio", ratio).withColumn("ok", ratio.between(1 - tol, 1 + tol))
+    asked = F.array(*[F.struct(F.lit(k.lower()).alias("ext"), F.lit(float(v)).alias("_share")) for k, v in shares.items()])
+    got = f.groupBy("ext").agg(F.sum("size").alias("_bytes"))
+    total = got.agg(F.sum("_bytes").alias("_total"))  # one row, also of an empty sample
+    types = total.select("_total", F.inline(asked)).join(got, "ext", "left")
+    achieved = F.coalesce(F.col("_bytes"), F.lit(0)).cast("long")
+    ratio = F.coalesce(F.try_divide(100.0 * achieved, F.col("_total") * F.col("_share")), F.lit(0.0))
+    return types.select("ext", achieved.alias("achieved_bytes"), (F.col("_share") / 100 * total_bytes).alias("target_bytes"),
+                        ratio.alias("ratio"), ratio.between(1 - tol, 1 + tol).alias("ok"))

@@ -1,7 +1,8 @@
 """A task list -> one composed, lazy DataFrame plan in the reference's fixed stage order.
 
-Stage order is fixed by the pipeline, not by the task list: metadata -> extract ->
-dedup -> filter -> split -> embed -> store -> vector rows. Tasks are literal (the same
+Stage order is fixed by the pipeline, not by the task list: metadata -> dedup -> filter -> split -> embed -> store. A task that has no
+stage here (extract needs parsers, caption a model, vdb_upload a sink) is an error, never
+skipped. Tasks are literal (the same
 for every job, as the command line attaches them); a job whose ``tasks`` column lacks a
 task skips that stage (``route_by_task``) when ``gate_by_job_tasks`` is set.
 """
@@ -14,17 +15,20 @@ from folio.operators import chunk, dedup, embed, filters, metadata
 from folio.operators.filters import route_by_task
 from folio.sources import sinks
 
-STAGE_ORDER = ["extract", "dedup", "filter", "split", "embed", "store"]
+STAGE_ORDER = ["dedup", "filter", "split", "embed", "store"]
 
 
 def run_tasks(jobs: DataFrame, tasks: list[dict], gate_by_job_tasks: bool = False,
               embedder=None) -> DataFrame:
     """jobs (job_id, pos, document_type, content, source_id, source_name [, tasks]) ->
     elements after the listed tasks. ``tasks``: [{"type": ..., "task_properties": {...}}]."""
-    by_type = {t["type"].lower(): t.get("task_properties", {}) or {} for t in tasks}
-    unknown = set(by_type) - set(STAGE_ORDER) - {"caption", "vdb_upload"}
+    names = [t["type"].lower() for t in tasks]
+    by_type = {n: t.get("task_properties", {}) or {} for n, t in zip(names, tasks)}
+    unknown = set(names) - set(STAGE_ORDER)
     if unknown:
-        raise ValueError(f"unknown task types {sorted(unknown)}")
+        raise ValueError(f"task types that no stage runs: {sorted(unknown)}")
+    if len(names) > len(by_type):
+        raise ValueError(f"several tasks of one type: {sorted({n for n in names if names.count(n) > 1})}")
     el = metadata.inject_metadata(jobs)
 
     def stage(name, op):

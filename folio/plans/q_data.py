@@ -132,10 +132,11 @@ def sample_files_q(spark, sf_dir):
 
 
 @query("check_sample", operators=("H14",), sql=f"""
-SELECT ext, achieved_bytes, target_bytes, round(achieved_bytes / target_bytes, 6) AS ratio,
-       achieved_bytes / target_bytes BETWEEN 0.95 AND 1.05 AS ok
-FROM (SELECT ext, sum(size) AS achieved_bytes, max({_budget_sql()}) AS target_bytes
-      FROM ({SAMPLE_SQL}) s GROUP BY ext) t""")
+SELECT ext, achieved_bytes, {TOTAL_BYTES} * pct / 100.0::DOUBLE AS target_bytes, round(ratio, 6) AS ratio, ratio BETWEEN 0.95 AND 1.05 AS ok
+FROM (SELECT ext, pct, achieved_bytes, achieved_bytes / nullif(sum(achieved_bytes) OVER (), 0) / (pct / 100.0::DOUBLE) AS ratio
+      FROM (SELECT w.ext, w.pct, CAST(coalesce(sum(s.size), 0) AS BIGINT) AS achieved_bytes
+            FROM (VALUES {', '.join(f"('{k}', {v})" for k, v in SHARES.items())}) w(ext, pct) LEFT JOIN ({SAMPLE_SQL}) s ON s.ext = w.ext
+            GROUP BY w.ext, w.pct) a) t""")
 def check_sample_q(spark, sf_dir):
     s = sampling.sample_files(tables.files(spark, sf_dir), SHARES, TOTAL_BYTES)
     c = sampling.check_sample(s, SHARES, TOTAL_BYTES)

@@ -43,8 +43,7 @@ WITH r AS (SELECT *, CASE WHEN regexp_matches(text, '\\S') THEN struct_pack(b :=
            FROM ({RUNS_SQL}) x),
 e AS (SELECT *, last(s IGNORE NULLS) OVER (PARTITION BY job_id, paragraph ORDER BY pos
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS eff FROM r),
-c AS (SELECT *, CASE WHEN lag(eff) OVER w IS NOT DISTINCT FROM eff
-                      OR (lag(eff) OVER w IS NULL AND eff IS NULL) THEN 0 ELSE 1 END AS chg
+c AS (SELECT *, CASE WHEN lag(eff) OVER w <> eff THEN 1 ELSE 0 END AS chg
       FROM e WINDOW w AS (PARTITION BY job_id, paragraph ORDER BY pos)),
 g AS (SELECT *, sum(chg) OVER (PARTITION BY job_id, paragraph ORDER BY pos
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_group FROM c)

@@ -67,7 +67,7 @@ def reassemble_stream(fragments: DataFrame, timeout="10 minutes") -> DataFrame:
     """Collect fragments per job until ``fragment_count`` have arrived, then emit the job
     (status, description, number of items); jobs incomplete after ``timeout`` of
     processing time are emitted as failed."""
-    out_schema = "job_id long, status string, description string, n_items long"
+    out_schema = f"job_id {fragments.schema['job_id'].dataType.simpleString()}, status string, description string, n_items long"
     state_schema = "seen array<long>, status string, description string, n_items long, count long"
     timeout_ms = _duration_ms(timeout)
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from folio import session
 from folio.functions.predicates import is_subset
-from folio.operators import assemble, chunk, dedup, embed, metadata, responses, validate, vectors
+from folio.operators import assemble, chunk, dedup, detect, embed, extract, layout, metadata, ranking, responses, sampling, validate, vectors
+from folio.plans import pipeline
 from folio.sources import sinks
 
 
@@ -106,3 +107,60 @@ def test_no_scratch_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         session.checkpoint_dir(Session())
+
+
+def test_leading_blank_runs_join_the_first_group(spark):
+    df = spark.createDataFrame([("a", 0, 0, " ", False), ("a", 0, 1, "x", True), ("a", 0, 2, " ", False), ("a", 0, 3, "y", False), ("b", 0, 0, " ", True)],
+                               "job_id string, paragraph int, pos int, text string, bold boolean")
+    m = assemble.merge_styled_runs(df.withColumn("italic", F.lit(False)).withColumn("underline", F.lit(None).cast("boolean")))
+    assert sorted((r.job_id, r.run_group, r.text, r.bold) for r in m.collect()) == [("a", 0, " x ", True), ("a", 1, "y", False), ("b", 0, " ", False)]
+
+
+def test_sampling_with_replacement_fills_its_budget(spark):
+    files = spark.createDataFrame([("a.pdf", 0, 100), ("b.md", 1, 30), ("c.md", 2, 50), ("d.md", 3, 0)], "path string, pos long, size long")
+    got = sampling.sample_files(files, {"pdf": 50, "md": 40, "txt": 10}, 2000, replacement=True, seed=1)
+    rows = got.collect()
+    assert sum(r.size for r in rows if r.ext == "pdf") == 1000 and len([r for r in rows if r.ext == "pdf"]) == 10
+    assert 750 < sum(r.size for r in rows if r.ext == "md") <= 800 and {r.path for r in rows if r.ext == "md"} == {"b.md", "c.md"}
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, sampling.sample_files(files.repartition(3), {"pdf": 50, "md": 40, "txt": 10}, 2000, replacement=True, seed=1).collect()))
+    check = {r.ext: (r.achieved_bytes, r.ok) for r in sampling.check_sample(got, {"pdf": 50, "md": 40, "txt": 10}, 2000).collect()}
+    assert check["txt"] == (0, False) and check["pdf"][0] == 1000
+    assert [r.ok for r in sampling.check_sample(got.limit(0), {"pdf": 100}, 10).collect()] == [False]
+
+
+def test_median_of_a_frequent_value(spark):
+    df = spark.createDataFrame([("a", v) for v in [0.0] * 50 + [2.0, 3.0]] + [("b", 1.0), ("b", 2.0), ("c", 7.0), ("c", None), ("d", None)], "g string, v double")
+    assert {r.g: r.m for r in ranking.exact_median(df, ["g"], "v", "m", num_slices=3).collect()} == {"a": 0.0, "b": 1.5, "c": 7.0}
+
+
+def test_boxes_of_images_with_string_ids_in_any_order(spark):
+    rows = [(f"i{i % 40}", i // 40, ("chart", "title", "table")[i % 3], (i % 7) / 10, (i % 5) / 10, (i % 7) / 10 + 0.3, (i % 5) / 10 + 0.3, (i % 11) / 11) for i in range(400)]
+    df = spark.createDataFrame(rows, "image_id string, box_id long, label string, x1 double, y1 double, x2 double, y2 double, score double")
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    whole = sorted(map(tuple, detect.match_titles(detect.fuse_boxes(detect.nms(df))).collect()))
+    try:
+        spark.conf.set(conf, "7")  # images run over several batches
+        cut = sorted(map(tuple, detect.match_titles(detect.fuse_boxes(detect.nms(df.orderBy("score")))).collect()))
+    finally:
+        spark.conf.set(conf, before)
+    assert whole == cut and len({r[0] for r in whole}) == 40
+    assert detect.nms(df.limit(0)).collect() == []
+
+
+def test_figures_types_and_tasks(spark):
+    paths = ["//Document/P", "//Document/Figure", "//Document/Figure/P", "//Document/Table/TR/P"]
+    js = json.dumps([{"Path": p, "Text": "t", "Page": 0, "Bounds": [0, 0, 1, 1]} for p in paths])
+    ce = extract.cloud_elements(spark.createDataFrame([("a1", js)], "job_id string, elements string")).collect()
+    assert [(r.piece, r.kind) for r in ce] == [(0, "text"), (1, "image"), (3, "table")]
+    jobs = spark.createDataFrame([("a1", "md", "x\n\ny"), ("a2", "odd", "z")], "job_id string, document_type string, content string")
+    got = extract.extract_documents(jobs).collect()
+    assert sorted((r.job_id, r.piece, r.text) for r in got) == [("a1", 0, "x"), ("a1", 1, "y"), ("a2", -1, None)]
+    for tasks in ([{"type": "caption"}], [{"type": "filter"}, {"type": "filter"}]):
+        with pytest.raises(ValueError):
+            pipeline.run_tasks(jobs, tasks)
+
+
+def test_plain_text_of_other_blanks_and_line_ends(spark):
+    df = spark.createDataFrame([("#\u00a0T",), ("*a\u2028b*",), ("*a\nb*",)], "t string")
+    assert [r[0] for r in df.select(layout.markdown_to_plain("t")).collect()] == ["T", "a\u2028b", "*a\nb*"]
