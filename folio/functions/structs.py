@@ -30,8 +30,3 @@ def build_struct(schema: T.StructType, **values) -> Column:
                 v = F.lit(v)
             cols.append(v.cast(f.dataType).alias(f.name))
     return F.struct(*cols)
-
-
-def when_struct(cond: Column, value: Column, dtype: T.DataType) -> Column:
-    """``value`` where ``cond`` holds, else a typed null of ``dtype``."""
-    return F.when(cond, value.cast(dtype)).otherwise(typed_null(dtype))

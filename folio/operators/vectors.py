@@ -68,6 +68,15 @@ def vector_search(vectors: DataFrame, queries: DataFrame, k: int = 10, metric: s
     return out
 
 
+def _squared_distances(v: np.ndarray, q: np.ndarray, rows: np.ndarray, cols: np.ndarray, step: int = 4096) -> np.ndarray:
+    """Squared distance of the pairs (v[rows], q[cols]), ``step`` pairs at a time."""
+    out = np.empty(len(rows))
+    for lo in range(0, len(rows), step):
+        d = v[rows[lo:lo + step]] - q[cols[lo:lo + step]]
+        out[lo:lo + step] = (d * d).sum(axis=1)
+    return out
+
+
 def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
     spark = vectors.sparkSession
     rows = queries.select(qid, qvec).collect()  # bounded by max_queries (checked above)
@@ -87,8 +96,9 @@ def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
             v = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vector_col].to_numpy()])
             pk = pdf[id_col].to_numpy(dtype=np.int64)
             if metric == "l2":
-                s = (v * v).sum(axis=1)[:, None] + qn[None, :] - 2.0 * (v @ qm.T)
-                s = np.maximum(s, 0.0)
+                squares = (v * v).sum(axis=1)[:, None] + qn[None, :]
+                s = squares - 2.0 * (v @ qm.T)
+                slack = (2 * v.shape[1] + 8) * np.finfo(np.float64).eps * squares
             elif metric == "cosine":
                 vn = np.sqrt((v * v).sum(axis=1))
                 s = (v @ qm_unit.T) / np.where(vn > 0, vn, 1.0)[:, None]
@@ -96,11 +106,15 @@ def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
                 s = v @ qm.T
             kk = min(k, len(pk))
             key = -s if larger_better else s
+            if metric != "l2":
+                slack = 0.0
             # partial top-k per query column, keeping every tie at the k-th score so the
-            # final (score, pk) order is exact
-            kth = np.partition(key, kk - 1, axis=0)[kk - 1]
-            rows_, cols = np.nonzero(key <= kth[None, :])
-            yield pd.DataFrame({qid: ids[cols], id_col: pk[rows_], "score": s[rows_, cols]})
+            # final (score, pk) order is exact; the expanded square loses digits for near-equal
+            # vectors, so all that its rounding could hide are kept and measured directly
+            kth = np.partition(key + slack, kk - 1, axis=0)[kk - 1]
+            rows_, cols = np.nonzero(key - slack <= kth[None, :])
+            found = _squared_distances(v, qm, rows_, cols) if metric == "l2" else s[rows_, cols]
+            yield pd.DataFrame({qid: ids[cols], id_col: pk[rows_], "score": found})
 
     part = vectors.select(id_col, vector_col).mapInPandas(
         score, f"{qid} long, {id_col} long, score double")
