@@ -21,10 +21,12 @@ B_SQL = f"SELECT *, pos // 100 AS doc FROM ({BLOCKS_SQL}) b"
 
 
 @query("rollup_text_page", operators=("D10",), sql=f"""
-SELECT job_id, page, md5(string_agg(text, ' ' ORDER BY pos)) AS text_md5, count(*) AS n_pieces
-FROM ({BLOCKS_SQL}) b GROUP BY job_id, page""")
+SELECT doc AS job_id, page, md5(string_agg(text, ' ' ORDER BY pos)) AS text_md5, count(*) AS n_pieces
+FROM ({B_SQL}) b GROUP BY doc, page""")
 def rollup_text_page_q(spark, sf_dir):
-    r = assemble.rollup_text(tables.blocks(spark, sf_dir), depth="page", sep=" ")
+    """Pages of an order: their number grows with the table."""
+    b = _blocks(spark, sf_dir).drop("job_id").withColumnRenamed("doc", "job_id")
+    r = assemble.rollup_text(b, depth="page", sep=" ")
     return r.select("job_id", "page", F.md5("text").alias("text_md5"), "n_pieces")
 
 
