@@ -1,7 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, kept in sorted hash arrays.
 
 Counting. Tasks hash the words of training documents, sum the n-grams of a few million tokens
-at a time and send them, packed, to shards. A shard is a range of n-gram keys; a key's
+at a time and send them, packed, to shards: the most frequent words as codes of 16 bits, others as
+their hashes, so that the packing loses nothing. A shard is a range of n-gram keys; a key's
 leading bits come from its context, so a context's n-grams and its totals meet in one shard.
 Words that hold over 1/512 of all tokens are the exception: contexts made of such words only
 spread over all shards by the whole n-gram, and their totals are summed afterwards (there are
@@ -38,8 +39,10 @@ from folio.llm.textnum import GRAM, chunks, mix, word_bounds, word_hashes
 U = np.uint64
 BOS, END = U(0x0123456789ABCDEF), U(0xFEDCBA9876543210)
 HEAVY = 512
+OFTEN = 1 << 19         # words over 1/OFTEN of a chunk may get a code
+CODES = 0xFFFF          # words with codes; also the code of all others
 CONTEXT_BITS = 20
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 6_000_000
 SHARD_TOKENS = 2_000_000
 CHUNK = 2 << 20
 _LOW = U((1 << (64 - CONTEXT_BITS)) - 1)
@@ -109,29 +112,53 @@ def _hash(columns: list[np.ndarray]) -> np.ndarray:
 
 # ---- packed n-grams -------------------------------------------------------------------------
 
-def pack(columns: list[np.ndarray], count: np.ndarray, raw: np.ndarray) -> bytes:
-    """n-grams with two counts; runs of an equal first word are kept once."""
-    first = columns[0]
-    at = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
-    runs = np.diff(np.append(at, len(first))).astype(np.uint32)
+class Codes:
+    """Codes of 16 bits for the given words, most frequent first."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        order_of = np.argsort(words)
+        self.sorted, self.rank = words[order_of], order_of.astype(np.uint16)
+
+    def of(self, column: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.full(len(column), CODES, np.uint16)
+        at = np.minimum(np.searchsorted(self.sorted, column), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == column, self.rank[at], np.uint16(CODES))
+
+
+def pack(columns: list[np.ndarray], codes: list[np.ndarray], count: np.ndarray, raw: np.ndarray) -> bytes:
+    """n-grams with two counts; low and high bytes of codes stand apart, as they compress best so."""
     same = bool(np.array_equal(count, raw))
-    head = np.array([len(first), len(at), len(columns), same], np.int64)
-    parts = [head, first[at], runs, *columns[1:], count.astype(np.uint32), *([] if same else [raw.astype(np.uint64)])]
-    return b"".join(p.tobytes() for p in parts)
+    others = [c[code == CODES] for c, code in zip(columns, codes)]
+    head = np.array([len(count), len(columns), same, *(len(o) for o in others)], np.int64)
+    planes = [code.view(np.uint8).reshape(-1, 2).T for code in codes]
+    parts = [head, *planes, *others, count.astype(np.uint32), *([] if same else [raw.astype(np.uint64)])]
+    body = b"".join(p.tobytes() for p in parts)
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
-def unpack(payload: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    n, runs, k, same = np.frombuffer(payload, np.int64, 4).tolist()
-    at = 32
+def unpack(payload: bytes, codes: Codes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    body = pa.decompress(payload[8:], int.from_bytes(payload[:8], "little"), codec="zstd", asbytes=True)
+    n, k, same = np.frombuffer(body, np.int64, 3).tolist()
+    others = np.frombuffer(body, np.int64, k, 24).tolist()
+    at = 24 + 8 * k
 
     def take(kind, size):
         nonlocal at
-        a = np.frombuffer(payload, kind, size, at)
+        a = np.frombuffer(body, kind, size, at)
         at += a.nbytes
         return a
 
-    values, lengths = take(U, runs), take(np.uint32, runs)
-    columns = [np.repeat(values, lengths), *[take(U, n) for _ in range(k - 1)]]
+    planes = [take(np.uint8, 2 * n).reshape(2, n) for _ in range(k)]
+    columns = []
+    for plane, size in zip(planes, others):
+        code = plane[0] | plane[1].astype(np.uint16) << 8
+        known = code != CODES
+        column = np.empty(n, U)
+        column[known] = codes.words[code[known]]
+        column[~known] = take(U, size)
+        columns.append(column)
     count = take(np.uint32, n).astype(np.int64)
     return columns, count, count if same else take(U, n).astype(np.int64)
 
@@ -144,16 +171,19 @@ def _sum_by(order_of: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]
     return (o[at], *[np.add.reduceat(v[o], at) for v in values])
 
 
-def _send(level: int, columns: list[np.ndarray], count: np.ndarray, raw: np.ndarray, heavy: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """Summed n-grams as a payload for each of their shards."""
+def _send(level: int, columns: list[np.ndarray], count: np.ndarray, raw: np.ndarray, heavy: np.ndarray, codes: Codes, bits: int) -> Iterator[pa.RecordBatch]:
+    """Summed n-grams as a payload for each of their shards, sorted by the codes of their first words."""
     key, _, _ = keys_of(columns, heavy)
-    o = np.argsort(key)
-    key = key[o]
-    columns, count, raw = [c[o] for c in columns], count[o], raw[o]
-    shard = (key >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+    coded = [codes.of(c) for c in columns]
+    rank = sum(c.astype(U) << U(48 - 16 * i) for i, c in enumerate(coded[:3])) >> U(bits)
+    if bits:
+        rank |= key >> U(64 - bits) << U(64 - bits)
+    o = np.argsort(rank)
+    shard = (key[o] >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+    columns, coded, count, raw = [c[o] for c in columns], [c[o] for c in coded], count[o], raw[o]
     at = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
     for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(key)]):
-        yield _row(level, int(shard[lo]), pack([c[lo:hi] for c in columns], count[lo:hi], raw[lo:hi]))
+        yield _row(level, int(shard[lo]), pack([c[lo:hi] for c in columns], [c[lo:hi] for c in coded], count[lo:hi], raw[lo:hi]))
 
 
 def _row(level: int, bucket: int, payload: bytes | None = None, ctx: int | None = None, sums: list[int] | None = None) -> pa.RecordBatch:
@@ -163,17 +193,17 @@ def _row(level: int, bucket: int, payload: bytes | None = None, ctx: int | None
 # ---- counting -------------------------------------------------------------------------------
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of a task (word null), and its words over 1/512 of them with their counts."""
+    """Tokens of a task (word null), and its words over 1/OFTEN of them with their counts."""
     for batch in batches:
         for _, _, buf, offs in chunks(batch.column(0), 8 << 20):
             p, at, _ = tokens(buf, offs, 1)
             word, count = np.unique(p[at], return_counts=True)
-            often = count * HEAVY >= len(at)
+            often = (count > 1) & (count * OFTEN >= len(at)) | (count * HEAVY >= len(at))
             yield pa.RecordBatch.from_arrays([pa.array([None, *word[often].view(np.int64).tolist()], pa.int64()), pa.array([len(at), *count[often].tolist()], pa.int64())],
                                              names=["word", "n"])
 
 
-def _count_task(order: int, heavy: np.ndarray, bits: int):
+def _count_task(order: int, heavy: np.ndarray, codes: Codes, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         n = 0
@@ -182,7 +212,7 @@ def _count_task(order: int, heavy: np.ndarray, bits: int):
             columns = [np.concatenate([h[j] for h in held]) for j in range(order)]
             held.clear()
             first, count = _sum_by(_hash(columns), np.ones(len(columns[0]), np.int64))
-            yield from _send(order, [c[first] for c in columns], count, count, heavy, bits)
+            yield from _send(order, [c[first] for c in columns], count, count, heavy, codes, bits)
 
         for batch in batches:
             for _, _, buf, offs in chunks(batch.column(0), CHUNK):
@@ -205,11 +235,11 @@ def _save(path: str, name: str, array: np.ndarray) -> None:
     os.replace(temporary, os.path.join(path, name))
 
 
-def _merge_task(level: int, path: str, heavy: np.ndarray, bits: int):
+def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: int):
     """Merge the shards of one order, write their arrays, send the next lower order on."""
 
     def merge(bucket: int, payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(p) for p in payloads]
+        parts = [unpack(p, codes) for p in payloads]
         columns = [np.concatenate([p[0][j] for p in parts]) for j in range(level)]
         count, raw = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
         key, context, spread = keys_of(columns, heavy)
@@ -230,7 +260,11 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, bits: int):
         of, sums = context[one], np.stack((total, n1, n2, n3), axis=1)
         own = ~spread[one]
         _save(path, f"{level}-{bucket}-ctx.npy", of[own])
-        _save(path, f"{level}-{bucket}-sums.npy", sums[own].astype(np.uint32))
+        of_own, sums_own = of[own], sums[own]
+        _save(path, f"{level}-{bucket}-sums.npy", np.minimum(sums_own, 255).astype(np.uint8))
+        wide = np.flatnonzero(sums_own[:, 0] >= 255)  # the total is the largest of the sums
+        _save(path, f"{level}-{bucket}-wide.npy", of_own[wide])
+        _save(path, f"{level}-{bucket}-widesums.npy", sums_own[wide].astype(np.uint32))
         yield _row(0, -1 - bucket, ctx=level, sums=[*kinds, len(key), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
         for c, s in zip(of[~own].view(np.int64).tolist(), sums[~own].tolist()):
             yield _row(-level, -1 - bucket, ctx=c, sums=s)
@@ -238,7 +272,7 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, bits: int):
         # an n-gram that begins a text has no word before it and keeps its count
         left = np.where(shorter[0] == BOS, raw, 1) if level > 2 else np.ones(len(key), np.int64)
         first, left, raw = _sum_by(shorter[0] if level == 2 else _hash(shorter), left, raw)
-        yield from _send(level - 1, [c[first] for c in shorter], left, raw, heavy, bits)
+        yield from _send(level - 1, [c[first] for c in shorter], left, raw, heavy, codes, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, payloads = None, []
@@ -281,14 +315,23 @@ def train(docs: DataFrame, order: int = 2, text_col: str = "text", path: str | N
     survey = stage(texts.mapInArrow(_survey, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-survey")
     n_tokens = survey.where(F.col("word").isNull()).first()
     n_tokens = int(n_tokens["n"]) if n_tokens else 0
+    words = survey.where(F.col("word").isNotNull())
+    least, n_often = 1, 0  # words with a count of ``least`` or more are fewer than CODES
+    for r in sorted(words.groupBy(F.floor(F.log2("n") * 8).cast("long").alias("step")).count().collect(), reverse=True):  # some 500 rows at most
+        n_often += r["count"]
+        if n_often >= CODES:
+            least = 2 ** ((r["step"] + 1) / 8)
+            break
+    often = words.where((F.col("n") >= least) | (F.col("n") * HEAVY >= n_tokens)).collect()
+    often.sort(key=lambda r: (-r["n"], r["word"]))
     # a word over 2/512 of all tokens has over half of them in chunks where it is over 1/512
-    often = survey.where(F.col("word").isNotNull() & (F.col("n") * HEAVY >= n_tokens)).select("word").collect()
-    heavy = np.unique(np.append(np.array([r["word"] for r in often], np.int64).view(U), BOS))
+    heavy = np.unique(np.append(np.array([r["word"] for r in often if r["n"] * HEAVY >= n_tokens], np.int64).view(U), BOS))
+    codes = Codes(np.array(list(dict.fromkeys([BOS, *np.array([r["word"] for r in often], np.int64).view(U).tolist()]))[:CODES], U))
     bits = max(0, -(-n_tokens // shard_tokens) - 1).bit_length()
 
-    rows = texts.mapInArrow(_count_task(order, heavy, bits), ROWS)
+    rows = texts.mapInArrow(_count_task(order, heavy, codes, bits), ROWS)
     for level in range(order, 0, -1):
-        rows = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_task(level, path, heavy, bits), ROWS)
+        rows = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_task(level, path, heavy, codes, bits), ROWS)
     sums = stage(rows.select("level", "ctx", "sums"), "lm-sums")
     total = sums.groupBy("level", "ctx").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(8)]).collect()  # at most 513 ** (order - 1) + order rows
 
@@ -359,7 +402,11 @@ class Arrays:
         out = np.zeros((len(context), 4), np.int64)
         own = np.flatnonzero(~spread)
         for shard, which, row in self.find(level, "ctx", context[own], self.shard(context[own])):
-            out[own[which]] = self.file(level, shard, "sums")[row]
+            found = self.file(level, shard, "sums")[row].astype(np.int64)
+            wide = np.flatnonzero(found[:, 0] == 255)
+            if len(wide):
+                found[wide] = self.file(level, shard, "widesums")[np.searchsorted(self.file(level, shard, "wide"), context[own[which[wide]]])]
+            out[own[which]] = found
         table, sums = self.model.heavy_ctx[level]
         if len(table):
             far = np.flatnonzero(spread)

@@ -76,7 +76,7 @@ def op9_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = lm.score_held_out(load(spark, sf_dir, "documents"), order=2)
+    scored = lm.score_held_out(load(spark, sf_dir, "documents"), order=3)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

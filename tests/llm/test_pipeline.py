@@ -6,7 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from brute import near_components, words
+from brute import KneserNey, near_components, words
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
@@ -52,6 +52,13 @@ def test_language_model_query_beats_single_words(spark):
     assert all(r.n_tokens == len(words(texts[r.doc_id])) + 1 for r in got)
 
 
+def test_language_model_query_is_of_order_three(spark):
+    rows = [(r.doc_id, r.text) for r in load(spark, SF, "documents").collect()]
+    got = {r.doc_id: r.score for r in queries.op10_kneser_ney(spark, SF).collect()}
+    model = KneserNey([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2], 3)
+    assert all(abs(got[i] - model.score(t)) < 1e-6 * max(1, abs(got[i])) for i, t in rows[:30])
+
+
 def test_pipeline_stages(spark):
     docs = load(spark, SF, "documents")
     columns, labels = docs.columns, {r.doc_id: r.quality for r in load(spark, SF, "labels").collect()}

@@ -213,6 +213,26 @@ def test_many_shards_give_the_same_model(spark):
     assert all(abs(s - model.score(dict(rows)[i])) < 1e-6 for i, s in a)
 
 
+def test_packed_ngrams_lose_nothing():
+    rng = np.random.default_rng(3)
+    codes = lm.Codes(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    words_ = np.concatenate((codes.words, rng.integers(0, 1 << 63, 500, dtype=np.uint64)))
+    for k, bits in ((1, 0), (2, 3), (3, 0), (3, 5), (4, 2)):
+        columns = [rng.choice(words_, 2000) for _ in range(k)]
+        count, raw = rng.integers(1, 1000, 2000), rng.integers(1, 1 << 40, 2000)
+        sent = [(b.column(1)[0].as_py(), lm.unpack(b.column(2)[0].as_py(), codes)) for b in lm._send(k, columns, count, raw, np.empty(0, np.uint64), codes, bits)]
+        assert len({shard for shard, _ in sent}) == len(sent) == 1 << bits
+        got = sorted(zip(*(np.concatenate([s[1][0][j] for s in sent]).tolist() for j in range(k)), *(np.concatenate([s[1][i] for s in sent]).tolist() for i in (1, 2))))
+        assert got == sorted(zip(*(c.tolist() for c in columns), count.tolist(), raw.tolist()))
+
+
+def test_contexts_with_large_totals(spark):
+    rows = [(i, f"a b x{i % 3} a c") for i in range(900)]
+    model = KneserNey([t for _, t in rows], 3)
+    got = lm.score(frame(spark, rows), lm.train(frame(spark, rows), order=3)).collect()
+    assert all(abs(r.score - model.score(dict(rows)[r.doc_id])) < 1e-6 for r in got)
+
+
 def test_model_without_training_texts(spark):
     got = lm.score_held_out(frame(spark, [])).collect()
     assert got == []
