@@ -16,8 +16,10 @@ with under 162 of 240 equal minima, another with 2e-6.
 
 Defined cases: a text of fewer words than a shingle has its whole sequence as its one shingle; null,
 empty and blank texts have no shingles and are linked with nothing; rows that repeat an id
-are grouped each by its own text, a group's id being the least in it; a null id has no
-component and is kept; no rows give no rows; other columns are ignored.
+are grouped each by its own text, a group's id being the least in it (so unlike groups whose least
+id is the same one share a component_id, and ``keep_one`` keeps a row of each of them); rows with
+the same id and the same shingles are repeats; a null id has no component and is kept; no rows give
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,14 +68,30 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (least >> U(24)).astype(np.uint16)
 
 
+def fingerprint(s: np.ndarray) -> tuple[int, int, int]:
+    """n_shingles, set_a and set_b of a set."""
+    if not len(s):
+        return 0, 0, 0
+    return len(s), int(mix(s).sum(dtype=U).view(np.int64)), int(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))).view(np.int64))
+
+
+def _fingerprint_task(k: int):
+    """The first column, and the fingerprint of the text in the second."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(s) for s in shingles_of(batch.column(1), k)], np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, i]) for i in range(3))], names=[batch.schema.names[0], "_n", "_a", "_b"])
+
+    return run
+
+
 def _signature_task(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, a, b, sig = [], [], [], []
             for s in shingles_of(batch.column(1), k):
-                n.append(len(s))
-                a.append(int(mix(s).sum(dtype=U).view(np.int64)) if len(s) else 0)
-                b.append(int(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0)
+                for x, to in zip(fingerprint(s), (n, a, b)):
+                    to.append(x)
                 sig.append(signature(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sig, pa.binary())],
                                              names=["doc_id", "n_shingles", "set_a", "set_b", "signature"])
@@ -139,6 +157,28 @@ def _set_task(k: int):
     return run
 
 
+def _named_set_task(k: int):
+    def run(batches):
+        for batch in batches:
+            ids, sets = batch.column(0), [(fingerprint(s), s.tobytes()) for s in shingles_of(batch.column(1), k)]
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array([f[i] for f, _ in sets], pa.int64()) for i in range(3)), pa.array([s for _, s in sets], pa.binary())],
+                                             names=["_id", "_n", "_a", "_b", "shingles"])
+
+    return run
+
+
+def _sets(reps: DataFrame, classes: DataFrame, texts: DataFrame, k: int, shared: bool) -> DataFrame:
+    """(id, shingles) of the classes whose reps are among the staged ids. Only their texts are read."""
+    if not shared:
+        return stage(_only(texts, "id", reps).mapInArrow(_set_task(k), "id long, shingles binary"), "near-sets")
+    wanted = stage(_only(classes, "rep", reps).select("rep", "least", "set_a", "set_b", "n_shingles"), "near-wanted")
+    ids = stage(wanted.select(F.col("least").alias("id")).distinct(), "near-ids")
+    read = _only(texts, "id", ids).mapInArrow(_named_set_task(k), "_id long, _n long, _a long, _b long, shingles binary")
+    found = read.join(small_side(wanted, ID_LIST // 5), F.expr("_id = least AND _a = set_a AND _b = set_b AND _n = n_shingles"))
+    sets = stage(found.select(F.col("rep").alias("id"), "shingles"), "near-sets")
+    return sets if sets.groupBy("id").count().where("count > 1").isEmpty() else stage(sets.dropDuplicates(["id"]), "near-sets")
+
+
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets reach the threshold."""
     if not len(x) or not len(y):
@@ -158,9 +198,9 @@ def _verify_task(percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int, shared: bool) -> DataFrame:
     """The staged pairs whose full sets reach the threshold. Only texts in a pair are read."""
-    sets = stage(_only(texts, "id", _ids(pairs)).mapInArrow(_set_task(k), "id long, shingles binary"), "near-sets")
+    sets = _sets(_ids(pairs), classes, texts, k, shared)
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     rows = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
@@ -267,56 +307,91 @@ def _meet(open_: DataFrame, content: DataFrame, limit: int, task, schema: str) -
     return x.join(y, "bucket").select("bucket", "band", "main", "x", "y").mapInArrow(task, schema)
 
 
-def _links_across(open_: DataFrame, classes: DataFrame, texts: DataFrame, k: int, least_equal: int, percent: int) -> DataFrame:
+def _links_across(open_: DataFrame, classes: DataFrame, texts: DataFrame, k: int, least_equal: int, percent: int, shared: bool) -> DataFrame:
     """The links between components that share a bucket: signatures tell who has to be compared, full
     sets of those decide."""
     reps = stage(open_.select(F.col("rep").alias("id")).distinct(), "near-ids")
     signed = stage(_only(classes, "rep", reps).select("rep", F.lit(1).alias("weight"), "n_shingles", "signature"), "near-compared")
     alike = stage(_meet(open_, signed, BLOCK, _alike_task(least_equal, percent), "bucket long, rep long").distinct(), "near-alike")
     ids = stage(alike.select(F.col("rep").alias("id")).distinct(), "near-ids")
-    sets = stage(_only(texts, "id", ids).mapInArrow(_set_task(k), "id long, shingles binary"), "near-sets")
+    sets = _sets(ids, classes, texts, k, shared)
     full = signed.join(sets, F.col("rep") == F.col("id")).select("rep", F.col("n_shingles").alias("weight"), "n_shingles", "signature", "shingles")
     return stage(_meet(open_.join(alike, ["bucket", "rep"], "left_semi"), full, BLOCK_SHINGLES, _link_task(least_equal, percent), "a long, b long"), "near-links")
 
 
 # ---- the operator -----------------------------------------------------------------------------
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document: the least id that links reach, and whether it is
-    the document's own. Linked: 100 * common shingles >= percent * all shingles of two texts."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> tuple[DataFrame, bool]:
+    """(doc_id, n_shingles, set_a, set_b, part, component_id) of every document, and whether some id has
+    texts of several sets. ``part`` tells groups apart; it is null for texts without shingles.
+
+    A class is named by the least id that has its text; by a number of its own where ids are shared.
+    """
     share = percent / 100
     least_equal = max(1, int(HASHES * share - DEVIATIONS * (HASHES * share * (1 - share)) ** 0.5))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stage(texts.mapInArrow(_signature_task(shingle), SIGNATURES), "near-signatures")
+    sets_of = signed.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("n_shingles", "set_a", "set_b")])
+    shared = not sets_of.where("min_n_shingles != max_n_shingles OR min_set_a != max_set_a OR min_set_b != max_set_b").isEmpty()
     worded = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = stage(worded.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")), "near-reps")
-    of = classes.select(F.col("set_a").alias("f_a"), F.col("set_b").alias("f_b"), F.col("n_shingles").alias("f_n"), "rep")
+    classes = stage(worded.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("least"), F.min("signature").alias("signature")).withColumn(
+        "rep", F.monotonically_increasing_id() if shared else F.col("least")), "near-reps")
+    of = classes.select(F.col("set_a").alias("f_a"), F.col("set_b").alias("f_b"), F.col("n_shingles").alias("f_n"), "rep", "least")
     named = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(
         of, F.expr("doc_id IS NOT NULL AND set_a = f_a AND set_b = f_b AND n_shingles = f_n"), "left")
-    member_of = stage(named.select("doc_id", "n_shingles", "rep"), "near-classes")
+    member_of = stage(named.select("doc_id", "n_shingles", "set_a", "set_b", "rep", "least"), "near-classes")
 
     banded = classes.select("rep", "signature").mapInArrow(_band_task, "bucket long, band int, rep long")
     hubs = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where(F.col("hub") != F.col("last")).select(F.col("bucket").alias("h_bucket"), "hub")
     members = stage(banded.join(hubs, F.col("bucket") == F.col("h_bucket")).select("bucket", "band", "rep", "hub"), "near-buckets")
 
-    shared = members.where(F.col("rep") != F.col("hub")).groupBy("hub", "rep").agg(F.count(F.lit(1)).alias("n"))
-    nearest = shared.groupBy("rep").agg(F.min_by("hub", F.struct(-F.col("n"), F.col("hub"))).alias("a"))
+    several = members.where(F.col("rep") != F.col("hub")).groupBy("hub", "rep").agg(F.count(F.lit(1)).alias("n"))
+    nearest = several.groupBy("rep").agg(F.min_by("hub", F.struct(-F.col("n"), F.col("hub"))).alias("a"))
     tested = stage(nearest.select("a", F.col("rep").alias("b")), "near-tested")
-    links = _confirmed(stage(_alike(tested, classes, least_equal, percent), "near-alike"), texts, shingle, percent)
+    links = _confirmed(stage(_alike(tested, classes, least_equal, percent), "near-alike"), classes, texts, shingle, percent, shared)
     comps = components(links)
     open_ = stage(_open_members(members, comps), "near-open")
     if not open_.isEmpty():
-        comps = components(links.union(_links_across(open_, classes, texts, shingle, least_equal, percent)))
+        comps = components(links.union(_links_across(open_, classes, texts, shingle, least_equal, percent, shared)))
     found = stage(comps, "near-components")
-    out = member_of.join(found, F.col("rep") == F.col("node"), "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
+    out = member_of.join(found, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep"))
+    if not shared:
+        return out.select("doc_id", "n_shingles", "set_a", "set_b", "part", F.coalesce("part", "doc_id").alias("component_id")), shared
+    linked = found.join(classes.select("rep", "least"), F.col("node") == F.col("rep"))
+    first = stage(linked.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("first")), "near-first")
+    return out.join(small_side(first, ID_LIST), F.col("component") == F.col("of"), "left").select(
+        "doc_id", "n_shingles", "set_a", "set_b", "part", F.coalesce("first", "least", "doc_id").alias("component_id")), shared
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document: the least id that links reach, and whether it is
+    the document's own. Linked: 100 * common shingles >= percent * all shingles of two texts."""
+    found, _ = _groups(docs, id_col, text_col, shingle, percent)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns; the others go."""
-    found = stage(near_duplicates(docs, id_col, text_col, shingle, percent), "near-verdicts")
-    gone = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("_near_gone")).distinct(), "near-gone")
+    groups, shared = _groups(docs, id_col, text_col, shingle, percent)
+    found = stage(groups.where(F.col("doc_id").isNotNull()), "near-verdicts")
+    if shared:
+        return _keep_rows(docs, found, id_col, text_col, shingle)
+    gone = stage(found.where("doc_id != component_id").select(F.col("doc_id").alias("_near_gone")).distinct(), "near-gone")
     kept = docs.join(small_side(gone, ID_LIST), F.col(id_col) == F.col("_near_gone"), "left_anti")
-    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     return kept if repeated.isEmpty() else kept.where(F.col(id_col).isNull()).union(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+
+
+def _keep_rows(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``keep_one`` where an id has unlike texts: rows are told apart by id and fingerprint, and the least of a group stays."""
+    key = ("doc_id", "n_shingles", "set_a", "set_b")
+    least = found.where(F.col("part").isNotNull()).groupBy("part").agg(F.min(F.struct(*key)).alias("stays"))
+    stays = stage(least.select("stays.*"), "near-stays")
+    gone = stage(found.where(F.col("part").isNotNull()).select(*key).distinct().join(stays, list(key), "left_anti"), "near-gone")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, _n long, _a long, _b long"
+    marked = stage(rows.mapInArrow(_fingerprint_task(shingle), schema).withColumn("_id", F.col("_row").getField(id_col).cast("long")), "near-rows")
+    kept = marked.join(small_side(gone, ID_LIST // 5), F.expr("_id = doc_id AND _n = n_shingles AND _a = set_a AND _b = set_b"), "left_anti")
+    if not found.groupBy(*key).count().where("count > 1").isEmpty():
+        kept = kept.where("_id IS NULL").union(kept.where("_id IS NOT NULL").dropDuplicates(["_id", "_n", "_a", "_b"]))
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

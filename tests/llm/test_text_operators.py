@@ -281,6 +281,34 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(i for i in ids if i is not None) == sorted(i for i, (_, c) in want.items() if i == c) and ids.count(None) == 2
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rng = random.Random(11)
+
+    def text():
+        return [f"s{rng.randrange(10 ** 6)}" for _ in range(120)]
+
+    x, y, z, v = text(), text(), text(), text()
+    near = " ".join([*z[:-1], "other"])
+    x, y, z, v = (" ".join(t) for t in (x, y, z, v))
+    clean = [(7, " ".join(text())) for _ in range(40)]
+    rows = [(5, x), (5, y), (13, near), (15, z), (15, v), *clean, *clean[:3], (None, x), (None, y), (20, ""), (20, None), (20, "one"), (21, v)]
+    got = sorted((r.doc_id or -1, r.text or "") for r in minhash.keep_one(frame(spark, rows)).collect())
+    assert got == sorted([(5, x), (5, y), (13, near), (15, v), *clean, (-1, x), (-1, y), (20, ""), (20, "one")])
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect() if r.doc_id in (5, 13, 15, 21))
+    assert found == [(5, 5, True), (5, 5, True), (13, 13, True), (15, 13, False), (15, 15, True), (21, 15, False)]
+
+
+def test_shared_ids_lose_no_link(spark):
+    """The groups of hard texts stay the same when unlike texts come under shared ids."""
+    rows = copies()
+    got = minhash.keep_one(frame(spark, [(i % 7, t) for i, t in rows]), shingle=4).collect()
+    alone = {i: c for i, (_, c) in near_components(rows, 4, 80).items()}
+    first: dict = {}
+    for i, t in rows:
+        first.setdefault(alone[i], set()).add((i % 7, t))
+    assert len(got) == len(first) and all(len(members & {(r.doc_id, r.text) for r in got}) == 1 for members in first.values())
+
+
 def test_blocks_of_open_buckets_lose_no_link(spark, monkeypatch):
     """Without any hub's help, blocks alone must find all links."""
     monkeypatch.setattr(minhash, "BLOCK", 8)
