@@ -11,8 +11,8 @@
 
 No pair is left out that shares a bucket and lies in different components, nor are all pairs of
 a group of copies ever made: within a component nothing is compared any more. At similarity 0.8,
-40 bands of 6 minima miss a pair with probability 5e-6; the signature check, which rejects pairs
-with under 162 of 240 equal minima, another with 2e-6.
+48 bands of 5 minima miss a pair with probability 5e-9; the signature check, which rejects pairs
+with under 148 of 240 equal minima, another with 2e-11.
 
 Defined cases: a text of fewer words than a shingle has its whole sequence as its one shingle; null,
 empty and blank texts have no shingles and are linked with nothing; rows that repeat an id
@@ -36,11 +36,11 @@ from folio.llm.shared import small_side, stage
 from folio.llm.textnum import chunks, mix, shingle_set, word_bounds, word_hashes
 
 U = np.uint64
-HASHES, BANDS = 240, 40
+HASHES, BANDS = 240, 48
 _GEN = np.random.Generator(np.random.PCG64(8191))
 _A = _GEN.integers(0, 1 << 63, HASHES, dtype=np.uint64) * U(2) + U(1)
 _B = _GEN.integers(0, 1 << 63, HASHES, dtype=np.uint64) * U(2)
-DEVIATIONS = 4.8        # a pair at the threshold may have so many standard deviations fewer equal minima
+DEVIATIONS = 7.0        # a pair at the threshold may have so many standard deviations fewer equal minima
 BLOCK = 512             # members of a bucket that are compared as one block, by signature
 BLOCK_SHINGLES = 1 << 17  # shingles of such a block, by full set
 ID_LIST = 2_000_000     # ids that may be broadcast (16 MB); longer lists are joined by a shuffle

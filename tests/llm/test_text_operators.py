@@ -1,6 +1,7 @@
 """Tokens, pieces, the language model, near-duplicates and quality against plain statements."""
 
 import json
+import math
 import random
 import zlib
 
@@ -309,6 +310,14 @@ def test_shared_ids_lose_no_link(spark):
     assert len(got) == len(first) and all(len(members & {(r.doc_id, r.text) for r in got}) == 1 for members in first.values())
 
 
+def test_pairs_at_the_threshold_are_hardly_missed():
+    """At similarity 0.8, as few as with the 32 bands of 4 and the check at 70 of 128 of the first form."""
+    hashes, bands = minhash.HASHES, minhash.BANDS
+    least = int(hashes * 0.8 - minhash.DEVIATIONS * (hashes * 0.16) ** 0.5)
+    rejected = sum(math.comb(hashes, i) * 0.8 ** i * 0.2 ** (hashes - i) for i in range(least))
+    assert hashes % bands == 0 and (1 - 0.8 ** (hashes // bands)) ** bands + rejected < 4.8e-8
+
+
 def test_blocks_of_open_buckets_lose_no_link(spark, monkeypatch):
     """Without any hub's help, blocks alone must find all links."""
     monkeypatch.setattr(minhash, "BLOCK", 8)
