@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import chat, lm, manifest, minhash, mixing, oracles, pieces, quality, rules, token_files, topk, warc
+from folio.llm import align, chat, lm, manifest, minhash, mixing, oracles, pieces, quality, rules, token_files, topk, warc
 from folio.llm.shared import load, shared_path, stage
 
 # Tokenizer files that every machine has; another path can be set in the session.
@@ -80,6 +80,14 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer(spark, BYTE_BPE), tokenizer(spark, PIECES)
+    aligned = align.align_documents(load(spark, sf_dir, "documents"), a, b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    thin = stage(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "pairs", "times"), "alignment")
+    return align.score_links(thin, align.vocabulary_size(b)).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents, audited against texts that lost their line ends where crc32(doc_id) is even."""
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -90,6 +98,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_dropout, op2_warc_merkle, op3_weighted_mix, op4_quality_gbt, op5_chat_windows, op6_topk_branch_bound,
-    op7_minhash_components, op8_rans_tokens, op9_adaptive_rules, op10_kneser_ney, op13_merkle_manifest)}
+    op7_minhash_components, op8_rans_tokens, op9_adaptive_rules, op10_kneser_ney, op12_token_alignment,
+    op13_merkle_manifest)}
 SQL = {"op2_warc_merkle": oracles.WARC, "op3_weighted_mix": oracles.MIX, "op6_topk_branch_bound": oracles.TOP_K,
        "op9_adaptive_rules": oracles.RULES, "op13_merkle_manifest": oracles.MANIFEST}

@@ -41,7 +41,7 @@ _CACHED_WORDS = 250_000  # pre-tokens, in each of two generations
 _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHER = [b for b in range(256) if b not in _PLAIN]
-_BYTE_CHARS = "".join(chr(b) if b in _PLAIN else chr(256 + _OTHER.index(b)) for b in range(256))
+BYTE_CHARS = "".join(chr(b) if b in _PLAIN else chr(256 + _OTHER.index(b)) for b in range(256))
 _BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)").search
 
 
@@ -80,7 +80,7 @@ class WholeTexts:
         if ids is None:
             ids = self.old_words.get(word)
             if ids is None:
-                ids = array("I", [t.id for t in self.model.tokenize(charmap_decode(word.encode(), "strict", _BYTE_CHARS)[0])]).tobytes()
+                ids = array("I", [t.id for t in self.model.tokenize(charmap_decode(word.encode(), "strict", BYTE_CHARS)[0])]).tobytes()
             if len(self.words) >= _CACHED_WORDS:
                 self.old_words, self.words = self.words, {}
             self.words[word] = ids
