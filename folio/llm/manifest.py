@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.shared import small_side, stage
+from folio.llm.shared import numbered, small_side, stage
 
 FANOUT = 3
 LEVELS = 6  # of a round: a span has 729 rows
@@ -43,21 +43,6 @@ def leaf(values: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*map(field, values)), 256)
 
 
-def numbered(rows: DataFrame, key: str, order: Sequence[Column], name: str) -> DataFrame:
-    """``rows`` with ``pos``, the place among those of their key, and ``n``, how many these are."""
-    # the row's own number splits ranges of equal rows; which of these comes first changes nothing
-    ranked = rows.withColumn("_tie", F.monotonically_increasing_id())
-    by = [F.col(key), *order, F.col("_tie")]
-    ranges = ranked.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
-    placed = stage(ranges.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), name)
-    counts = placed.groupBy("_range", key).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
-    own = Window.partitionBy(key)
-    before = F.sum("_rows").over(own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    shifts = counts.select("_range", key, (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_rows").over(own).alias("n"))
-    shifts = stage(shifts, name + "-ranges")
-    return placed.join(small_side(shifts), ["_range", key]).withColumn("pos", F.col("_at") + F.col("_shift")).drop("_range", "_at", "_shift")
-
-
 def _climb(rows: DataFrame) -> DataFrame:
     """The levels of each span: ``l0, r0, ...`` hold, on a node's row, its siblings before and after
     it (null where the group has no such level); ``top`` on a span's first row is the node it ends in."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import align, chat, lm, manifest, minhash, mixing, oracles, pieces, quality, rules, token_files, topk, warc
+from folio.llm import align, chat, lm, manifest, minhash, mixing, oracles, page_diff, pieces, quality, rules, token_files, topk, warc
 from folio.llm.shared import load, shared_path, stage
 
 # Tokenizer files that every machine has; another path can be set in the session.
@@ -80,6 +80,11 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.array_join("lines", " ")
+    return page_diff.extract_pages(load(spark, sf_dir, "pages")).select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = tokenizer(spark, BYTE_BPE), tokenizer(spark, PIECES)
     aligned = align.align_documents(load(spark, sf_dir, "documents"), a, b)
@@ -98,7 +103,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_dropout, op2_warc_merkle, op3_weighted_mix, op4_quality_gbt, op5_chat_windows, op6_topk_branch_bound,
-    op7_minhash_components, op8_rans_tokens, op9_adaptive_rules, op10_kneser_ney, op12_token_alignment,
-    op13_merkle_manifest)}
+    op7_minhash_components, op8_rans_tokens, op9_adaptive_rules, op10_kneser_ney, op11_page_differences,
+    op12_token_alignment, op13_merkle_manifest)}
 SQL = {"op2_warc_merkle": oracles.WARC, "op3_weighted_mix": oracles.MIX, "op6_topk_branch_bound": oracles.TOP_K,
        "op9_adaptive_rules": oracles.RULES, "op13_merkle_manifest": oracles.MANIFEST}
