@@ -53,13 +53,6 @@ def split_documents(df: DataFrame, split_by: str = "word", split_length: int = 6
                               sentence_window_size)
     content = F.col("metadata.content")
     is_text = F.coalesce(F.col("document_type") == "text", F.lit(False)) & content.isNotNull()
-    pieces = chunk_text(content, split_by, split_length, split_overlap, max_character_length)
-    w = int(sentence_window_size or 0)
-    if w > 0:
-        items = let(pieces, lambda ps: F.arrays_zip(ps.alias("p"), sentence_window(ps, w).alias("w")))
-    else:
-        items = F.transform(pieces, lambda p: F.struct(p.alias("p"), F.lit(None).cast("string").alias("w")))
-    passthrough = F.array(F.struct(F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("w")))
     # what is copied to every piece: the row without the document's own text
     md = F.col("metadata")
     bare = {"metadata": F.when(is_text, md.withField("content", F.lit(None).cast("string"))).otherwise(md)}
@@ -67,8 +60,17 @@ def split_documents(df: DataFrame, split_by: str = "word", split_length: int = 6
         bare["content"] = F.when(~is_text, F.col("content"))
     null_text = F.coalesce(F.col("document_type") == "text", F.lit(False)) & content.isNull()
     lean = df.select(*[bare[c].alias(c) if c in bare else F.col(c) for c in df.columns], is_text.alias("_split"), null_text.alias("_null"),
-                     F.when(is_text, items).otherwise(passthrough).alias("_items"))
-    exploded = lean.select(*df.columns, "_split", "_null", F.posexplode("_items").alias("piece", "_it"))
+                     F.when(is_text, content).alias("_text"))
+    # the splitting stands inside the explode: of a column below it, the optimizer would infer
+    # filters on its size, and split every document again for each of these
+    pieces = chunk_text(F.col("_text"), split_by, split_length, split_overlap, max_character_length)
+    w = int(sentence_window_size or 0)
+    if w > 0:
+        items = let(pieces, lambda ps: F.arrays_zip(ps.alias("p"), sentence_window(ps, w).alias("w")))
+    else:
+        items = F.transform(pieces, lambda p: F.struct(p.alias("p"), F.lit(None).cast("string").alias("w")))
+    passthrough = F.array(F.struct(F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("w")))
+    exploded = lean.select(*df.columns, "_split", "_null", F.posexplode(F.when(F.col("_split"), items).otherwise(passthrough)).alias("piece", "_it"))
     is_text = F.col("_split")
     keep_row = ~is_text | F.col("_it.p").rlike(NON_BLANK)
     new_md = md.withField("content", F.col("_it.p"))

@@ -1,63 +1,84 @@
-"""Exact positions and running sums inside huge, few-valued groups.
+"""Scans along an order inside huge, few-valued groups: positions, running sums, lags, last values.
 
 ``Window.partitionBy(stage).orderBy(ts)`` sends a whole stage to one task; with five
-stages over 100 TB that is 20 TB per task. Instead the rows are range-partitioned on
-(group, order) so every task holds a contiguous, balanced slice; each slice computes
-local positions / running sums, a tiny table of per-slice totals gives every slice its
-offset, and a join adds it. Work and memory per task stay bounded by the slice size.
+stages over 100 TB that is 20 TB per task. Here rows are range-partitioned on (group, order,
+the row's own number) and written to the shared folder with the number of their slice, so
+that every slice is a contiguous, balanced run of rows, also where one order value holds a
+third of them. Slices are scanned by themselves, and each slice's last state, one small row a
+slice, is carried to the slices after it. Being written once, slices stay what they are when a
+branch is computed again. Work and memory per task are bounded by the slice size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.session import cut_lineage
+
+_ROW_BITS = (1 << 33) - 1  # a row's number within its partition, in monotonically_increasing_id
+
+
+def slices(df: DataFrame, group_cols, order_cols, num_slices: int | None = None) -> DataFrame:
+    """``df`` written in slices: ``_slice``, ascending with (group, order), and ``_at``, the place in it.
+
+    Order columns are names or sorted columns; rows that they do not tell apart come in any order."""
+    by = [*[F.col(c) for c in group_cols], *[F.col(c) if isinstance(c, str) else c for c in order_cols], F.col("_tie")]
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranges = tied.repartitionByRange(*([num_slices] if num_slices else []), *by).sortWithinPartitions(*by).drop("_tie")
+    return cut_lineage(ranges.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(_ROW_BITS)}), "table")
+
 
-def _slices(df: DataFrame, group_cols, order_cols, num_slices: int | None):
-    """Tag rows with a slice number that is a pure function of the first order column:
-    the bucket between approximate quantile boundaries. Slices are contiguous ranges in
-    order and roughly balanced; being a function of the row (not of a partition id) it
-    stays the same when a branch is recomputed or AQE coalesces partitions."""
-    from pyspark.ml.feature import Bucketizer
+def scan(df: DataFrame, group_cols, order_cols, sums: dict | None = None, lags: dict | None = None, lasts: dict | None = None,
+         num_slices: int | None = None) -> DataFrame:
+    """``df`` with columns that look back along the order inside each group.
 
-    n = num_slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = order_cols[0]
-    tmp = "_slice_key"
-    keyed = df.withColumn(tmp, F.col(first).cast("double"))
-    bounds = sorted(set(keyed.approxQuantile(tmp, [i / n for i in range(1, n)], 1.0 / (4 * n)))) if n > 1 else []
-    splits = [float("-inf"), *[b for b in bounds if b == b], float("inf")]
-    if len(splits) == 2:
-        return keyed.withColumn("_slice", F.lit(0)).drop(tmp)
-    out = Bucketizer(splits=splits, inputCol=tmp, outputCol="_slice", handleInvalid="keep").transform(keyed)
-    return out.withColumn("_slice", F.col("_slice").cast("int")).drop(tmp)
+    ``sums``: name -> column, summed up to and including the row; ``lags``: name -> column, its value in
+    the row before (null in a group's first); ``lasts``: name -> column, its last value that is
+    not null, the row's own included. Null groups are groups."""
+    group_cols, sums, lags, lasts = list(group_cols), dict(sums or {}), dict(lags or {}), dict(lasts or {})
+    value = {f"_v{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate([*sums.values(), *lags.values(), *lasts.values()])}
+    names = dict(zip([*sums, *lags, *lasts], value))
+    placed = slices(df.withColumns(value), group_cols, order_cols, num_slices)
+    # the state in which a slice leaves its last group, and the group that the next one begins with
+    ends = placed.groupBy("_slice", *group_cols).agg(
+        F.min("_at").alias("_lo"), F.max("_at").alias("_hi"), *[F.sum(names[n]).alias(f"s_{names[n]}") for n in sums],
+        *[F.max_by(F.struct(names[n]), "_at").alias(f"s_{names[n]}") for n in lags],
+        *[F.max_by(names[n], F.when(F.col(names[n]).isNotNull(), F.col("_at"))).alias(f"s_{names[n]}") for n in lasts])
+    state = [f"s_{v}" for v in value]
+    group = F.struct(*group_cols) if group_cols else F.struct(F.lit(0).alias("all"))
+    edges = ends.groupBy("_slice").agg(
+        F.min_by(group, "_lo").alias("_first"), F.max_by(F.struct(group.alias("_g"), *state), "_hi").alias("_last"))
+    marks = edges.select("_slice", F.explode(F.array(
+        F.struct(F.lit(0).alias("_kind"), F.col("_first").alias("_g"), *[F.lit(None).cast(ends.schema[c].dataType).alias(c) for c in state]),
+        F.struct(F.lit(1).alias("_kind"), F.col("_last._g").alias("_g"), *[F.col(f"_last.{c}").alias(c) for c in state]))).alias("_m")).select("_slice", "_m.*")
+    before = Window.partitionBy("_g").orderBy("_slice", "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.sum(f"s_{names[n]}").over(before).alias(f"c_{names[n]}") for n in sums]
+    carried += [F.last(f"s_{names[n]}", ignorenulls=True).over(before).alias(f"c_{names[n]}") for n in [*lags, *lasts]]
+    carry = cut_lineage(marks.select("_slice", "_kind", "_g", *carried).where("_kind = 0").drop("_kind"), "table")  # a row a slice
+    carry = carry.select(F.col("_slice").alias("_to"), *[F.col("_g")[c].alias(f"_g_{c}") for c in group_cols], *[f"c_{v}" for v in value])
+    own = Window.partitionBy("_slice", *group_cols).orderBy("_at")
+    so_far = own.rowsBetween(Window.unboundedPreceding, 0)
+    here = placed.withColumns(
+        {f"w_{names[n]}": F.sum(names[n]).over(so_far) for n in sums}
+        | {f"w_{names[n]}": F.lag(F.struct(names[n])).over(own) for n in lags}
+        | {f"w_{names[n]}": F.last(names[n], ignorenulls=True).over(so_far) for n in lasts})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols], F.col("_slice") == F.col("_to"))
+    joined = here.join(F.broadcast(carry), same, "left")  # as many rows as slices
+    out = {n: F.coalesce(F.col(f"w_{v}") + F.col(f"c_{v}"), F.col(f"w_{v}"), F.col(f"c_{v}")) if n in sums
+           else F.coalesce(f"w_{v}", f"c_{v}")[v] if n in lags else F.coalesce(f"w_{v}", f"c_{v}") for n, v in names.items()}
+    return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
 def global_position(df: DataFrame, group_cols, order_cols, out: str = "gpos",
                     sum_col: str | None = None, sum_out: str = "running_sum",
                     num_slices: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row within its group in ``order_cols``
-    order (order columns must make it unique), and optionally ``sum_out`` = running sum
-    of ``sum_col`` including the row."""
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    p = _slices(df, group_cols, order_cols, num_slices)
-    w = Window.partitionBy("_slice", *group_cols).orderBy(*order_cols)
-    p = p.withColumn("_lpos", F.row_number().over(w) - 1)
-    if sum_col:
-        p = p.withColumn("_lsum", F.sum(sum_col).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    aggs = [F.count("*").alias("_n")]
-    if sum_col:
-        aggs.append(F.sum(sum_col).alias("_s"))
-    tot = p.groupBy("_slice", *group_cols).agg(*aggs)
-    wo = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.withColumn("_noff", F.coalesce(F.sum("_n").over(wo), F.lit(0)))
-    if sum_col:
-        off = off.withColumn("_soff", F.coalesce(F.sum("_s").over(wo), F.lit(0)))
-    off = off.drop("_n", "_s")
-    j = p.join(off, ["_slice", *group_cols])
-    j = j.withColumn(out, F.col("_noff") + F.col("_lpos"))
-    if sum_col:
-        j = j.withColumn(sum_out, F.col("_soff") + F.col("_lsum"))
-    return j.drop("_slice", "_lpos", "_lsum", "_noff", "_soff")
+    order, and optionally ``sum_out`` = running sum of ``sum_col`` including the row."""
+    sums = {out: F.lit(1).cast("long")} | ({sum_out: sum_col} if sum_col else {})
+    return scan(df, group_cols, order_cols, sums=sums, num_slices=num_slices).withColumn(out, F.col(out) - 1)
 
 
 def rolling_frame(df: DataFrame, group_cols, order_cols, window: int, aggs: dict,

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.operators.ranking import exact_median, global_position, rolling_frame  # noqa: F401
+from folio.operators.ranking import exact_median, global_position, rolling_frame, scan  # noqa: F401
 
 
 def to_micros(ts) -> Column:
@@ -63,14 +63,11 @@ def channel_latency(spans: DataFrame) -> DataFrame:
     """Queue wait before each stage: from the previous stage's exit to this entry, per
     job in entry order (first stage: no wait).
 
-    The predecessor is found by exact position (range slices, see ``ranking``) and an
-    equi-join on (job, position - 1), so a job with a huge trace is spread over many
-    tasks instead of one window partition."""
-    g = global_position(spans, ["job_id"], ["entry_us", "pos"], "_g")
-    prev = g.select("job_id", (F.col("_g") + 1).alias("_g"), F.col("exit_us").alias("_prev_exit"))
-    return (g.join(prev, ["job_id", "_g"], "left")
-             .withColumn("wait_us", F.col("entry_us") - F.col("_prev_exit"))
-             .drop("_g", "_prev_exit"))
+    The predecessor is a lag along range slices whose last row is carried to the next
+    (see ``ranking``), so a job with a huge trace is spread over many tasks instead of one
+    window partition."""
+    before = scan(spans, ["job_id"], ["entry_us", "pos"], lags={"_prev_exit": "exit_us"})
+    return before.withColumn("wait_us", F.col("entry_us") - F.col("_prev_exit")).drop("_prev_exit")
 
 
 def rolling_stage_stats(values: DataFrame, window: int = 100, stage_col: str = "stage",
