@@ -130,14 +130,42 @@ def box_postprocess_q(spark, sf_dir):
                       "titled")
 
 
-@query("fragment_responses", operators=("A10", "A11"))
+FRAGMENT_BYTES = 65536
+
+
+@query("fragment_responses", operators=("A10",), sql=f"""
+WITH RECURSIVE
+items AS (SELECT source, doc_id, coalesce(strlen(text), 0) + 49 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn,
+                 sum(coalesce(strlen(text), 0) + 2) OVER (PARTITION BY source) + 49 AS total FROM documents),
+walk AS (
+  SELECT source, rn, 51 + s AS cur, CASE WHEN 51 + s > {FRAGMENT_BYTES} THEN 1 ELSE 0 END AS frag FROM items WHERE rn = 1 AND total > {FRAGMENT_BYTES}
+  UNION ALL
+  SELECT i.source, i.rn, CASE WHEN w.cur + i.s > {FRAGMENT_BYTES} THEN 51 + i.s ELSE w.cur + i.s END,
+         w.frag + CASE WHEN w.cur + i.s > {FRAGMENT_BYTES} THEN 1 ELSE 0 END
+  FROM walk w JOIN items i ON i.source IS NOT DISTINCT FROM w.source AND i.rn = w.rn + 1)
+SELECT i.doc_id, CAST(coalesce(w.frag, 0) AS bigint) AS fragment,
+       CAST(coalesce(max(w.frag) OVER (PARTITION BY i.source), 0) + 1 AS bigint) AS fragment_count
+FROM items i LEFT JOIN walk w ON i.source IS NOT DISTINCT FROM w.source AND i.rn = w.rn""")
 def fragment_responses_q(spark, sf_dir):
-    """Every source's word chunks packed into fragments of at most 64 KiB and put back
-    together (rows-only check; the greedy packing is checked against Python in tests)."""
-    from folio.operators import chunk as C
-    el = C.split_documents(text_elements(spark, sf_dir), "word", 60, 10, 450)
-    fr = responses.fragment_responses(el.select("job_id", "pos", "piece", "document_type", "metadata"), size_limit=65536)
-    return fr.groupBy("job_id", "fragment").agg(F.count("*").alias("n_items"), F.max("fragment_count").alias("n_frag"))
+    """Every source's documents, sized by their text, packed into fragments of at most 64 KiB."""
+    d = tables.load(spark, sf_dir, "documents").select(
+        F.col("source").alias("job_id"), F.col("doc_id").alias("pos"), F.lit("text").alias("document_type"),
+        F.struct(F.lit(None).cast("string").alias("content")).alias("metadata"), F.octet_length("text").alias("n_bytes"))
+    packed = responses.fragment_responses(d, size_limit=FRAGMENT_BYTES, size_col="n_bytes")
+    return packed.select(F.col("pos").alias("doc_id"), "fragment", "fragment_count")
+
+
+@query("reassemble_responses", operators=("A9", "A10", "A11"), sql="""
+SELECT source AS job_id, 'success' AS status, count(*) AS n_items, md5(string_agg(md5(coalesce(text, '')), '' ORDER BY doc_id)) AS data_md5
+FROM documents WHERE source IS NOT NULL GROUP BY source""")
+def reassemble_responses_q(spark, sf_dir):
+    """Responses of every source in fragments of 64 KiB, the first ones delivered twice, put together again."""
+    el = text_elements(spark, sf_dir).withColumn("job_id", F.col("metadata.source_metadata.source_id")).where(F.col("job_id").isNotNull())
+    jobs = el.select("job_id", F.lit(False).alias("cm_failed")).distinct()
+    sent = responses.build_responses(jobs, el, size_limit=FRAGMENT_BYTES)
+    back = responses.reassemble_responses(sent.unionByName(sent.where("fragment = 0")))
+    texts = F.transform("data", lambda e: F.md5(F.coalesce(e["metadata"]["content"], F.lit(""))))
+    return back.select("job_id", "status", F.size("data").cast("long").alias("n_items"), F.md5(F.array_join(texts, "")).alias("data_md5"))
 
 
 @query("layout_detections", operators=("E5", "E7", "E8", "E9", "E10"))
