@@ -2,12 +2,13 @@
 
 A reads a space and the text, B the text, before which it puts the space itself. Bytes at which
 tokens of both end cut the tokens into groups. The library's character offsets of A and the proto
-spans of B are the coarse cuts; where characters have several bytes, or B falls back to bytes, spans
-stand for whole characters only, and the ends are those of the tokens' decoded bytes.
+spans of B are the coarse cuts; where several tokens share a character, as a part of its bytes
+or as B's byte pieces, spans stand for the whole character, and the ends inside it are
+those of the tokens' decoded bytes.
 
 Text between two spaces that follow a non-blank has the tokens it has alone in both, so a worker
-aligns each distinct piece of text once and keeps the result; a task works on some hundred
-documents at a time with numpy. Tokens of a group are linked, each with each: what counts is how many
+aligns each distinct piece of text once and keeps the result; the new pieces of some hundred
+documents are tokenised as one text and aligned with numpy. Tokens of a group are linked, each with each: what counts is how many
 documents hold two ids linked. A task sums its documents' pairs before they are shuffled; the counts
 become sorted arrays in the shared folder, which workers map and search, so no worker holds them
 all. Documents are tokenised once, and their pairs staged between the two steps. The arrays need a
@@ -73,42 +74,41 @@ class Tokenizers:
         self.n_b = self.b.vocab_size()
         names = [self.b.id_to_piece(i) for i in range(self.n_b)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
-        self.space = [self.b.piece_to_id(MARK)]
+        self.space = self.b.piece_to_id(MARK)
+        self.a_size, self.b_size = (np.array([len(x) for x in raw], np.int64) for raw in (self.a_bytes, self.b_bytes))
+        # each id as text, with what can follow it
+        self.a_text, self.b_text = ([f"{i}{c}" for i in range(n) for c in ends] for n, ends in ((self.n_a, ",|"), (self.n_b, ",;")))
         self.cut = (spec.get("post_processor") or pre).get("type") == "ByteLevel" and pre.get("use_regex", True) and not any(MARK in p.lstrip(MARK) for p in names)
 
     def pieces(self, text: str) -> list[str]:
         return _PIECES(" " + text) if self.cut else [" " + text]
 
-    def both(self, pieces: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]] | None]:
-        """(A's ids, their end bytes, B's ids, their end bytes) of each piece, which begins with a
-        space; None where the tokens' bytes are not the piece's."""
-        protos = self.b.encode([p[1:] for p in pieces], return_type="proto")
-        for piece, a, proto in zip(pieces, self.a.encode_batch(pieces, add_special_tokens=False), protos):
-            a_ids = a.ids
-            spans = [(t.id, t.end) for t in proto.pieces]
-            b_ids = [i for i, _ in spans] or self.space
-            a_raw, b_raw = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            raw = piece.encode()
-            if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
-                yield None
-            elif len(raw) == len(piece) and spans:  # a byte a character: the libraries' spans are exact (B's lack the space)
-                yield a_ids, [end for _, end in a.offsets], b_ids, [end + 1 for _, end in spans]
-            else:
-                yield a_ids, np.cumsum([len(r) for r in a_raw]).tolist(), b_ids, np.cumsum([len(r) for r in b_raw]).tolist()
-
-
-def groups_of(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int], int]]:
-    """(A's ids, B's ids, end byte) between the bytes at which tokens of both end."""
-    out, i, j = [], 0, 0
-    for end in sorted(set(a_ends).intersection(b_ends)):
-        k, m = i, j
-        while k < len(a_ends) and a_ends[k] <= end:
-            k += 1
-        while m < len(b_ends) and b_ends[m] <= end:
-            m += 1
-        out.append((a_ids[i:k], b_ids[j:m], end))
-        i, j = k, m
-    return out
+    def both(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """A's ids, their end bytes, B's ids, their end bytes in a text that begins with a space; None
+        where the tokens' bytes are not the text's."""
+        found = self.a.encode(text, add_special_tokens=False)
+        a_ids, raw = found.ids, text.encode()
+        spans = [(t.id, t.end) for t in self.b.encode(text[1:], return_type="proto").pieces] or [(self.space, 0)]
+        b_ids = [i for i, _ in spans]
+        if b"".join(map(self.a_bytes.__getitem__, a_ids)) != raw or b"".join(map(self.b_bytes.__getitem__, b_ids)) != raw:
+            return None
+        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_ends = np.array([end for _, end in found.offsets], np.int64)
+        if len(raw) != len(text):  # characters before bytes
+            code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            a_ends = np.concatenate(([0], np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))))[a_ends]
+        b_ends = np.array([end for _, end in spans], np.int64) + 1  # the space that B adds
+        return a_ids, _refined(a_ends, self.a_size[a_ids]), b_ids, _refined(b_ends, self.b_size[b_ids])
+
+
+def _refined(ends: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Ends of spans; of those that share a character with the next or the last one, by decoded bytes."""
+    shared = np.zeros(len(ends), bool)
+    shared[:-1] = ends[:-1] >= ends[1:]
+    shared[1:] |= ends[1:] <= ends[:-1]
+    start = np.concatenate(([0], ends[:-1]))
+    shared |= ends - start != size  # also a byte piece whose span is empty because a later one has it
+    return np.where(shared, np.cumsum(size), ends)
 
 
 class Aligned:
@@ -123,38 +123,69 @@ class Aligned:
         self.pairs, self.ends = _Ragged(2), _Ragged(1)
 
     def learn(self, pieces: list[str]) -> None:
-        counts, pairs, ends = [], [], []
-        for found in self.tokenizers.both(pieces):
-            if found is None:
-                self.groups.append("")
-                counts.append((0, 0, 0, 0, 1))
-                pairs.append(())
-                ends.append(())
-                continue
-            a_ids, a_ends, b_ids, b_ends = found
-            if len(a_ids) == 1 or len(b_ids) == 1:
-                groups = [(a_ids, b_ids, a_ends[-1])]
-            else:
-                groups = groups_of(a_ids, a_ends, b_ids, b_ends)
-            linked: dict[int, int] = {}
-            for a, b, _ in groups:
-                if len(a) == 1 and len(b) == 1:
-                    pair = a[0] * self.tokenizers.n_b + b[0]
-                    linked[pair] = linked.get(pair, 0) + 1
-                else:
-                    for x, x_times in _times(a):
-                        for y, y_times in _times(b):
-                            pair = x * self.tokenizers.n_b + y
-                            linked[pair] = linked.get(pair, 0) + x_times * y_times
-            self.groups.append(";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b, _ in groups))
-            counts.append((len(a_ids), len(b_ids), len(groups), sum(linked.values()), 0))
-            pairs.append(tuple(linked.items()))
-            ends.append([end for _, _, end in groups])
-        self.index.update(zip(pieces, range(len(self.uses), len(self.uses) + len(pieces))))
-        self.counts = np.concatenate((self.counts, np.array(counts, np.int64).reshape(-1, 5)))
-        self.uses = np.concatenate((self.uses, np.zeros(len(pieces), np.int64)))
-        self.pairs.add(pairs)
-        self.ends.add(ends)
+        """Align new pieces; those that no blank ends stand apart in one text as they do alone."""
+        apart = [p for p in pieces if not p[-1].isspace() and MARK not in p and len(p) <= LONG]
+        if self.tokenizers.cut and len(apart) > 1:
+            found = self.tokenizers.both("".join(apart))
+            if found is not None:
+                self._add(apart, *found)
+                pieces = [p for p in pieces if p[-1].isspace() or MARK in p or len(p) > LONG]
+        for p in pieces:
+            self._add([p], *(self.tokenizers.both(p) or [None] * 4))
+
+    def _add(self, pieces: list[str], a_ids, a_ends, b_ids, b_ends) -> None:
+        """Keep the groups of pieces that stand one after the other; of none if there are no ids."""
+        n = len(pieces)
+        self.index.update(zip(pieces, range(len(self.uses), len(self.uses) + n)))
+        self.uses = np.concatenate((self.uses, np.zeros(n, np.int64)))
+        if a_ids is None:
+            self.groups += [""] * n
+            self.counts = np.concatenate((self.counts, np.array([[0, 0, 0, 0, 1]] * n, np.int64)))
+            self.pairs.add(np.zeros((0, 2), np.int64), np.zeros(n, np.int64))
+            self.ends.add(np.zeros((0, 1), np.int64), np.zeros(n, np.int64))
+            return
+        last = np.cumsum(np.fromiter((len(p.encode()) for p in pieces), np.int64, n))
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        piece = np.searchsorted(last, cuts)
+        n_a, n_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        counts = np.zeros((n, 5), np.int64)
+        for c, weight in enumerate((n_a, n_b, np.ones(len(cuts)), n_a * n_b)):
+            counts[:, c] = np.bincount(piece, weight, n)
+        self.counts = np.concatenate((self.counts, counts))
+        self.ends.add((cuts - np.concatenate(([0], last[:-1]))[piece])[:, None], counts[:, 2])
+        self._add_text(n, piece, a_ids, a_group, b_ids, b_group)
+        self._add_pairs(n, piece, n_a, n_b, a_ids, a_group, b_ids, b_group)
+
+    def _add_text(self, n: int, piece, a_ids, a_group, b_ids, b_group) -> None:
+        """Each piece's groups as text, every one closed by a semicolon."""
+        texts, which = [], []
+        for ids, group, table in ((a_ids, a_group, self.tokenizers.a_text), (b_ids, b_group, self.tokenizers.b_text)):
+            ends = np.append(group[1:] != group[:-1], True)
+            texts += map(table.__getitem__, (2 * ids + ends).tolist())
+            which.append(group)
+        order = np.argsort(np.concatenate((2 * which[0], 2 * which[1] + 1)), kind="stable")
+        texts = list(map(texts.__getitem__, order.tolist()))
+        at = np.concatenate(([0], np.cumsum(np.bincount(piece[np.concatenate(which)], minlength=n)))).tolist()
+        self.groups += ["".join(texts[lo:hi]) for lo, hi in zip(at[:-1], at[1:])]
+
+    def _add_pairs(self, n: int, piece, n_a, n_b, a_ids, a_group, b_ids, b_group) -> None:
+        """Each piece's linked pairs with their times: of small groups all of them, of large ones by distinct ids."""
+        b_start = np.cumsum(n_b) - n_b
+        small = (n_a * n_b <= 4096)[a_group]
+        left, times = a_ids[small], n_b[a_group[small]]
+        step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        right = b_ids[np.repeat(b_start[a_group[small]], times) + step]
+        wide = self.tokenizers.n_a * self.tokenizers.n_b
+        key = np.repeat(piece[a_group[small]], times) * wide + np.repeat(left, times) * self.tokenizers.n_b + right
+        weight = np.ones(len(key), np.int64)
+        for g in np.flatnonzero(n_a * n_b > 4096).tolist():
+            (x, x_times), (y, y_times) = (np.unique(i[k == g], return_counts=True) for i, k in ((a_ids, a_group), (b_ids, b_group)))
+            key = np.concatenate((key, (piece[g] * wide + x[:, None] * self.tokenizers.n_b + y).ravel()))
+            weight = np.concatenate((weight, (x_times[:, None] * y_times).ravel()))
+        key, weight = _sums(key, weight)
+        of, pair = np.divmod(key, wide)
+        self.pairs.add(np.stack((pair, weight), axis=1), np.bincount(of, minlength=n))
 
     def forget(self) -> None:
         """Keep what was met most often, up to half of KEPT; pieces met once and long ones go."""
@@ -189,7 +220,7 @@ class Aligned:
         whole = counts[:, 4] == 0
         counts[~whole] = 0
         names, at = list(map(self.groups.__getitem__, which.tolist())), np.concatenate(([0], np.cumsum(sizes))).tolist()
-        groups = [";".join(names[at[k]:at[k + 1]]) if whole[k] else "" for k in range(len(texts))]
+        groups = ["".join(names[at[k]:at[k + 1]])[:-1] if whole[k] else "" for k in range(len(texts))]
         ends = [self._ends(parts[at[k]:at[k + 1]], which[at[k]:at[k + 1]]) if whole[k] else [] for k in range(len(texts))] if spans else [None] * len(texts)
         part, times = np.unique(doc * len(self.uses) + which, return_counts=True)
         doc, part = np.divmod(part, max(1, len(self.uses)))
@@ -214,6 +245,16 @@ class Aligned:
         return (rows[:, 0] + np.repeat(np.cumsum(size) - size, per)).tolist()
 
 
+def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of ``n`` by them."""
+    if not len(key):
+        return key, n
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[first], np.add.reduceat(n, first)
+
+
 class _Ragged:
     """Rows of several numbers each, some to an entry."""
 
@@ -221,10 +262,8 @@ class _Ragged:
         self.rows, self.count = np.zeros((0, width), np.int64), np.zeros(0, np.int64)
         self.start = np.zeros(0, np.int64)
 
-    def add(self, entries: list) -> None:
-        count = np.fromiter(map(len, entries), np.int64, len(entries))
-        flat = np.array([x for e in entries for x in e], np.int64).reshape(-1, self.rows.shape[1])
-        self.rows, self.count = np.concatenate((self.rows, flat)), np.concatenate((self.count, count))
+    def add(self, rows: np.ndarray, count: np.ndarray) -> None:
+        self.rows, self.count = np.concatenate((self.rows, rows)), np.concatenate((self.count, count))
         self.start = np.cumsum(self.count) - self.count
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,13 +277,6 @@ class _Ragged:
         self.start = np.cumsum(self.count) - self.count
 
 
-def _times(ids: list[int]) -> list[tuple[int, int]]:
-    out: dict[int, int] = {}
-    for i in ids:
-        out[i] = out.get(i, 0) + 1
-    return list(out.items())
-
-
 @lru_cache(maxsize=1)
 def _aligned(a_path: str, b_path: str) -> Aligned:
     return Aligned(Tokenizers(a_path, b_path))
@@ -283,13 +315,6 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, ALIGNED)
 
 
-def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key)
-    key, n = key[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[first], np.add.reduceat(n, first)
-
-
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, n, held, size = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
 
