@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import clean_filename
+from folio.operators.ranking import scan
+from folio.sources.objects import write_objects
+
+FILE_BYTES = 256 * 1024 * 1024
 
 
 def quote_path(c: Column) -> Column:
@@ -28,9 +32,8 @@ def store_objects(df: DataFrame, base_uri: str, bucket: str = "ingest", structur
                   images: bool = False, write: bool = False, index_col: str = "pos") -> DataFrame:
     """Decode base64 payloads of structured (default) / image rows and point their
     metadata at the stored object: ``source_location`` and the uploaded URL/URI become
-    ``<base_uri>/<bucket>/<key>``. With ``write`` the bytes are written under that URI
-    by the executors (``foreachPartition``; through fsspec where it is installed, else to
-    mounted paths only), idempotently: a retried task rewrites the same keys."""
+    ``<base_uri>/<bucket>/<key>``. With ``write`` the bytes are written under that URI by the
+    executors, and appear there when all of them are written (``sources.objects``)."""
     types = (["structured"] if structured else []) + (["image"] if images else [])
     sel = F.coalesce(F.col("document_type").isin(*types), F.lit(False))
     url = F.concat(F.lit(base_uri.rstrip("/") + "/" + bucket + "/"), object_key(df, index_col))
@@ -41,31 +44,11 @@ def store_objects(df: DataFrame, base_uri: str, bucket: str = "ingest", structur
               .otherwise(new_md.withField("table_metadata.uploaded_image_uri", url))
     out = df.withColumn("metadata", F.when(sel, new_md).otherwise(md))
     if write:
-        payload = out.where(sel).select(F.col("metadata.source_metadata.source_location").alias("uri"),
-                                        F.unbase64(F.col("metadata.content")).alias("bytes"))
-        payload.foreachPartition(_write_objects)
+        payload = df.where(sel).select(object_key(df, index_col).alias("key"), F.unbase64(F.col("metadata.content")).alias("bytes"))
+        write_objects(payload.where(F.col("key").isNotNull()), base_uri.rstrip("/") + "/" + bucket)
     return out
 
 
-def _write_objects(rows) -> None:
-    """Executor side: fsspec when installed (any scheme), else local/file:// paths."""
-    try:
-        import fsspec
-        opener = lambda u: fsspec.open(u, "wb")
-    except ImportError:
-        import os
-
-        def opener(u):
-            path = u[len("file://"):] if u.startswith("file://") else u
-            if "://" in path:
-                raise ValueError(f"{u}: no file system for this scheme without fsspec")
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            return open(path, "wb")
-    for r in rows:
-        with opener(r["uri"]) as fh:
-            fh.write(bytes(r["bytes"]))
-
-
 def doc_name(col: Column) -> Column:
     """Output file stem for a source: ``<clean basename>.metadata.json``."""
     base = F.regexp_extract(col, "([^/\\\\]+)$", 1)
@@ -79,12 +62,24 @@ def by_content_type(df: DataFrame) -> DataFrame:
               .groupBy("type", "doc_name").agg(F.count("*").alias("n_elements")))
 
 
-def write_by_content_type(df: DataFrame, out_dir: str, mode: str = "overwrite") -> None:
-    """Write elements as JSON under ``type=<content type>/doc_name=<file>.metadata.json``."""
-    (df.withColumn("type", F.col("metadata.content_metadata.type"))
-       .withColumn("doc_name", doc_name(F.col("metadata.source_metadata.source_name")))
-       .select("type", "doc_name", "document_type", "metadata")
-       .write.mode(mode).partitionBy("type", "doc_name").json(out_dir))
+def write_by_content_type(df: DataFrame, out_dir: str, file_bytes: int = FILE_BYTES) -> int:
+    """One JSON array of elements per (type, file): ``<content type>/<file>.metadata.json``, in
+    (``pos``, ``piece``) order; the number of files. Files appear when all are written.
+
+    A file holds up to about ``file_bytes``; the elements beyond follow in ``<file>.metadata.1.json`` and
+    so on, so that one source, however large, is written by many tasks."""
+    keys = [c for c in ("job_id", "pos", "piece") if c in df.columns]
+    thin = df.select(F.coalesce(F.col("metadata.content_metadata.type"), F.lit("unknown")).alias("_type"),
+                     F.coalesce(doc_name(F.col("metadata.source_metadata.source_name")), F.lit("unknown.metadata.json")).alias("_name"),
+                     *keys, F.to_json(F.struct("document_type", "metadata")).alias("_json"))
+    placed = scan(thin.withColumn("_size", F.octet_length("_json") + 1), ["_type", "_name"], keys,
+                  sums={"_upto": "_size", "_at": F.lit(1).cast("long")})
+    part = F.floor((F.col("_upto") - F.col("_size")) / F.lit(int(file_bytes))).cast("long")
+    whole = placed.groupBy("_type", "_name", part.alias("_part")).agg(F.array_sort(F.collect_list(F.struct("_at", "_json"))).alias("_items"))
+    suffix = F.when(F.col("_part") > 0, F.concat(F.lit("."), F.col("_part").cast("string"))).otherwise("")
+    name = F.concat(F.regexp_replace("_name", "[.]json$", ""), suffix, F.lit(".json"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["_json"]), ","), F.lit("]"))
+    return write_objects(whole.select(F.concat("_type", F.lit("/"), name).alias("key"), F.encode(text, "utf-8").alias("bytes")), out_dir)
 
 
 def write_vectors(df: DataFrame, table_path: str, recreate: bool = False, batch_size: int = 5120) -> None:

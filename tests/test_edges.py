@@ -80,15 +80,33 @@ def test_pieces_do_not_carry_the_document(spark):
     assert out.where("job_id = 3").first().content == "img" and out.where("job_id = 2").first().metadata.error_metadata.status == "error"
 
 
-def test_objects_need_a_known_scheme(tmp_path):
-    pytest.importorskip("pandas")
-    sinks._write_objects([{"uri": f"file://{tmp_path}/x/y", "bytes": b"1"}])
-    assert (tmp_path / "x" / "y").read_bytes() == b"1"
-    try:
-        import fsspec  # noqa: F401
-    except ImportError:
-        with pytest.raises(ValueError):
-            sinks._write_objects([{"uri": "s3://store/x", "bytes": b"1"}])
+def test_objects_appear_together_or_not_at_all(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    from folio.sources import objects
+    rows = spark.createDataFrame([(f"a b/{i}.png", bytes([i]) * 1000) for i in range(40)] + [("empty", None)], "key string, bytes binary").repartition(5)
+    assert objects.write_objects(rows, f"file://{tmp_path}/x") == 41 and objects.write_objects(rows, str(tmp_path / "x")) == 41  # again: the same objects
+    assert (tmp_path / "x/a b/7.png").read_bytes() == bytes([7]) * 1000 and (tmp_path / "x/empty").read_bytes() == b""
+    assert len([f for f in (tmp_path / "x").rglob("*") if f.is_file()]) == 41 and not (tmp_path / "x/_uncommitted").exists()
+    bad = rows.union(spark.createDataFrame([("../out", b"1")], "key string, bytes binary"))
+    with pytest.raises(PySparkException):
+        objects.write_objects(bad, str(tmp_path / "y"))
+    assert not [f for f in (tmp_path / "y").rglob("*") if f.is_file()] and not (tmp_path / "out").exists()
+    assert objects.write_objects(rows.limit(0), str(tmp_path / "z")) == 0
+    with pytest.raises(ValueError):
+        objects.write_objects(rows, "nosuch://store/x")
+
+
+def test_files_by_content_type_are_cut_by_size(spark, tmp_path):
+    rows = [(1, i, "text", f"t{i}", "big.pdf") for i in range(50)] + [(2, 0, "text", "u", "x/small.pdf"), (2, 1, "structured", "s", "x/small.pdf"), (3, 0, "text", "n", None)]
+    df = metadata.inject_metadata(spark.createDataFrame(rows, "job_id long, pos long, document_type string, content string, source_id string").withColumn("source_name", F.col("source_id")))
+    size = max(r[0] for r in df.select(F.length(F.to_json(F.struct("document_type", "metadata")))).collect()) + 1
+    n = sinks.write_by_content_type(df, str(tmp_path / "out"), file_bytes=10 * size)
+    files = {str(f.relative_to(tmp_path / "out")): json.loads(f.read_text()) for f in (tmp_path / "out").rglob("*.json")}
+    assert n == len(files)
+    big = [files[k] for k in sorted((k for k in files if "big" in k), key=lambda k: (len(k), k))]
+    assert 5 <= len(big) <= 7 and [e["metadata"]["content"] for f in big for e in f] == [f"t{i}" for i in range(50)]
+    assert {k for k in files if "big" not in k} == {"text/small.pdf.metadata.json", "structured/small.pdf.metadata.json", "text/unknown.metadata.json"}
 
 
 def test_no_scratch_folder_on_a_cluster():

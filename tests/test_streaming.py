@@ -86,17 +86,30 @@ def test_watch_files(spark):
     assert got == ["a.txt", "b.pdf"]
 
 
-def test_reassemble_stream_emits_complete_jobs(spark):
-    d = tempfile.mkdtemp(prefix="folio-frag-")
-    rows = [(5, 1, 2, "success", "d", 3), (5, 0, 2, "success", "d0", 2), (6, 0, 2, "success", "x", 9)]
-    schema = "job_id long, fragment long, fragment_count long, status string, description string, n_items long"
-    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(d + "/in")
-    src = spark.readStream.schema(schema).parquet(d + "/in")
-    # available-now: a query with pending processing-time timeouts keeps running
-    # no-data batches, so it is stopped after the data at hand
-    q = (SS.reassemble_stream(src).writeStream.format("memory").queryName("reassembled")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(20)
-    q.stop()
-    got = [(r.job_id, r.status, r.description, r.n_items) for r in spark.sql("select * from reassembled").collect()]
-    assert got == [(5, "success", "d0", 5)]
+def test_reassemble_stream_puts_data_together(spark, tmp_path):
+    import time
+
+    schema = "job_id long, fragment long, fragment_count long, status string, description string, data array<string>"
+    table, out = str(tmp_path / "table"), str(tmp_path / "out")
+
+    def arrive(rows):
+        source = str(tmp_path / "in")
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        q = SS.store_fragments(spark.readStream.schema(schema).parquet(source), table, str(tmp_path / "c1"), availableNow=True)
+        q.awaitTermination(60)
+
+    arrive([(5, 1, 2, "success", "d", ["y", "z"]), (6, 0, 2, "success", "x", ["w"]), (7, 0, 3, "success", "late", ["l"])])
+    q = SS.reassemble_stream(spark, table, schema, out, str(tmp_path / "c2"), timeout="25 seconds", processingTime="1 second")
+    try:
+        arrive([(5, 1, 2, "success", "d", ["y", "z"]), (5, 0, 2, "success", "d0", ["x"]), (6, 0, 2, "success", "x", ["w"]), (7, 1, 3, "success", "n", ["m"])])
+        arrive([(6, 1, 2, "success", "n", ["v"]), (5, 0, 2, "success", "d0", ["x"])])
+        got, until = [], time.time() + 120
+        while time.time() < until and len(got) < 3:
+            assert q.exception() is None
+            time.sleep(2)
+            if os.path.isdir(out):
+                got = spark.read.schema("job_id long, status string, description string, data array<string>").parquet(out + "/*").collect()
+    finally:
+        q.stop()
+    assert sorted((r.job_id, r.status, r.description, r.data) for r in got) == [
+        (5, "success", "d0", ["x", "y", "z"]), (6, "success", "x", ["w", "v"]), (7, "failed", SS.TIMED_OUT, None)]
