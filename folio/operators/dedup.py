@@ -1,15 +1,17 @@
-"""Duplicate images: first row (by ``pos``, then job) of each content hash wins inside a scope.
+"""Duplicate images: the first row of each content hash, by ``(pos, job, piece, uuid)``, wins inside a scope.
 
 Plan: hash the content in place (narrow), aggregate the *thin* key table
-``(scope, hash) -> min(pos, job)`` (partial aggregation before the shuffle, so one image
+``(scope, hash) -> first place`` (partial aggregation before the shuffle, so one image
 repeated in a third of all rows still costs one row per map task), and join it back to
-the image rows only. AQE's skew join splits a hot hash on the big side. Non-image rows
-never enter a shuffle: they are unioned back untouched.
+the image rows only. AQE's skew join splits a hot hash on the big side. Non-image rows and
+images without content never enter a shuffle: they are unioned back untouched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.operators.filters import MSG_FILTER_DUPLICATE
@@ -31,20 +33,34 @@ def dedup_images(df: DataFrame, drop: bool = False, scope=("job_id",), algorithm
     """Later copies of an image are dropped (``drop``) or become info messages
     "Filtered duplicate image.".
 
-    ``scope=("job_id",)`` is the reference's per-message behaviour; ``scope=()`` dedups
-    across the whole corpus.
+    ``scope=("job_id",)`` looks at each job by itself (a null job is one); ``scope=()`` dedups
+    across the whole corpus. An image without content is no copy of another.
     """
     scope = list(scope)
-    is_img = F.coalesce(F.col("document_type") == content_type, F.lit(False))
+    is_img = F.coalesce(F.col("document_type") == content_type, F.lit(False)) & F.col("metadata.content").isNotNull()
     imgs = df.where(is_img).withColumn("_h", content_hash(F.col("metadata.content"), algorithm))
-    # pos orders rows inside a job only: across jobs the job decides between equal positions
-    place = F.struct(*[F.col(c).alias(c) for c in ("pos", "job_id") if c in df.columns and c not in scope])
-    firsts = imgs.groupBy(*scope, "_h").agg(F.min(place).alias("_first_pos"))
-    joined = imgs.join(firsts, on=[*scope, "_h"], how="inner")
-    dup = place != F.col("_first_pos")
+    # pos orders rows inside a job only: across jobs the job decides between equal positions. Several
+    # images of one document share its place: what is known of them decides, then nothing tells them apart
+    md = imgs.schema["metadata"].dataType
+    about = [F.col(f"metadata.{f}") for f in ("content_metadata", "image_metadata") if f in md.names]
+    order = [F.col(c).alias(c) for c in ("pos", "job_id", "piece", "uuid") if c in df.columns and c not in scope]
+    place = F.struct(*order, F.xxhash64(F.to_json(F.struct(*about)) if about else F.lit("")).alias("_about"))
+    places = imgs.groupBy(*scope, "_h", place.alias("_place")).agg(F.count("*").alias("_n"))
+    firsts = places.groupBy(*scope, "_h").agg(F.min(F.struct("_place", "_n")).alias("_first"))
+    keys = [*scope, "_h"]
+    firsts = firsts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_first")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    joined = imgs.join(firsts, same)
+    at_first = place == F.col("_first._place")
+    alike = joined.where(at_first & (F.col("_first._n") > 1))  # rows at one place with nothing between them
+    row = F.first(F.struct(*df.columns, F.col("_first._n").alias("_n"))).alias("_r")
+    alike = alike.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(row).select("_r.*")
+    rest = joined.where(~(at_first & (F.col("_first._n") > 1)))
+    out = rest.select(*df.columns, (~at_first).alias("_dup"))
+    out = out.unionByName(alike.select(*df.columns, F.lit(False).alias("_dup")))
     if drop:
-        kept = joined.where(~dup)
+        kept = out.where(~F.col("_dup"))
     else:
-        kept = tag_info_message(joined, dup, "filter", MSG_FILTER_DUPLICATE)
-    kept = kept.drop("_h", "_first_pos")
-    return kept.unionByName(df.where(~is_img))
+        copies = alike.withColumn("_copy", F.explode(F.sequence(F.lit(2).cast("long"), F.col("_n"))))
+        kept = tag_info_message(out.unionByName(copies.select(*df.columns, F.lit(True).alias("_dup"))), F.col("_dup"), "filter", MSG_FILTER_DUPLICATE)
+    return kept.drop("_dup").unionByName(df.where(~is_img))

@@ -9,11 +9,14 @@ holding most of the files does not land in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.predicates import extension
-from folio.operators.ranking import global_position
+from folio.operators.ranking import global_position, scan
+from folio.session import cut_lineage
 
 
 def with_ext(files: DataFrame, path_col: str = "path") -> DataFrame:
@@ -56,25 +59,42 @@ def sample_files(files: DataFrame, shares: dict, total_bytes: int, order_col: st
     if replacement:
         f = _draws(f.where(F.col("size") > 0), path_col, seed)
         order_col = "draw"
-    g = global_position(f, ["ext"], [order_col], "_g", sum_col="size", sum_out="cum_bytes")
+    g = scan(f, ["ext"], [order_col], sums={"cum_bytes": "size"})
     # sizes are >= 0, so "stop at the first overflow" == keep while the running total fits
-    return g.where(F.col("cum_bytes") <= F.col("budget")).drop("_g")
+    return g.where(F.col("cum_bytes") <= F.col("budget"))
 
 
 def _draws(f: DataFrame, path_col: str, seed: int) -> DataFrame:
-    """Numbered draws of files of each type, certainly enough to pass the type's budget:
-    no draw is smaller than the type's smallest file, and no budget needs more draws than
-    budget / smallest size + 1. Draws are made by exploding per-type blocks of numbers."""
-    f = f.withColumn("_rank", F.xxhash64(path_col))
-    numbered = global_position(f, ["ext"], ["_rank"], "_i").drop("_rank")
-    per = f.groupBy("ext").agg(F.count("*").alias("_files"), F.min("size").alias("_min"), F.max("budget").alias("_b"))
-    block = 1 << 16  # numbers a row explodes into
-    wanted = F.floor(F.col("_b") / F.col("_min")) + 1
-    starts = per.withColumn("_wanted", wanted).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_wanted") - 1, F.lit(block).cast("long"))))
-    draw = (starts.repartition("ext", "_from")
-                  .withColumn("draw", F.explode(F.sequence("_from", F.least(F.col("_from") + block, F.col("_wanted")) - 1)))
-                  .select("ext", "draw", F.pmod(F.xxhash64(F.lit(seed), "ext", "draw"), F.col("_files")).alias("_i")))
-    return draw.join(numbered, ["ext", "_i"]).drop("_i")
+    """Numbered draws of files of each type, enough to pass the type's budget.
+
+    A draw costs its file's size on average the type's mean, so a round makes as many draws as the
+    bytes still missing hold means, and some more; the next round adds to the bytes reached. The
+    number of rows made follows the number of rows returned, whatever the smallest file is. A round's
+    draws are numbered by exploding blocks of numbers."""
+    spark = f.sparkSession
+    numbered = cut_lineage(global_position(f.withColumn("_rank", F.xxhash64(path_col)), ["ext"], ["_rank"], "_i").drop("_rank"), "table")
+    per = numbered.groupBy("ext").agg(F.count("*").alias("files"), F.avg("size").alias("mean"), F.max("budget").alias("budget")).collect()  # a row a type asked for
+    made, reached, rounds = {r["ext"]: 0 for r in per}, {r["ext"]: 0 for r in per}, []
+    while True:
+        wanted = []
+        for r in per:
+            left = r["budget"] - reached[r["ext"]]
+            if left >= 0:  # the draw that passes the budget is not made yet
+                n = int(left / r["mean"] * 1.05) + 64
+                wanted += [(r["ext"], r["files"], made[r["ext"]], made[r["ext"]] + n)]
+                made[r["ext"]] += n
+        if not wanted:
+            break
+        spans = spark.createDataFrame(wanted, "ext string, _files long, _lo long, _hi long")
+        blocks = spans.withColumn("_from", F.explode(F.sequence("_lo", F.col("_hi") - 1, F.lit(1 << 16).cast("long"))))
+        draw = (blocks.repartition("ext", "_from")
+                      .withColumn("draw", F.explode(F.sequence("_from", F.least(F.col("_from") + (1 << 16), F.col("_hi")) - 1)))
+                      .select("ext", "draw", F.pmod(F.xxhash64(F.lit(seed), "ext", "draw"), F.col("_files")).alias("_i")))
+        drawn = cut_lineage(draw.join(numbered, ["ext", "_i"]).drop("_i"), "table")
+        for r in drawn.groupBy("ext").agg(F.sum("size").alias("bytes")).collect():
+            reached[r["ext"]] += r["bytes"]
+        rounds.append(drawn)
+    return reduce(DataFrame.unionByName, rounds) if rounds else numbered.withColumn("draw", F.lit(0).cast("long")).drop("_i").limit(0)
 
 
 def check_sample(sampled: DataFrame, shares: dict, total_bytes: int, tol: float = 0.05) -> DataFrame:

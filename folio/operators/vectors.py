@@ -46,13 +46,22 @@ def vector_search(vectors: DataFrame, queries: DataFrame, k: int = 10, metric: s
                   id_col: str = "pk", vector_col: str = "vector", query_id_col: str = "query_id",
                   query_vector_col: str = "query", max_queries: int = 4096) -> DataFrame:
     """Top-k stored vectors per query: query_id, rank (1..k), pk, score (squared L2,
-    smaller is nearer; or cosine / inner product, larger is nearer). Ties -> smaller pk."""
+    smaller is nearer; or cosine / inner product, larger is nearer). Ties -> smaller pk.
+
+    Vectors that are null, hold nulls or numbers that are not finite, or have another length than most
+    queries, take no part on either side; a null id is left out. Ids keep their own types."""
     if metric not in ("l2", "cosine", "ip"):
         raise ValueError("metric must be l2, cosine or ip")
-    n_q = queries.count()  # size check before anything is broadcast
+    queries = _whole(queries.select(query_id_col, query_vector_col), query_id_col, query_vector_col)
+    sizes = queries.groupBy(F.size(query_vector_col).alias("d")).count().collect()  # a row a length
+    n_q = sum(r["count"] for r in sizes)  # size check before anything is broadcast
     if n_q == 0:
+        kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((queries, query_id_col), (vectors, id_col))}
         return vectors.sparkSession.createDataFrame(
-            [], f"{query_id_col} long, rank int, {id_col} long, score double")
+            [], f"`{query_id_col}` {kinds[query_id_col]}, rank int, `{id_col}` {kinds[id_col]}, score double")
+    length = max(sizes, key=lambda r: (r["count"], -r["d"]))["d"]
+    queries = queries.where(F.size(query_vector_col) == length)
+    vectors = _whole(vectors.select(id_col, vector_col), id_col, vector_col).where(F.size(vector_col) == length)
     blocks = []
     if n_q <= max_queries:
         blocks.append(queries)
@@ -68,6 +77,12 @@ def vector_search(vectors: DataFrame, queries: DataFrame, k: int = 10, metric: s
     return out
 
 
+def _whole(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """Rows with an id and a vector of finite numbers."""
+    bad = F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return df.where(F.col(id_col).isNotNull() & (F.size(vector_col) > 0) & ~F.coalesce(bad, F.lit(True)))
+
+
 def _squared_distances(v: np.ndarray, q: np.ndarray, rows: np.ndarray, cols: np.ndarray, step: int = 4096) -> np.ndarray:
     """Squared distance of the pairs (v[rows], q[cols]), ``step`` pairs at a time."""
     out = np.empty(len(rows))
@@ -80,7 +95,7 @@ def _squared_distances(v: np.ndarray, q: np.ndarray, rows: np.ndarray, cols: np.
 def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
     spark = vectors.sparkSession
     rows = queries.select(qid, qvec).collect()  # bounded by max_queries (checked above)
-    q_ids = np.array([r[0] for r in rows], dtype=np.int64)
+    q_ids = pd.Series([r[0] for r in rows]).to_numpy()
     q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
     bc = spark.sparkContext.broadcast((q_ids, q_mat))
     larger_better = metric != "l2"
@@ -94,7 +109,7 @@ def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
             if pdf.empty:
                 continue
             v = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vector_col].to_numpy()])
-            pk = pdf[id_col].to_numpy(dtype=np.int64)
+            pk = pdf[id_col].to_numpy()
             if metric == "l2":
                 squares = (v * v).sum(axis=1)[:, None] + qn[None, :]
                 s = squares - 2.0 * (v @ qm.T)
@@ -117,7 +132,7 @@ def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
             yield pd.DataFrame({qid: ids[cols], id_col: pk[rows_], "score": found})
 
     part = vectors.select(id_col, vector_col).mapInPandas(
-        score, f"{qid} long, {id_col} long, score double")
+        score, f"`{qid}` {queries.schema[qid].dataType.simpleString()}, `{id_col}` {vectors.schema[id_col].dataType.simpleString()}, score double")
     order = F.col("score").desc() if larger_better else F.col("score").asc()
     w = Window.partitionBy(qid).orderBy(order, F.col(id_col).asc())
     return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

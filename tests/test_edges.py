@@ -106,7 +106,7 @@ def test_files_by_content_type_are_cut_by_size(spark, tmp_path):
     assert n == len(files)
     big = [files[k] for k in sorted((k for k in files if "big" in k), key=lambda k: (len(k), k))]
     assert 5 <= len(big) <= 7 and [e["metadata"]["content"] for f in big for e in f] == [f"t{i}" for i in range(50)]
-    assert {k for k in files if "big" not in k} == {"text/small.pdf.metadata.json", "structured/small.pdf.metadata.json", "text/unknown.metadata.json"}
+    assert {k for k in files if "big" not in k} == {"text/small.pdf.metadata.json", "unknown/small.pdf.metadata.json", "text/unknown.metadata.json"}
 
 
 def test_no_scratch_folder_on_a_cluster():
@@ -182,3 +182,44 @@ def test_figures_types_and_tasks(spark):
 def test_plain_text_of_other_blanks_and_line_ends(spark):
     df = spark.createDataFrame([("#\u00a0T",), ("*a\u2028b*",), ("*a\nb*",)], "t string")
     assert [r[0] for r in df.select(layout.markdown_to_plain("t")).collect()] == ["T", "a\u2028b", "*a\nb*"]
+
+
+def image_rows(spark, rows):
+    """(job, pos, piece, content, page) as image elements."""
+    from folio import schema as S
+    from folio.functions.structs import build_struct
+    df = spark.createDataFrame(rows, "job_id string, pos long, piece int, c string, page int")
+    md = build_struct(S.METADATA, content=F.col("c"), content_metadata=build_struct(S.CONTENT_METADATA, page_number=F.col("page")))
+    return df.select("job_id", "pos", "piece", F.lit("image").alias("document_type"), F.lit("u").alias("uuid"), md.alias("metadata"))
+
+
+def test_dedup_keeps_every_row_that_is_no_copy(spark):
+    rows = [("a", 0, None, None, 0), ("a", 1, None, None, 0), ("a", 2, None, "x", 0), (None, 0, None, "x", 0), (None, 1, None, "x", 0), ("b", 0, None, "x", 1), ("b", 0, None, "x", 0),
+            ("b", 0, 1, "y", 0), ("b", 0, 0, "y", 0)] + [("same", 3, None, "z", 0)] * 5
+    el = image_rows(spark, rows)
+    tagged = dedup.dedup_images(el).collect()
+    assert len(tagged) == len(rows)
+    kept = sorted(((r.job_id or "", r.pos, r.piece, r.metadata.content, r.metadata.content_metadata.page_number) for r in tagged if r.document_type == "image"), key=str)
+    want = sorted([("a", 0, None, None, 0), ("a", 1, None, None, 0), ("a", 2, None, "x", 0), ("", 0, None, "x", 0), ("b", 0, 0, "y", 0), ("same", 3, None, "z", 0)], key=str)
+    assert [k for k in kept if k[:4] != ("b", 0, None, "x")] == want and sum(k[:4] == ("b", 0, None, "x") for k in kept) == 1
+    assert sum(r.document_type == "info_message" for r in tagged) == 7
+    assert dedup.dedup_images(el, drop=True).count() == 7 and dedup.dedup_images(el, drop=True, scope=()).count() == 5
+    assert dedup.dedup_images(el.limit(0)).count() == 0
+
+
+def test_search_leaves_broken_vectors_out(spark):
+    v = spark.createDataFrame([("p1", [1.0, 0.0]), ("p2", None), ("p3", [1.0]), ("p4", [None, 1.0]), ("p5", [float("nan"), 1.0]), ("p6", [0.0, 2.0]), (None, [1.0, 0.0]), ("p7", [])],
+                              "pk string, vector array<double>")
+    q = spark.createDataFrame([("q1", [1.0, 0.0]), ("q2", None), ("q3", [1.0, 0.0, 0.0]), ("q4", [0.0, 1.0])], "query_id string, query array<double>")
+    got = {(r.query_id, r.rank): r.pk for r in vectors.vector_search(v, q, k=5).collect()}
+    assert got == {("q1", 1): "p1", ("q1", 2): "p6", ("q4", 1): "p6", ("q4", 2): "p1"}
+    assert vectors.vector_search(v, q.limit(0)).count() == 0 and vectors.vector_search(v.limit(0), q).count() == 0
+
+
+def test_draws_follow_the_bytes_wanted(spark):
+    files = spark.createDataFrame([("a.pdf", 1, 0), ("b.pdf", 1_000_000, 1), ("c.pdf", 900_000, 2), ("d.txt", 10, 3)], "path string, size long, pos long")
+    got = sampling.sample_files(files, {"pdf": 99.999, "txt": 0.001}, 200_000_000, replacement=True, seed=5).collect()
+    pdf = sum(r.size for r in got if r.path.endswith("pdf"))
+    assert 198_000_000 < pdf <= 199_998_000 and len(got) < 1000 and sum(r.size for r in got if r.path == "d.txt") == 2000
+    made = sampling._draws(sampling.with_ext(files).withColumn("budget", F.lit(200_000_000.0)).where("ext = 'pdf'"), "path", 5).count()
+    assert made < 800  # not budget / 1 byte
