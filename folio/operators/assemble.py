@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.operators.ranking import scan
+from folio.session import cut_lineage
+
 # Roll-up depths (finest first) and the chart JSON keys, in output order.
 DEPTH_KEYS = {
     "span": ["page", "block", "line", "span"],
@@ -48,36 +51,66 @@ def rollup_text(df: DataFrame, depth: str = "document", sep: str = " ", keep_emp
 
 
 def order_shapes(df: DataFrame, scope=("job_id", "page"), top: str = "top", left: str = "left") -> DataFrame:
-    """Reading order by (top, left), ties by pos: adds ``reading_order`` (1-based)."""
-    w = Window.partitionBy(*scope).orderBy(top, left, "pos")
-    return df.withColumn("reading_order", F.row_number().over(w))
+    """Reading order by (top, left), ties by pos: adds ``reading_order`` (1-based).
+
+    A page's shapes are counted along slices (:mod:`folio.operators.ranking`), however many it has."""
+    return scan(df, scope, [top, left, "pos"], sums={"reading_order": F.lit(1).cast("long")})
+
+
+def nearby_pointers(df: DataFrame, scope=("job_id", "page"), order_cols=("top", "left", "pos")) -> DataFrame:
+    """The blocks of each page as one ordered list of texts, and how far into it every row reaches.
+
+    Adds ``text_order``, a text's 1-based place in the list (null for rows without text), ``nearby_count``,
+    the texts at or before the row in reading order, and ``nearby_last``, the last of them: a row's nearby
+    texts are the first ``nearby_count`` of its page. One row in, one row out."""
+    has_text = F.coalesce(F.length("text") > 0, F.lit(False))
+    out = scan(df, scope, order_cols, sums={"nearby_count": has_text.cast("long")}, lasts={"nearby_last": F.when(has_text, F.col("text"))})
+    return out.withColumn("text_order", F.when(has_text, F.col("nearby_count")))
+
+
+NEARBY_CHUNK = 256
 
 
 def nearby_blocks(df: DataFrame, scope=("job_id", "page"), order_cols=("top", "left", "pos"),
                   is_image_col: str = "is_image") -> DataFrame:
     """For every image row: the text blocks at or before it in reading order (its own
-    text included when it has some), as ``nearby_text`` (array) and ``nearby_bbox``."""
-    w = Window.partitionBy(*scope).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    has_text = F.coalesce(F.length("text") > 0, F.lit(False))
-    item = F.when(has_text, F.struct(F.col("text").alias("t"), F.array("x1", "y1", "x2", "y2").alias("b")))
-    lst = F.collect_list(item).over(w)
-    img = F.coalesce(F.col(is_image_col), F.lit(False))
-    return (df.withColumn("_l", F.when(img, lst))
-              .withColumn("nearby_text", F.transform("_l", lambda x: x["t"]))
-              .withColumn("nearby_bbox", F.transform("_l", lambda x: x["b"]))
-              .drop("_l"))
+    text included when it has some), as ``nearby_text`` (array) and ``nearby_bbox``.
+
+    Images point into their page's list (:func:`nearby_pointers`), which is kept in rows of
+    NEARBY_CHUNK texts, and take the chunks they reach. The arrays repeat a page's texts for each of its
+    images; where that is too much, the pointers say the same in one row each."""
+    scope = list(scope)
+    placed = nearby_pointers(df.withColumn("_image", F.monotonically_increasing_id()), scope, order_cols)
+    placed = cut_lineage(placed, "table")  # numbers of rows stay what they are
+    chunk = F.floor((F.col("text_order") - 1) / NEARBY_CHUNK)
+    item = F.struct("text_order", F.col("text").alias("t"), F.array("x1", "y1", "x2", "y2").alias("b"))
+    lists = placed.where(F.col("text_order").isNotNull()).groupBy(*scope, chunk.alias("_chunk")).agg(F.array_sort(F.collect_list(item)).alias("_list"))
+    lists = lists.select(*[F.col(c).alias(f"_of_{c}") for c in scope], "_chunk", "_list")
+    is_image = F.coalesce(F.col(is_image_col), F.lit(False))
+    images = placed.where(is_image & (F.col("nearby_count") > 0)).select(
+        *scope, "_image", "nearby_count", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("nearby_count") - 1) / NEARBY_CHUNK))).alias("_chunk"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in scope]
+    reached = images.join(lists.withColumnRenamed("_chunk", "_at"), [*same, F.col("_chunk") == F.col("_at")]).withColumn(
+        "_list", F.filter("_list", lambda x: x["text_order"] <= F.col("nearby_count")))
+    found = reached.groupBy(F.col("_image").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_list"))).alias("_all"))
+    found = found.select("_row", F.flatten(F.transform("_all", lambda x: x["_list"])).alias("_l"))
+    out = placed.join(found, F.col("_image") == F.col("_row"), "left")
+    filled = F.when(is_image, F.coalesce("_l", F.array().cast(found.schema["_l"].dataType)))
+    return (out.withColumn("_l", filled)
+               .withColumn("nearby_text", F.transform("_l", lambda x: x["t"]))
+               .withColumn("nearby_bbox", F.transform("_l", lambda x: x["b"]))
+               .select(*df.columns, "nearby_text", "nearby_bbox"))
 
 
 def caption_from_next_block(df: DataFrame, scope=("job_id",), kind_col: str = "kind") -> DataFrame:
     """Caption of an image = text of the next paragraph after it in ``pos`` order, "" at
-    the end of the document."""
-    # walk the document backwards: the nearest following paragraph is the last one seen
-    # before this row, a growing frame that Spark evaluates incrementally (a frame that
-    # ends at "unbounded following" would be re-aggregated for every row)
-    w = Window.partitionBy(*scope).orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    the end of the document.
+
+    Walked backwards, the next paragraph is the last one seen: a scan along slices that carries it from
+    one to the next, so a long document is not one task's."""
     para_text = F.when(F.col(kind_col) == "paragraph", F.col("text"))
-    nxt = F.last(para_text, ignorenulls=True).over(w)
-    return df.withColumn("caption", F.when(F.col(kind_col) == "image", F.coalesce(nxt, F.lit(""))))
+    out = scan(df, scope, [F.col("pos").desc()], lasts={"_next": para_text})
+    return out.withColumn("caption", F.when(F.col(kind_col) == "image", F.coalesce("_next", F.lit("")))).drop("_next")
 
 
 def escape_markdown(c: Column) -> Column:

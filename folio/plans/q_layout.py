@@ -60,9 +60,25 @@ def nearby_blocks_q(spark, sf_dir):
          .withColumn("text", F.when(F.col("is_image"), F.lit("")).otherwise(F.col("text")))
          .withColumnRenamed("y1", "top").withColumnRenamed("x1", "left")
          .withColumn("x1", F.col("left")).withColumn("y1", F.col("top")))
-    r = assemble.nearby_blocks(b, scope=("doc",), order_cols=("top", "left", "pos"))
-    return r.where("is_image").select("pos", F.size("nearby_text").cast("long").alias("n_nearby"),
-                                      F.try_element_at("nearby_text", F.lit(-1)).alias("last_text"))
+    r = assemble.nearby_pointers(b, scope=("doc",), order_cols=("top", "left", "pos"))
+    return r.where("is_image").select("pos", F.col("nearby_count").alias("n_nearby"), F.col("nearby_last").alias("last_text"))
+
+
+@query("nearby_block_lists", operators=("D11",), sql=f"""
+SELECT pos, len(t) AS n_nearby, md5(array_to_string(t, chr(10))) AS texts_md5 FROM (
+  SELECT pos, text_type, coalesce(array_agg(text ORDER BY y1, x1, pos) FILTER (WHERE text_type = 'nearby_block') OVER (
+           PARTITION BY doc, page ORDER BY y1, x1, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), []) AS t
+  FROM ({B_SQL}) b) x
+WHERE text_type = 'body'""")
+def nearby_block_lists_q(spark, sf_dir):
+    """The texts themselves, page by page of an order."""
+    b = (_blocks(spark, sf_dir)
+         .withColumn("is_image", F.col("text_type") == "body")
+         .withColumn("text", F.when(F.col("is_image"), F.lit("")).otherwise(F.col("text")))
+         .withColumnRenamed("y1", "top").withColumnRenamed("x1", "left")
+         .withColumn("x1", F.col("left")).withColumn("y1", F.col("top")))
+    r = assemble.nearby_blocks(b, scope=("doc", "page"))
+    return r.where("is_image").select("pos", F.size("nearby_text").cast("long").alias("n_nearby"), F.md5(F.array_join("nearby_text", "\n")).alias("texts_md5"))
 
 
 @query("caption_from_next_block", operators=("D12",), sql=f"""
@@ -197,6 +213,25 @@ def iou_pairs_q(spark, sf_dir):
                     F.round("iou", 6).alias("iou"))
 
 
+@query("nms", operators=("E7",), sql=f"""
+WITH RECURSIVE
+d AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, box_id) AS r FROM ({DET_SQL}) x),
+walk AS (
+  SELECT image_id, r, [struct_pack(i := box_id, x1 := x1, y1 := y1, x2 := x2, y2 := y2)] AS kept FROM d WHERE r = 1
+  UNION ALL
+  SELECT d.image_id, d.r,
+    CASE WHEN list_bool_or(list_transform(w.kept, lambda k:
+      greatest(least(k.x2, d.x2) - greatest(k.x1, d.x1), 0) * greatest(least(k.y2, d.y2) - greatest(k.y1, d.y1), 0)
+      > 0.5 * ((k.x2 - k.x1) * (k.y2 - k.y1) + (d.x2 - d.x1) * (d.y2 - d.y1)
+               - greatest(least(k.x2, d.x2) - greatest(k.x1, d.x1), 0) * greatest(least(k.y2, d.y2) - greatest(k.y1, d.y1), 0))))
+    THEN w.kept ELSE list_append(w.kept, struct_pack(i := d.box_id, x1 := d.x1, y1 := d.y1, x2 := d.x2, y2 := d.y2)) END
+  FROM walk w JOIN d ON d.image_id = w.image_id AND d.r = w.r + 1),
+ends AS (SELECT image_id, arg_max(kept, r) AS kept FROM walk GROUP BY image_id)
+SELECT image_id, unnest(kept).i AS box_id FROM ends""")
+def nms_q(spark, sf_dir):
+    return detect.nms(tables.detections(spark, sf_dir)).select("image_id", F.col("box_id").cast("long"))
+
+
 @query("expand_boxes", operators=("E10",), sql=f"""
 SELECT image_id, box_id, label,
   round(CASE WHEN label = 'chart' THEN greatest(x1 - (x2 - x1) / 2 * (rx - 1), 0.0) ELSE x1 END, 6) AS x1,
