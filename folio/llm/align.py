@@ -38,7 +38,7 @@ from folio.llm.shared import mounted, shared_path, stage
 from folio.llm.token_files import BYTE_CHARS
 
 MARK = "▁"            # stands for a space in B's pieces (fixed by the model format)
-KEPT = 250_000        # distinct pieces of text that a worker keeps
+KEPT = 500_000        # distinct pieces of text that a worker keeps
 LONG = 400            # characters of a piece that is not kept
 PAIRS_HELD = 4 << 20  # pairs that a task gathers before it sums them
 _SLICE = 256          # documents that are Python strings at a time
@@ -208,7 +208,7 @@ class Aligned:
                 own = self.tokenizers.pieces(t)
                 sizes[k] = len(own)
                 parts += own
-        new = list(dict.fromkeys(p for p in parts if p not in self.index))
+        new = list(set(parts).difference(self.index))
         if new:
             self.learn(new)
         which = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))

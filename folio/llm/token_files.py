@@ -35,8 +35,8 @@ SEGMENT_TOKENS = 4 << 20
 FILE_SCHEMA = "part int, seq int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, payload binary"
 DOC_SCHEMA = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 _SLICE = 512             # texts that are Python strings at a time
-_CACHED = 600_000        # distinct pieces of text whose ids a worker keeps
-_CACHED_WORDS = 250_000  # pre-tokens, in each of two generations
+_CACHED = 900_000        # distinct pieces of text whose ids a worker keeps
+_CACHED_WORDS = 400_000  # pre-tokens, in each of two generations
 # Fixed values of byte-level tokenizers: the pattern of their pre-tokens, and the characters that stand for bytes
 _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -68,11 +68,27 @@ class WholeTexts:
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
-        self._forget()
+        # marks that end words, and whether no special token can be in a word with one
+        self.marks = {c: self._word(c) for c in ".,!?;:"} if self.cut else {}
+        self.plain = not any(t.rstrip(".,!?;:").strip().isalpha() or not t.strip(".,!?;: ") for t in self.special)
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         self.known: dict = {None: 0}  # None: the end; bytes: a text's first piece; str: one after a space
         self.start, self.count, self.flat = np.zeros(1, np.int64), np.ones(1, np.int64), np.array([self.end_id], np.uint32)
+        self.uses = np.zeros(1, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces met most often, up to half of _CACHED; those met once go."""
+        often = np.flatnonzero(self.uses > 1)
+        keep = np.sort(often[np.argsort(-self.uses[often], kind="stable")[:_CACHED // 2]])
+        keep = np.concatenate(([0], keep[keep > 0]))
+        names = list(self.known)  # in the order of their places
+        self.known = {names[i]: k for k, i in enumerate(keep.tolist())}
+        count = self.count[keep]
+        ends = np.cumsum(count)
+        self.flat = self.flat[np.arange(int(ends[-1])) + np.repeat(self.start[keep] - (ends - count), count)]
+        self.start, self.count, self.uses = ends - count, count, self.uses[keep] >> 1
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token, 4 bytes each."""
@@ -86,25 +102,31 @@ class WholeTexts:
             self.words[word] = ids
         return ids
 
-    def _learn(self, pieces: list) -> None:
-        texts = [p.decode() if isinstance(p, bytes) else " " + p for p in pieces]
-        blob = "\0".join(texts)
+    def _whole(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that are not a word, or a word and a mark; where one may hold a special token, by the tokenizer."""
+        blob = "\0".join(pieces)
         if any(x in blob for x in self.special):
-            found = [array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
-        else:
-            found, word = [], self._word
-            for t in texts:
-                if t[1:].isalpha() and t[0] == " ":
-                    found.append(word(t))
-                elif t[1:-1].isalpha() and t[0] == " " and t[-1] in ".,!?;:":
-                    found.append(word(t[:-1]) + word(t[-1]))
-                else:
-                    found.append(b"".join([word(w) for w in _PRE_TOKENS(t)]))
+            return [array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in pieces]
+        return [b"".join(map(self._word, _PRE_TOKENS(t))) for t in pieces]
+
+    def _learn(self, pieces: list) -> None:
+        found, odd, word = [], [], self._word
+        for p in pieces:
+            if self.plain and type(p) is str and p.isalpha():
+                found.append(word(" " + p))
+            elif self.plain and type(p) is str and p[-1:] in self.marks and p[:-1].isalpha():
+                found.append(word(" " + p[:-1]) + self.marks[p[-1]])
+            else:
+                odd.append(len(found))
+                found.append(p.decode() if isinstance(p, bytes) else " " + p)
+        for i, ids in zip(odd, self._whole([found[i] for i in odd])):
+            found[i] = ids
         count = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.uint32)
         self.known.update(zip(pieces, range(len(self.count), len(self.count) + len(pieces))))
         self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
         self.count, self.flat = np.concatenate((self.count, count)), np.concatenate((self.flat, flat))
+        self.uses = np.concatenate((self.uses, np.zeros(len(pieces), np.int64)))
 
     def pieces(self, text: str) -> list:
         parts = text.split(" ")
@@ -133,10 +155,11 @@ class WholeTexts:
         new = list(set(parts).difference(self.known))
         if len(self.known) + len(new) > _CACHED:
             self._forget()
-            new = [p for p in set(parts) if p is not None]
+            new = list(set(parts).difference(self.known))
         if new:
             self._learn(new)
         which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        self.uses += np.bincount(which, minlength=len(self.uses))
         count = self.count[which]
         ends = np.cumsum(count)
         at = np.arange(int(ends[-1]))
@@ -190,7 +213,10 @@ def _encode_task(path: str, end_id: int, segment_tokens: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Write all documents' ids to ``path``. ``tokenizer``: a tokenizers file that every worker can open."""
     thin = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ordered = thin.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # rows that share an id are dealt by their texts, equal rows by their numbers
+    thin = thin.withColumn("tie", F.monotonically_increasing_id())
+    by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("tie")]
+    ordered = thin.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     ordered.mapInArrow(_encode_task(tokenizer, end_id, segment_tokens), FILE_SCHEMA).write.parquet(path)
 
 
