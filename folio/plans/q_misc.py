@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folio.operators import chunk, filters, layout, metadata
+from folio.operators import chunk, filters, language, layout, metadata
 from folio.plans.pipeline import run_tasks
 from folio.plans.q_text import JOBS_SQL, _pieces_sql, text_elements
 from folio.plans.registry import query
@@ -105,3 +105,12 @@ def ingest_text_jobs_q(spark, sf_dir):
                                                    "max_character_length": 1024}}]
     el = run_tasks(tables.jobs(spark, sf_dir), tasks)
     return el.groupBy("job_id").agg(F.count("*").alias("n_elements"))
+
+
+@query("detect_language_profiles", operators=("D6",))
+def detect_language_profiles_q(spark, sf_dir):
+    """Trigram profiles learned from three quarters of the documents, and every document's language by
+    them (accuracy on the others, and the profiles, are checked in tests)."""
+    d = tables.load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.learn_profiles(d.where(F.col("doc_id") % 4 != 0))
+    return chunk.detect_language(d, "text", fn=language.detector(profiles)).select("doc_id", "lang", "language")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio import schema as S
+from folio.functions.charset import decode_text
 from folio.functions.predicates import extension, infer_document_type_col
 
 TEXT_LIKE = ["text", "txt", "md", "html", "sh", "json"]
@@ -35,11 +37,27 @@ def infer_document_type(df: DataFrame, path_col: str = "path") -> DataFrame:
                   F.lit("Unsupported file type: "), extension(F.col(path_col))))))
 
 
-def encode_content(df: DataFrame, raw_col: str = "raw", charset: str = "UTF-8") -> DataFrame:
-    """Text-like documents -> decoded string; everything else -> base64 of the bytes."""
-    t = F.lower(F.col("document_type"))
-    return df.withColumn("content", F.when(t.isin(*TEXT_LIKE), F.decode(F.col(raw_col), charset))
-                         .otherwise(F.base64(F.col(raw_col))))
+def encode_content(df: DataFrame, raw_col: str = "raw", charset: str | None = None) -> DataFrame:
+    """Text-like documents -> decoded string; everything else -> base64 of the bytes.
+
+    Without ``charset`` each file's encoding is judged by its first 50,000 bytes
+    (:mod:`folio.functions.charset`): marks, UTF-8, UTF-16 and UTF-32 without marks, Latin, Cyrillic and
+    CJK encodings. Files that are valid UTF-8 never leave the JVM."""
+    t, raw = F.lower(F.col("document_type")), F.col(raw_col)
+    is_text = F.coalesce(t.isin(*TEXT_LIKE), F.lit(False))
+    if charset is not None:
+        text = F.decode(raw, charset)
+    else:
+        utf8 = F.is_valid_utf8(raw.cast("string")) & ~F.coalesce(F.contains(raw, F.lit(b"\0")) | F.startswith(raw, F.lit(b"\xef\xbb\xbf")), F.lit(True))
+        text = F.when(utf8, raw.cast("string")).otherwise(_decoded(F.when(is_text & ~utf8, raw)))
+    return df.withColumn("content", F.when(is_text, text).otherwise(F.base64(raw)))
+
+
+def _decoded(raw: Column) -> Column:
+    def decode(files: pd.Series) -> pd.Series:
+        return files.map(decode_text, na_action="ignore")
+
+    return F.pandas_udf(decode, "string")(raw)
 
 
 def read_manifest(spark: SparkSession, path: str, shuffle_seed: int | None = None) -> DataFrame:
