@@ -6,9 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio import schema as S
 from folio.functions.charset import decode_text
 from folio.functions.predicates import extension, infer_document_type_col
+from folio.operators.intake import parse_jobs  # noqa: F401
 
 TEXT_LIKE = ["text", "txt", "md", "html", "sh", "json"]
 
@@ -76,28 +76,6 @@ def read_jobs(spark: SparkSession, path: str) -> DataFrame:
     return parse_jobs(raw, "value")
 
 
-def parse_jobs(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> job rows: parsed struct, ``response_channel``, ``cm_failed``.
-
-    A job that has a ``job_id`` but fails validation is kept as failed; one without a
-    ``job_id`` is dropped (nobody could receive its answer). Document types are free text:
-    one that no stage knows fails where it is used, not here."""
-    parsed = F.from_json(F.col(value_col), S.JOB, {"mode": "PERMISSIVE"})
-    j = df.select(parsed.alias("j"), F.col(value_col).alias("_raw"))
-    jid = F.coalesce(F.col("j.job_id"), F.get_json_object(F.col("_raw"), "$.job_id"))
-    payload = F.col("j.job_payload")
-    valid = (payload.isNotNull() & payload["content"].isNotNull()
-             & (F.size(payload["content"]) == F.size(payload["source_id"]))
-             & (F.size(payload["content"]) == F.size(payload["source_name"]))
-             & (F.size(payload["content"]) == F.size(payload["document_type"]))
-             & F.forall(payload["document_type"], lambda t: t.isNotNull()))
-    return (j.where(jid.isNotNull())
-             .select(jid.alias("job_id"), F.col("j.job_payload").alias("job_payload"),
-                     F.col("j.tasks").alias("tasks"), F.col("j.tracing_options").alias("tracing_options"),
-                     F.concat(F.lit("response_"), jid).alias("response_channel"),
-                     (~F.coalesce(valid, F.lit(False))).alias("cm_failed")))
-
-
 def unpack_payload(jobs: DataFrame) -> DataFrame:
     """Parallel payload lists -> one row per position (``pos``), job columns kept."""
     keep = [c for c in jobs.columns if c != "job_payload"]
