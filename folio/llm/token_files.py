@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from array import array
 from codecs import charmap_decode
@@ -23,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,7 +42,7 @@ _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHER = [b for b in range(256) if b not in _PLAIN]
 BYTE_CHARS = "".join(chr(b) if b in _PLAIN else chr(256 + _OTHER.index(b)) for b in range(256))
-_BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)").search
+_BLANK_AFTER_SPACE = r" ([\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
 
 
 class WholeTexts:
@@ -129,42 +129,58 @@ class WholeTexts:
         self.uses = np.concatenate((self.uses, np.zeros(len(pieces), np.int64)))
 
     def pieces(self, text: str) -> list:
+        """Pieces of a text in which a blank, or the end, follows a space: those stay together."""
         parts = text.split(" ")
-        if _BLANK_AFTER_SPACE(text):
-            whole = parts[:1]
-            for p in parts[1:]:
-                if not p or p[0].isspace():
-                    whole[-1] += " " + p
-                else:
-                    whole.append(p)
-            parts = whole
-        parts[0] = parts[0].encode()
-        parts.append(None)
-        return parts
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, each with the end id, and the count of each."""
+        whole = parts[:1]
+        for p in parts[1:]:
+            if not p or p[0].isspace():
+                whole[-1] += " " + p
+            else:
+                whole.append(p)
+        whole[0] = whole[0].encode()
+        return whole
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the end id, and the count of each.
+
+        Texts are cut, and equal pieces found, by Arrow; Python sees a slice's distinct pieces."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self.cut:
-            found = [[*e.ids, self.end_id] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            found = [[*e.ids, self.end_id] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
-        parts, sizes = [], []
-        for t in texts:
-            own = self.pieces(t)
-            sizes.append(len(own))
-            parts += own
-        new = list(set(parts).difference(self.known))
+        odd = pc.match_substring_regex(texts, _BLANK_AFTER_SPACE).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        flat = split.flatten().dictionary_encode()
+        inside, words = flat.indices.to_numpy(), flat.dictionary.to_pylist()
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[~odd] = np.diff(split.offsets.to_numpy())
+        first = np.cumsum(sizes[~odd]) - sizes[~odd]
+        heads = [words[i].encode() for i in inside[first].tolist()]
+        parts = [self.pieces(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        sizes[odd] = [len(p) for p in parts]
+        others = [*heads, *(x for p in parts for x in p)]
+        new = list({*words, *others}.difference(self.known))
         if len(self.known) + len(new) > _CACHED:
             self._forget()
-            new = list(set(parts).difference(self.known))
+            new = list({*words, *others}.difference(self.known))
         if new:
             self._learn(new)
-        which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        place = self.known.__getitem__
+        plain = np.fromiter(map(place, words), np.int64, len(words))[inside]
+        others = np.fromiter(map(place, others), np.int64, len(others))
+        plain[first] = others[:len(heads)]
+        last = np.cumsum(sizes + 1) - 1
+        which = np.zeros(int(last[-1]) + 1, np.int64)  # the end, if nothing else
+        row = np.repeat(odd, sizes)
+        inner = np.ones(len(which), bool)
+        inner[last] = False
+        at = np.flatnonzero(inner)
+        which[at[~row]], which[at[row]] = plain, others[len(heads):]
         self.uses += np.bincount(which, minlength=len(self.uses))
         count = self.count[which]
         ends = np.cumsum(count)
         at = np.arange(int(ends[-1]))
         at += np.repeat(self.start[which] - (ends - count), count)
-        last = np.cumsum(sizes) - 1
         return self.flat[at], np.diff(ends[last], prepend=0)
 
 
@@ -187,7 +203,7 @@ def _encode_task(path: str, end_id: int, segment_tokens: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, _SLICE):
                 rows = batch.slice(lo, _SLICE)
-                ids, sizes = tokenizer.encode([t or "" for t in rows.column(1).to_pylist()])
+                ids, sizes = tokenizer.encode(rows.column(1))
                 keys, lo_doc, lo_tok = rows.column(0).to_pylist(), 0, 0
                 ends = np.cumsum(sizes)
                 while lo_doc < len(keys):  # whole documents up to the size of a segment, one at least

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import HARD_TEXTS, KneserNey, lower, near_components, words
 from pyspark.sql import functions as F
@@ -81,11 +82,13 @@ def test_frequencies_add_up_however_rare_the_symbols():
         assert f.sum() == 1 << rans.SCALE and f.min() >= 1
 
 
-def test_cached_tokenizer_gives_the_ids_of_whole_texts():
+@pytest.mark.parametrize("cached", [900_000, 40])
+def test_cached_tokenizer_gives_the_ids_of_whole_texts(monkeypatch, cached):
+    monkeypatch.setattr(token_files, "_CACHED", cached)
     t = token_files.WholeTexts(BYTE_BPE, 0)
-    texts = [x or "" for x in HARD_TEXTS]
-    for _ in range(2):
-        ids, sizes = t.encode(texts)
+    texts = [x or "" for x in HARD_TEXTS] + ["a b", "a  b", "b ", " b", "a \u00a0b", "a \u3000 b", "a \x1cb", "a \x85b", "don't, stop. <|endoftext|> x", "word. word, word! word", "", " "]
+    for _ in range(3):
+        ids, sizes = t.encode(pa.array(texts))
         want = [[*e.ids, 0] for e in t.tokenizer.encode_batch(texts, add_special_tokens=False)]
         assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
@@ -108,6 +111,20 @@ def test_token_files(spark):
     assert ids[101] == [*t.encode("text 1 of some", add_special_tokens=False).ids, 0]
 
 
+def test_an_id_held_by_a_third_of_the_rows_is_dealt_out(spark):
+    rows = [(5, f"text {i}") for i in range(400)] + [(None, "same")] * 400 + [(i, f"other {i}") for i in range(400)]
+    path = shared_path(spark, "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_tokens(frame(spark, rows), path, BYTE_BPE)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = spark.read.parquet(path).select("part", F.size("doc_ids").alias("n")).collect()
+    assert sum(r.n for r in parts) == 1200 and max(r.n for r in parts) < 400
+    got = token_files.read_tokens(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+
+
 def test_token_files_of_no_documents(spark):
     path = shared_path(spark, "tokens")
     token_files.write_tokens(frame(spark, []), path, BYTE_BPE)
