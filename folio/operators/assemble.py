@@ -135,7 +135,8 @@ def render_markdown_text(df: DataFrame, single_style: bool = True, escape: bool
     """Runs table (text, bold, italic, underline [, url]) -> ``markdown``.
 
     ``single_style`` (slides): italic wins, else bold, else underline; otherwise (word
-    processing) all flags apply. A run with a URL becomes ``[text](url)``, styled as a whole."""
+    processing) all flags apply. A run with a URL becomes ``[text](url)``, styled as a whole. A run with
+    ``in_list`` gets ``* `` before it, two blanks further in for each ``level``."""
     t = escape_markdown(F.col("text")) if escape else F.col("text")
     b, i, u = F.col("bold"), F.col("italic"), F.col("underline")
     if single_style:
@@ -145,7 +146,11 @@ def render_markdown_text(df: DataFrame, single_style: bool = True, escape: bool
         i = i2
     if "url" in df.columns:
         t = F.when(F.col("url").isNotNull(), F.concat(F.lit("["), t, F.lit("]("), F.col("url"), F.lit(")"))).otherwise(t)
-    return df.withColumn("markdown", format_text(t, b, i, u))
+    out = format_text(t, b, i, u)
+    if "in_list" in df.columns:
+        level = F.coalesce(F.col("level"), F.lit(0)).cast("int") if "level" in df.columns else F.lit(0)
+        out = F.when(F.coalesce("in_list", F.lit(False)), F.concat(F.repeat(F.lit("  "), level), F.lit("* "), out)).otherwise(out)
+    return df.withColumn("markdown", out)
 
 
 def merge_styled_runs(df: DataFrame, scope=("job_id", "paragraph")) -> DataFrame:
@@ -187,16 +192,21 @@ def apply_text_style(df: DataFrame, style_col: str = "style", text_col: str = "t
     return df.withColumn("styled", F.concat(F.repeat(F.lit("\t"), lvl), styled))
 
 
-def render_table(cells: DataFrame, fmt: str = "markdown", scope=("job_id", "table_id")) -> DataFrame:
+def render_table(cells: DataFrame, fmt: str = "markdown", scope=("job_id", "table_id"), tag: str = "<table {}>") -> DataFrame:
     """Cells (scope, row, col, text; row 0 = header) -> one rendered table per scope.
 
     markdown: ``| a | b |`` rows under a ``|---|---|`` rule; markdown_light: runs of
     whitespace and of dashes collapsed; csv: header with a leading empty index column,
-    data rows prefixed with their 0-based index, fields quoted when needed."""
+    data rows prefixed with their 0-based index, fields quoted when needed; tag: ``tag`` with the
+    table's number in its document, from 1, documents being told apart by all of ``scope`` but its last."""
     scope = list(scope)
+    if fmt == "tag":
+        tables = cells.select(*scope).distinct()
+        numbered = scan(tables, scope[:-1], [scope[-1]], sums={"_n": F.lit(1).cast("long")})
+        return numbered.select(*scope, F.replace(F.lit(tag), F.lit("{}"), F.col("_n").cast("string")).alias("table"))
     cells = cells.withColumn("text", F.coalesce("text", F.lit("")))  # an empty cell keeps its column
     if fmt not in ("markdown", "markdown_light", "csv"):
-        raise ValueError("fmt must be markdown, markdown_light or csv")
+        raise ValueError("fmt must be markdown, markdown_light, csv or tag")
     if fmt == "csv":
         q = F.col("text")
         cell = F.when(q.rlike('[,"\\n\\r]'), F.concat(F.lit('"'), F.replace(q, F.lit('"'), F.lit('""')), F.lit('"'))) \

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from folio import schema as S
 from folio.functions.predicates import doc_type_to_content_type
+from folio.functions.dates import validate_iso8601
 from folio.functions.structs import build_struct, typed_null
 
 
@@ -65,7 +66,7 @@ def validate_metadata(df: DataFrame) -> DataFrame:
     cm = m.getField("content_metadata")
     t = cm.getField("type")
     tm, im, tb = m.getField("text_metadata"), m.getField("image_metadata"), m.getField("table_metadata")
-    sm = m.getField("source_metadata")
+    sm, em, nm = m.getField("source_metadata"), m.getField("error_metadata"), m.getField("info_message_metadata")
     violations = F.array_compact(F.array(
         F.when(t.isNull() | ~t.isin(*S.CONTENT_TYPES), F.lit("content_metadata.type")),
         F.when(tm.isNotNull() & ~F.coalesce(tm.getField("text_type"), F.lit("")).isin(*S.TEXT_TYPES),
@@ -80,6 +81,11 @@ def validate_metadata(df: DataFrame) -> DataFrame:
         F.when(cm.getField("subtype").isNotNull() & (cm.getField("subtype") != "")
                & ~cm.getField("subtype").isin(*S.CONTENT_SUBTYPES), F.lit("content_metadata.subtype")),
         F.when(sm.isNull() | sm.getField("source_id").isNull(), F.lit("source_metadata.source_id")),
+        *[F.when(sm.getField(f).isNotNull() & (sm.getField(f) != "") & ~validate_iso8601(sm.getField(f)), F.lit(f"source_metadata.{f}")) for f in ("date_created", "last_modified")],
+        F.when(em.isNotNull() & ~F.coalesce(em.getField("task"), F.lit("")).isin(*S.TASK_TYPES), F.lit("error_metadata.task")),
+        F.when(em.isNotNull() & ~F.coalesce(em.getField("status"), F.lit("")).isin(*S.STATUSES), F.lit("error_metadata.status")),
+        F.when(nm.isNotNull() & ~F.coalesce(nm.getField("task"), F.lit("")).isin(*S.TASK_TYPES), F.lit("info_message_metadata.task")),
+        F.when(nm.isNotNull() & ~F.coalesce(nm.getField("status"), F.lit("")).isin(*S.STATUSES), F.lit("info_message_metadata.status")),
     ))
     fixed = (
         m.withField("content", F.coalesce(m.getField("content"), F.lit("")))

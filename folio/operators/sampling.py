@@ -30,9 +30,10 @@ def scan_inventory(files: DataFrame, path_col: str = "path") -> DataFrame:
         F.count("*").alias("n_files"), F.sum("size").alias("total_bytes"))
 
 
-def dataset_stats(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """Per type and overall (``ext`` null): files, distinct files, bytes (duplicates
-    counted), distinct bytes, share of bytes."""
+def dataset_stats(files: DataFrame, path_col: str = "path", shares: dict | None = None) -> DataFrame:
+    """Per type and overall (``ext`` null): files, distinct files, bytes (duplicates counted), distinct
+    bytes, share of bytes; with ``shares`` (type -> percent) also ``target_bytes``, what the type was to
+    have of all bytes, and a row for every type asked for."""
     f = with_ext(files, path_col)
     per_path = f.groupBy("ext", path_col).agg(F.count("*").alias("copies"), F.max("size").alias("size1"),
                                               F.sum("size").alias("bytes"))
@@ -40,7 +41,15 @@ def dataset_stats(files: DataFrame, path_col: str = "path") -> DataFrame:
         F.sum("copies").alias("n_files"), F.count("*").alias("n_unique"),
         F.sum("bytes").alias("total_bytes"), F.sum("size1").alias("unique_bytes"))
     total = F.sum(F.when(F.col("ext").isNull(), F.col("total_bytes"))).over(Window.partitionBy())
-    return agg.withColumn("share", F.col("total_bytes") / total)
+    if shares is None:
+        return agg.withColumn("share", F.col("total_bytes") / total)
+    asked = F.array(*[F.struct(F.lit(k.lower()).alias("_ext"), F.lit(float(v)).alias("_percent")) for k, v in shares.items()])
+    every = agg.where("ext IS NULL").select(F.col("total_bytes").alias("_all"), F.inline(asked))  # a row a type asked for
+    both = agg.join(every.drop("_all"), F.col("ext") == F.col("_ext"), "full").withColumn("ext", F.coalesce("ext", "_ext"))
+    whole = F.max("total_bytes").over(Window.partitionBy())
+    counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_files", "n_unique", "total_bytes", "unique_bytes")}
+    return both.withColumns(counts).withColumn("share", F.col("total_bytes") / whole).withColumn(
+        "target_bytes", F.col("_percent") / 100 * whole).drop("_ext", "_percent")
 
 
 def sample_files(files: DataFrame, shares: dict, total_bytes: int, order_col: str = "pos",

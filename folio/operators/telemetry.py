@@ -100,19 +100,42 @@ def response_wait(pushed: DataFrame, fetched: DataFrame) -> tuple[DataFrame, Dat
     return waits, outstanding
 
 
-def build_spans(spans: DataFrame) -> DataFrame:
-    """One parent span per job over [min entry, max exit] and one child per stage, in
-    time order. Columns: job_id, span, parent, start_us, end_us, seq."""
+def build_spans(spans: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """One parent span per job over [min entry, max exit] and one child per traced name, in time
+    order. Columns: job_id, span, parent, start_us, end_us, seq and, with ``results``, status.
+
+    A traced ``name`` (or, without that column, ``stage::pos``, all main tasks) that has ``::`` is a sub-task:
+    what stands before the first one is its main task, and that one's span its parent where the job
+    has it, else the job's. ``results`` (job_id, task, task_result): a span whose name has a result is
+    ``ok`` or ``error`` by its main task's."""
     parent = spans.groupBy("job_id").agg(F.min("entry_us").alias("start_us"), F.max("exit_us").alias("end_us")) \
         .select("job_id", F.concat(F.lit("job::"), F.col("job_id").cast("string")).alias("span"),
                 F.lit(None).cast("string").alias("parent"), "start_us", "end_us", F.lit(0).alias("seq"))
-    g = global_position(spans, ["job_id"], ["entry_us", "pos"], "_g")
-    child = g.select(
-        "job_id", F.concat(F.col("stage"), F.lit("::"), F.col("pos").cast("string")).alias("span"),
-        F.concat(F.lit("job::"), F.col("job_id").cast("string")).alias("parent"),
-        F.col("entry_us").alias("start_us"), F.col("exit_us").alias("end_us"),
-        (F.col("_g") + 1).cast("int").alias("seq"))
-    return parent.unionByName(child)
+    named = "name" in spans.columns
+    name = F.col("name") if named else F.concat(F.col("stage"), F.lit("::"), F.col("pos").cast("string"))
+    order = ["entry_us", "exit_us", "_name"] if named else ["entry_us", "pos"]
+    g = scan(spans.withColumn("_name", name), ["job_id"], order, sums={"_seq": F.lit(1).cast("long")})
+    job = F.concat(F.lit("job::"), F.col("job_id").cast("string"))
+    main = F.split("_name", "::", 2)[0] if named else F.col("_name")
+    g = g.withColumn("_main", main)
+    if named:  # sub-tasks meet their main tasks by job and name
+        mains = g.where(F.col("_name") == F.col("_main")).select(F.col("job_id").alias("_job"), F.col("_name").alias("_of")).distinct()
+        g = g.join(mains, F.col("job_id").eqNullSafe(F.col("_job")) & (F.col("_main") == F.col("_of")), "left")
+        above = F.when((F.col("_name") != F.col("_main")) & F.col("_of").isNotNull(), F.col("_of")).otherwise(job)
+    else:
+        above = job
+    child = g.select("job_id", F.col("_name").alias("span"), above.alias("parent"), F.col("entry_us").alias("start_us"),
+                     F.col("exit_us").alias("end_us"), F.col("_seq").cast("int").alias("seq"), "_main")
+    if results is None:
+        return parent.unionByName(child.drop("_main"))
+    # one result a task: a failure outweighs a success
+    last = results.groupBy("job_id", "task").agg(F.min("task_result").alias("_result"))
+    own, of_main = (last.select(F.col("job_id").alias(f"_job{x}"), F.col("task").alias(f"_task{x}"), F.col("_result").alias(f"_result{x}")) for x in "am")
+    joined = child.join(own, F.col("job_id").eqNullSafe(F.col("_joba")) & (F.col("span") == F.col("_taska")), "left") \
+        .join(of_main, F.col("job_id").eqNullSafe(F.col("_jobm")) & (F.col("_main") == F.col("_taskm")), "left")
+    status = F.when(F.col("_taska").isNotNull(), F.when(F.col("_resultm") == "SUCCESS", "ok").when(F.col("_resultm") == "FAILURE", "error"))
+    return parent.withColumn("status", F.lit(None).cast("string")).unionByName(
+        joined.select("job_id", "span", "parent", "start_us", "end_us", "seq", status.alias("status")))
 
 
 def stage_report(spans: DataFrame, stage_col: str = "stage", value_col: str = "latency_ms") -> DataFrame:

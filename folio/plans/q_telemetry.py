@@ -131,6 +131,30 @@ def build_spans_q(spark, sf_dir):
     return T.build_spans(spans(spark, sf_dir)).withColumn("seq", F.col("seq").cast("long"))
 
 
+NAMED_SQL = f"""SELECT job_id, entry_us, exit_us, pos, stage,
+  CASE WHEN pos = min(pos) OVER (PARTITION BY job_id, stage) THEN stage ELSE concat(stage, '::', CAST(pos AS VARCHAR)) END AS name FROM ({SPANS_SQL}) s"""
+
+
+@query("build_span_tree", operators=("H8",), sql=f"""
+WITH n AS ({NAMED_SQL}),
+r AS (SELECT job_id, name AS task, CASE WHEN pos % 5 = 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS result FROM n WHERE pos % 3 <> 0)
+SELECT job_id, concat('job::', CAST(job_id AS VARCHAR)) AS span, NULL AS parent, min(entry_us) AS start_us, max(exit_us) AS end_us, 0 AS seq, NULL AS status
+FROM n GROUP BY job_id
+UNION ALL
+SELECT n.job_id, n.name, CASE WHEN n.name = n.stage THEN concat('job::', CAST(n.job_id AS VARCHAR)) ELSE n.stage END, n.entry_us, n.exit_us,
+       row_number() OVER (PARTITION BY n.job_id ORDER BY n.entry_us, n.exit_us, n.name),
+       CASE WHEN own.task IS NOT NULL THEN CASE m.result WHEN 'SUCCESS' THEN 'ok' WHEN 'FAILURE' THEN 'error' END END
+FROM n LEFT JOIN r own ON own.job_id = n.job_id AND own.task = n.name LEFT JOIN r m ON m.job_id = n.job_id AND m.task = n.stage""")
+def build_span_tree_q(spark, sf_dir):
+    """A job's first event of a type is a main task, later ones its sub-tasks; two thirds have a result."""
+    s = spans(spark, sf_dir).select("job_id", "entry_us", "exit_us", "pos", "stage")
+    firsts = s.groupBy("job_id", "stage").agg(F.min("pos").alias("_first"))
+    named = s.join(firsts, ["job_id", "stage"]).withColumn("name", F.when(F.col("pos") == F.col("_first"), F.col("stage")).otherwise(
+        F.concat("stage", F.lit("::"), F.col("pos").cast("string"))))
+    results = named.where(F.col("pos") % 3 != 0).select("job_id", F.col("name").alias("task"), F.when(F.col("pos") % 5 == 0, "FAILURE").otherwise("SUCCESS").alias("task_result"))
+    return T.build_spans(named, results).withColumn("seq", F.col("seq").cast("long"))
+
+
 @query("stage_report", operators=("H10",), sql=f"""
 SELECT stage, round(avg(latency_ms), 6) AS avg_ms, round(sum(latency_ms), 6) AS total_ms,
        round(median(latency_ms), 6) AS median_ms,

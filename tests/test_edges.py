@@ -223,3 +223,38 @@ def test_draws_follow_the_bytes_wanted(spark):
     assert 198_000_000 < pdf <= 199_998_000 and len(got) < 1000 and sum(r.size for r in got if r.path == "d.txt") == 2000
     made = sampling._draws(sampling.with_ext(files).withColumn("budget", F.lit(200_000_000.0)).where("ext = 'pdf'"), "path", 5).count()
     assert made < 800  # not budget / 1 byte
+
+
+def test_dates_of_other_shapes(spark):
+    from folio.functions.dates import parse_pdf_date
+    want = {"D:20211222141131-07'00'": "2021-12-22T21:11:31", "D:20211222141131Z": "2021-12-22T14:11:31", "D:20211222141131+05'30": "2021-12-22T08:41:31", "D:20211222": "2021-12-22T00:00:00",
+            "D:202112221411": "2021-12-22T14:11:00", "2021-12-22T14:11:31+02:00": "2021-12-22T12:11:31", "2021-12-22 14:11:31": "2021-12-22T14:11:31", "2021-12-22T14:11:31.25Z": "2021-12-22T14:11:31",
+            "Wed Dec 22 14:11:31 2021": "2021-12-22T14:11:31", "Wednesday, December 22, 2021": "2021-12-22T00:00:00", "22 Dec 2021 14:11:31 +0100": "2021-12-22T13:11:31", "12/22/2021": "2021-12-22T00:00:00",
+            "Dec 22nd 2021": "2021-12-22T00:00:00", "2021": "2021-01-01T00:00:00", "2021-12": "2021-12-01T00:00:00", "nonsense": None, "": None, None: None, "D:20211322000000Z": None}
+    df = spark.createDataFrame([(k,) for k in want], "d string")
+    got = {r.d: (r.u, r.k) for r in df.select("d", parse_pdf_date("d").alias("u"), parse_pdf_date("d", keep_tz=True).alias("k")).collect()}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert got["D:20211222141131-07'00'"][1] == "2021-12-22T14:11:31-07:00" and got["2021-12-22 14:11:31"][1] == "2021-12-22T14:11:31"
+
+
+def test_violations_of_dates_tasks_and_states(spark):
+    from folio import schema as S
+    from folio.functions.structs import build_struct
+    rows = [(0, "2021-12-22T14:11:31", "split", "error"), (1, "yesterday", "split", "error"), (2, None, "fly", "maybe")]
+    df = spark.createDataFrame(rows, "i int, d string, task string, status string")
+    md = build_struct(S.METADATA, source_metadata=build_struct(S.SOURCE_METADATA, source_id=F.lit("s"), date_created=F.col("d"), last_modified=F.lit("")),
+                      content_metadata=build_struct(S.CONTENT_METADATA, type=F.lit("text")),
+                      error_metadata=build_struct(S.ERROR_METADATA, task=F.col("task"), status=F.col("status")))
+    got = {r.i: set(r.metadata_violations) for r in metadata.validate_metadata(df.select("i", md.alias("metadata"))).collect()}
+    assert got == {0: set(), 1: {"source_metadata.date_created"}, 2: {"error_metadata.task", "error_metadata.status"}}
+
+
+def test_list_prefix_table_tags_and_target_sizes(spark):
+    runs = spark.createDataFrame([("a", True, True, 2), ("b", False, False, 1), ("c", None, True, None)], "text string, bold boolean, in_list boolean, level int")
+    runs = runs.withColumns({"italic": F.lit(False), "underline": F.lit(False)})
+    assert [r.markdown for r in assemble.render_markdown_text(runs).collect()] == ["    * **a**", "b", "* c"]
+    cells = spark.createDataFrame([(j, t, r, c, "x") for j, t in ((1, 7), (1, 9), (2, 3)) for r in range(2) for c in range(2)], "job_id int, table_id int, row int, col int, text string")
+    assert sorted((r.job_id, r.table_id, r.table) for r in assemble.render_table(cells, "tag").collect()) == [(1, 7, "<table 1>"), (1, 9, "<table 2>"), (2, 3, "<table 1>")]
+    files = spark.createDataFrame([("a.pdf", 60), ("b.pdf", 20), ("c.txt", 20)], "path string, size long")
+    got = {r.ext: (r.n_files, r.total_bytes, r.target_bytes) for r in sampling.dataset_stats(files, shares={"PDF": 50, "txt": 40, "md": 10}).collect()}
+    assert got == {"pdf": (2, 80, 50.0), "txt": (1, 20, 40.0), "md": (0, 0, 10.0), None: (3, 100, None)}
