@@ -4,10 +4,14 @@ A conversation's turns are marked by a template; control strings that a text hol
 escaped, reversibly. Windows hold spans of whole turns: with prefix sums of the turns' tokens, a
 span ends before the turn that would exceed the budget. Every window but the first repeats the
 system turn and the last turns before its span, as far as their tokens fit the history
-limit. The loss mask covers the assistant texts of a span, never those of its history, so
-each assistant text is learned from once.
+limit. Of several opening system turns the first ones are retained that fill half the budget at
+most; one that is larger by itself is, where it and the span's first turn fit. So no window exceeds
+the budget but those of one turn that does. The loss mask covers the assistant texts of a
+span, never those of its history, so each assistant text is learned from once.
 
-Turns reach a task sorted by conversation, and only one window's turns are kept at a time.
+Tasks with even shares of all turns count tokens first, and read windows back; what follows the order of a
+conversation is only the cut into windows and the running digests: turns reach a task sorted by
+conversation, and only one window's turns are kept at a time.
 
 Defined cases: null text or role is empty; a null conversation is one of its own; turns are ordered
 by turn (null first), then role, then text, and rows that repeat a turn are turns of their own; a
@@ -68,30 +72,32 @@ def parse(text: str) -> list[tuple[str, str]]:
 
 def windows(turns: Iterator[tuple[str, str, int]], budget: int, history: int) -> Iterator[dict]:
     """Windows of one conversation from its (role, text, tokens)."""
-    system: list = []       # the turns that open the conversation as system turns
+    system: list = []       # the turns that open the conversation as system turns and are retained
     past: list = []         # last turns of earlier windows, within the history limit
     span: list = []
-    opening, number = True, 0
-
-    def room(first) -> list:
-        """The last turns of ``past`` that fit beside the system turn and the span's first turn."""
-        limit = min(history, budget - sum(t[2] for t in system) - first[2])
+    before: list = []       # what the open window repeats
+    opening, used, retained, number = True, 0, 0, 0
+
+    def repeated(first) -> list:
+        """What a window that begins with ``first`` repeats: the system turn and the last turns of
+        ``past``, as far as they fit beside it."""
+        kept = system if retained + first[2] <= budget else []
+        limit = min(history, budget - sum(t[2] for t in kept) - first[2])
         sums = list(accumulate(t[2] for t in reversed(past)))
         fit = sum(s <= limit for s in sums)
-        return past[len(past) - fit:] if fit else []
+        return [*kept, *(past[len(past) - fit:] if fit else [])]
 
     def emit() -> dict:
         nonlocal number, past
-        repeated = [*system, *before] if number else []
         parts, starts, ends, at = [], [], [], 0
-        for i, (role, body, _) in enumerate([*repeated, *span]):
+        for i, (role, body, _) in enumerate([*before, *span]):
             marked, head = turn_text(role, body)
-            if i >= len(repeated) and role == "assistant":
+            if i >= len(before) and role == "assistant":
                 starts.append(at + head)
                 ends.append(at + len(marked) - len(CLOSE))
             parts.append(marked)
             at += len(marked)
-        out = {"window": number, "n_repeated": len(repeated), "n_tokens": sum(t[2] for t in [*repeated, *span]), "text": "".join(parts), "loss_starts": starts, "loss_ends": ends}
+        out = {"window": number, "n_repeated": len(before), "n_tokens": used, "text": "".join(parts), "loss_starts": starts, "loss_ends": ends}
         number += 1
         kept, total = [], 0
         for t in reversed([*past, *span]):  # no more than can ever be repeated
@@ -99,23 +105,22 @@ def windows(turns: Iterator[tuple[str, str, int]], budget: int, history: int) ->
             if total > history:
                 break
             kept.append(t)
-        past = kept[::-1]
+        past = [t for t in kept[::-1] if not any(t is s for s in system)]
         return out
 
-    before: list = []
-    used = 0
     for turn in turns:
-        if opening and turn[0] == "system":
+        opening = opening and turn[0] == "system"
+        if opening and (not system or retained + turn[2] <= budget // 2) and retained <= budget // 2:
             system.append(turn)
-        else:
-            opening = False
+            retained += turn[2]
+        elif opening:
+            opening = False  # later system turns are turns like others
         if span and used + turn[2] > budget:
             yield emit()
             span = []
         if not span:
-            past = [t for t in past if not any(t is s for s in system)]
-            before = room(turn) if number else []
-            used = (sum(t[2] for t in [*system, *before]) if number else 0)
+            before = repeated(turn) if number else []
+            used = sum(t[2] for t in before)
         span.append(turn)
         used += turn[2]
     if span:
@@ -127,16 +132,24 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _format_task(tokenizer: str, budget: int, history: int, schema: pa.Schema):
+def _count_task(tokenizer: str):
+    """Tokens of every turn, the template's included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = WholeTexts(tokenizer, 0)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                rows = batch.slice(lo, 512)
+                tokens = count.encode(rows.column(3))[1] - 1 + MARK_TOKENS
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(tokens, pa.int64())], names=[*rows.schema.names, "tokens"])
+
+    return run
 
+
+def _format_task(budget: int, history: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted() -> Iterator[tuple]:
-            for batch in batches:
-                keys, roles, texts = (c.to_pylist() for c in batch.columns)
-                texts = [t or "" for t in texts]
-                tokens = count.encode(texts)[1].tolist() if texts else []
-                yield from ((k, (r or "", t, n - 1 + MARK_TOKENS)) for k, r, t, n in zip(keys, roles, texts, tokens))
+            for conv, role, text, tokens in _rows(batches):
+                yield conv, (role or "", text or "", tokens)
 
         out: list[dict] = []
         size = 0
@@ -168,18 +181,34 @@ def format_conversations(turns: DataFrame, tokenizer: str, budget: int = 1024, h
     """Windows (conv_id, window, n_repeated, n_tokens, text, loss_starts, loss_ends) of all conversations;
     the spans of the loss mask count code points. ``tokenizer``: a tokenizers file that every worker can open."""
     rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text").select("conv_id", "role", "text")
-    kind = rows.schema["conv_id"].dataType
+    kind, turn_kind = rows.schema["conv_id"].dataType, rows.schema["turn"].dataType
+    counted = rows.mapInArrow(_count_task(tokenizer), f"conv_id {kind.simpleString()}, turn {turn_kind.simpleString()}, role string, text string, tokens long")
+    ordered = counted.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text").select("conv_id", "role", "text", "tokens")
     schema = pa.schema([("conv_id", to_arrow_type(kind)), ("window", pa.int32()), ("n_repeated", pa.int32()), ("n_tokens", pa.int64()), ("text", pa.string()),
                         ("loss_starts", pa.list_(pa.int32())), ("loss_ends", pa.list_(pa.int32()))])
-    return ordered.mapInArrow(_format_task(tokenizer, budget, history, schema), WINDOWS.format(kind=kind.simpleString()))
+    return ordered.mapInArrow(_format_task(budget, history, schema), WINDOWS.format(kind=kind.simpleString()))
+
+
+def _parse_task(schema: pa.Schema):
+    """What each window adds: its own turns, and the texts under its loss mask."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                out = []
+                for conv, window, repeated, text, starts, ends in _rows(iter([batch.slice(lo, 1024)])):
+                    turns = parse(text)[repeated:]
+                    out.append({"conv_id": conv, "window": window, "n_turns": len(turns), "turns": "".join(f"{role}\n{body}\n" for role, body in turns),
+                                "loss": "".join(unescape(text[s:e]) for s, e in zip(starts, ends)), "chars": len(text)})
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
 
 
 def _digest_task(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[dict] = []
         own = None
-        for conv, repeated, text, starts, ends in _rows(batches):
+        for conv, n_turns, turns, loss, chars in _rows(batches):
             if own is None or own["conv_id"] != conv:
                 if own is not None:
                     out.append(own)
@@ -187,14 +216,11 @@ def _digest_task(schema: pa.Schema):
                     yield _finished(out, schema)
                     out = []
                 own = {"conv_id": conv, "n_turns": 0, "turns": hashlib.sha256(), "loss_chars": 0, "loss": hashlib.sha256(), "formatted_chars": 0, "n_windows": 0}
-            for role, body in parse(text)[repeated:]:
-                own["n_turns"] += 1
-                own["turns"].update(f"{role}\n{body}\n".encode())
-            for s, e in zip(starts, ends):
-                learned = unescape(text[s:e])
-                own["loss_chars"] += len(learned)
-                own["loss"].update(learned.encode())
-            own["formatted_chars"] += len(text)
+            own["n_turns"] += n_turns
+            own["turns"].update(turns.encode())
+            own["loss_chars"] += len(loss)
+            own["loss"].update(loss.encode())
+            own["formatted_chars"] += chars
             own["n_windows"] += 1
         if own is not None:
             out.append(own)
@@ -215,5 +241,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     kind = formatted.schema["conv_id"].dataType
     schema = pa.schema([("conv_id", to_arrow_type(kind)), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()),
                         ("formatted_chars", pa.int64()), ("n_windows", pa.int64())])
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "window").select("conv_id", "n_repeated", "text", "loss_starts", "loss_ends")
+    parsed = pa.schema([("conv_id", to_arrow_type(kind)), ("window", pa.int32()), ("n_turns", pa.int64()), ("turns", pa.string()), ("loss", pa.string()), ("chars", pa.int64())])
+    own = formatted.select("conv_id", "window", "n_repeated", "text", "loss_starts", "loss_ends").mapInArrow(
+        _parse_task(parsed), f"conv_id {kind.simpleString()}, window int, n_turns long, turns string, loss string, chars long")
+    ordered = own.repartition("conv_id").sortWithinPartitions("conv_id", "window").select("conv_id", "n_turns", "turns", "loss", "chars")
     return ordered.mapInArrow(_digest_task(schema), f"conv_id {kind.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
