@@ -25,16 +25,14 @@ def op1_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as WARC; a replica of the archive, damaged for the drill, is audited against it."""
-    path = shared_path(spark, "warc")
+    """Pages written as WARC; for the drill, a damaged replica is written as an archive of its own, read back and audited."""
+    path, replica = shared_path(spark, "warc"), shared_path(spark, "warc-replica")
     warc.write_warc(load(spark, sf_dir, "pages"), path)
-    records = warc.read_warc(spark, path)
-    sound = stage(warc.leaves(records), "warc-leaves")
-    bases = warc.file_bases(sound)
-    replica = warc.leaves(warc.damaged(records, warc.header_field("X-Key")))
-    report = warc.fixity_report(warc.with_offsets(sound, bases), warc.with_offsets(replica, bases))
-    return report.select(F.expr("try_cast(key AS bigint)").alias("page_id"), F.col("offset").alias("archive_offset"), F.col("bytes").alias("record_bytes"),
-                         F.col("hash").alias("record_sha256"), "status")
+    warc.write_records(warc.damaged(warc.read_warc(spark, path), warc.header_field("X-Key")), replica)
+    index = warc.index(warc.catalog(spark, path))
+    report = warc.fixity_report(index, warc.placed(warc.catalog(spark, replica), index))
+    return report.select(F.expr("try_cast(key AS bigint)").alias("page_id"), F.col("offset").alias("archive_offset"),
+                         F.col("bytes").alias("record_bytes"), F.col("hash").alias("record_sha256"), "status")
 
 
 def op3_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,14 +275,19 @@ def test_audit_finds_exactly_the_damage(spark, bad):
     assert {(r.offset, r.status) for r in got.collect()} == want
 
 
+def replica(spark, records):
+    path = shared_path(spark, "replica")
+    warc.write_records(records, path)
+    return warc.catalog(spark, path)
+
+
 def test_report_covers_all_records(spark):
     rows, df = pages(spark, 400)
     path = shared_path(spark, "warc")
     warc.write_warc(df, path)
-    records = warc.read_warc(spark, path)
-    sound = stage(warc.leaves(records), "warc-leaves")
-    bases = warc.file_bases(sound)
-    report = warc.fixity_report(warc.with_offsets(sound, bases), warc.with_offsets(warc.leaves(warc.damaged(records, warc.header_field("X-Key"))), bases)).collect()
+    index = warc.index(warc.catalog(spark, path))
+    broken = replica(spark, warc.damaged(warc.read_warc(spark, path), warc.header_field("X-Key")))
+    report = warc.fixity_report(index, warc.placed(broken, index)).collect()
     mark = {r.key: hashlib.md5(r.key.encode()).hexdigest()[:2] for r in report}
     assert len(report) == len(rows)
     assert all(r.status == {"00": "corrupt", "01": "missing"}.get(mark[r.key], "ok") for r in report)
@@ -290,6 +295,29 @@ def test_report_covers_all_records(spark):
     assert all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:]))
 
 
+def test_a_replica_s_shifted_records_keep_their_places(spark):
+    rows, df = pages(spark, 200)
+    path = shared_path(spark, "warc")
+    warc.write_warc(df, path)
+    records = stage(warc.read_warc(spark, path), "records")
+    index = stage(warc.index(warc.catalog(spark, path)), "index")
+    key = warc.header_field("X-Key")
+
+    def statuses(changed):
+        got = warc.fixity_report(index, warc.placed(replica(spark, changed), index)).collect()
+        return sorted((r.key, r.status) for r in got if r.status != "ok"), len(got)
+
+    assert statuses(records) == ([], len(rows))
+    assert statuses(records.where(key != "3")) == ([("3", "missing")] * 3, len(rows))
+    assert statuses(records.where(key != "50").orderBy(F.desc("at"))) == ([("50", "missing")], len(rows))  # lost and moved
+    added = records.limit(1).withColumn("header", F.regexp_replace(F.regexp_replace("header", "urn:uuid:....", "urn:uuid:ffff"), "X-Key: .*?\r", "X-Key: 999\r"))
+    assert statuses(records.unionByName(added)) == ([("999", "extra")], len(rows) + 1)
+    longer = records.withColumn("body", F.when(key == "60", F.concat("body", F.lit(b"more \xff"))).otherwise(F.col("body")))
+    assert statuses(longer) == ([("60", "corrupt")], len(rows))  # its length is wrong, too
+    cut = records.withColumn("header", F.when(key == "61", F.regexp_replace("header", "Content-Length: .*?\r", "Content-Length: x\r")).otherwise(F.col("header")))
+    assert ("61", "corrupt") in statuses(cut)[0]
+
+
 def test_empty_archive(spark):
     _, df = pages(spark, 30)
     path = shared_path(spark, "warc")
