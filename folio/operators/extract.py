@@ -14,10 +14,16 @@ import html as _html
 import re
 from typing import Callable, Iterator
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.operators.assemble import DEPTH_KEYS, _sorted_join
+from folio.operators.metadata import build_image_elements, build_table_elements, build_text_elements, tag_error
+from folio.session import cut_lineage
+
 Parser = Callable[[str, dict], list]
 
 RAW_FIELDS = ("piece long, kind string, text string, page int, block int, line int, span int, "
@@ -39,23 +45,25 @@ DEFAULT_REGISTRY: dict[str, Parser] = {"text": parse_plain_text, "txt": parse_pl
                                        "md": parse_plain_text, "html": parse_plain_text}
 
 
-def _run_parsers(registry: dict, params: dict):
+def _run_parsers(registry: dict, params: dict, method: str | None = None, keep: tuple = ()):
     cols = ["kind", "text", "page", "block", "line", "span", "x1", "y1", "x2", "y2"]
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             rows = []
-            for job_id, dtype, content in zip(pdf["job_id"], pdf["document_type"], pdf["content"]):
-                fn = registry.get(str(dtype).lower())
+            for job_id, dtype, content, *kept in zip(pdf["job_id"], pdf["document_type"], pdf["content"], *[pdf[f"_{c}"] for c in keep]):
+                own = dict(zip(keep, kept))
+                kind = str(dtype).lower()
+                fn = registry.get((kind, method), registry.get(kind))  # a method that nobody registered: the type's default
                 try:
                     if fn is None:
                         raise ValueError(f"no extractor registered for document type {dtype!r}")
                     pieces = fn(content, {**params, "document_type": str(dtype).lower()})
                     for i, p in enumerate(pieces):
-                        rows.append({"job_id": job_id, "piece": i, **{c: p.get(c) for c in cols}, "error": None})
+                        rows.append({"job_id": job_id, **own, "piece": i, **{c: p.get(c) for c in cols}, "error": None})
                 except Exception as e:  # noqa: BLE001 - failures become rows
-                    rows.append({"job_id": job_id, "piece": -1, "kind": None, "error": f"{type(e).__name__}: {e}"})
-            out = pd.DataFrame(rows, columns=["job_id", "piece", *cols, "error"])
+                    rows.append({"job_id": job_id, **own, "piece": -1, "kind": None, "error": f"{type(e).__name__}: {e}"})
+            out = pd.DataFrame(rows, columns=["job_id", *keep, "piece", *cols, "error"])
             # explicit dtypes: all-null object columns do not convert to Arrow numbers
             for c in ("page", "block", "line", "span", "x1", "y1", "x2", "y2"):
                 out[c] = pd.to_numeric(out[c], errors="coerce").astype("float64")
@@ -68,15 +76,17 @@ def _run_parsers(registry: dict, params: dict):
 
 def extract_documents(jobs: DataFrame, registry: dict | None = None, text: bool = True, images: bool = False,
                       tables: bool = False, charts: bool | None = None, text_depth: str = "document",
-                      **params) -> DataFrame:
+                      method: str | None = None, keep: tuple = (), **params) -> DataFrame:
     """jobs (job_id of any type, document_type, content) -> raw pieces (RAW_FIELDS) by the parser of
     each document type; ``kind`` filtered by the extract flags (charts default to the
-    tables flag). Repartition jobs by size before this when documents are skewed."""
+    tables flag). The registry's keys are types, or (type, method): the parser of ``method`` where the type has
+    one, else the type's. ``keep`` names columns of a job that its pieces carry. Repartition jobs by size before this when documents are skewed."""
     reg = {**DEFAULT_REGISTRY, **(registry or {})}
     charts = tables if charts is None else charts
-    raw = jobs.select("job_id", "document_type", "content").mapInPandas(
-        _run_parsers(reg, {"text_depth": text_depth, **params}),
-        f"job_id {jobs.schema['job_id'].dataType.simpleString()}, {RAW_FIELDS}")
+    kept = "".join(f"`{c}` {jobs.schema[c].dataType.simpleString()}, " for c in keep)
+    raw = jobs.select("job_id", "document_type", "content", *[F.col(c).alias(f"_{c}") for c in keep]).mapInPandas(
+        _run_parsers(reg, {"text_depth": text_depth, **params}, method, keep),
+        f"job_id {jobs.schema['job_id'].dataType.simpleString()}, {kept}{RAW_FIELDS}")
     kinds = (["text"] if text else []) + (["image"] if images else []) + (["table"] if tables else []) \
         + (["chart"] if charts else [])
     return raw.where(F.col("error").isNotNull() | F.col("kind").isin(*kinds))
@@ -84,6 +94,30 @@ def extract_documents(jobs: DataFrame, registry: dict | None = None, text: bool
 
 
 
+def extract_elements(jobs: DataFrame, registry: dict | None = None, method: str | None = None, failing: tuple = ("pdf",), **params) -> DataFrame:
+    """jobs (job_id, pos, document_type, content, source_id, source_name) -> elements with ``cm_failed``.
+
+    Texts are rolled up to ``text_depth``, images and tables become elements of their own. A document that its
+    parser rejects is an error row; if its type is in ``failing``, its whole job fails: ``cm_failed`` is true
+    for all rows of that job, so that later stages skip it. The parsers run once: their pieces are staged."""
+    keep = tuple(c for c in ("pos", "document_type", "source_id", "source_name") if c in jobs.columns)
+    depth = params.get("text_depth", "document")
+    raw = cut_lineage(extract_documents(jobs, registry, method=method, keep=keep, **params), "table")
+    own = [c for c in ("job_id", "pos", "source_id", "source_name") if c in raw.columns]
+    texts = raw.where("kind = 'text' AND error IS NULL").groupBy(*own, *DEPTH_KEYS[depth]).agg(_sorted_join("text", " ", ["piece"]).alias("text"))
+    parts = [build_text_elements(texts.where(F.length("text") > 0).withColumn("text_type", F.lit(depth)))]
+    of_kind = raw.where("error IS NULL").withColumn("content", F.col("text"))
+    parts.append(build_image_elements(of_kind.where("kind = 'image'").drop("text")))
+    parts.append(build_table_elements(of_kind.where("kind IN ('table', 'chart')").withColumn("subtype", F.col("kind")).drop("text")))
+    errors = raw.where(F.col("error").isNotNull())
+    rows = build_text_elements(errors.select(*own, F.lit("").alias("text"), F.col("error").alias("description")))
+    parts.append(tag_error(rows, F.lit(True), F.col("metadata.content_metadata.description"), task="extract"))
+    elements = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    failed = errors.where(F.lower("document_type").isin(*failing)).select(F.col("job_id").alias("_failed")).distinct() if "document_type" in keep else errors.select(F.col("job_id").alias("_failed")).limit(0)
+    joined = elements.join(failed.withColumn("_hit", F.lit(True)), F.col("job_id").eqNullSafe(F.col("_failed")), "left")
+    return joined.withColumn("cm_failed", F.coalesce("_hit", F.lit(False))).drop("_failed", "_hit")
+
+
 def cloud_elements(df: DataFrame, json_col: str = "elements") -> DataFrame:
     """Hosted-service output (JSON array of {Path, Text, Page, Bounds}) -> raw pieces:
     a path that ends in ``/Figure`` is an image, one under a table a table, one that names

@@ -103,10 +103,38 @@ def ingest_text_jobs_q(spark, sf_dir):
              {"type": "filter", "task_properties": {"content_type": "image", "params": {"min_size": 128}}},
              {"type": "split", "task_properties": {"split_by": "sentence", "split_length": 10, "split_overlap": 0,
                                                    "max_character_length": 1024}}]
-    el = run_tasks(tables.jobs(spark, sf_dir), tasks)
+    el = run_tasks(tables.jobs(spark, sf_dir).drop("cm_failed"), tasks)  # all jobs, whatever intake said of them
     return el.groupBy("job_id").agg(F.count("*").alias("n_elements"))
 
 
+@query("ingest_accepted_jobs", operators=("C4", "C5", "C6", "D5"), sql=f"""
+SELECT job_id, sum(n) AS n_elements FROM (
+  SELECT p.job_id, 1 AS n FROM ({_pieces_sql('sentence', 10, 0, 1024)}) p JOIN (SELECT job_id FROM ({JOBS_SQL}) j WHERE NOT cm_failed) ok ON p.job_id = ok.job_id
+  UNION ALL
+  SELECT job_id, 1 FROM ({JOBS_SQL}) j WHERE cm_failed) t
+GROUP BY job_id""")
+def ingest_accepted_jobs_q(spark, sf_dir):
+    """The same tasks where jobs that failed at intake skip every stage: their documents stay whole."""
+    tasks = [{"type": "dedup", "task_properties": {}}, {"type": "filter", "task_properties": {}},
+             {"type": "split", "task_properties": {"split_by": "sentence", "split_length": 10, "split_overlap": 0, "max_character_length": 1024}}]
+    return run_tasks(tables.jobs(spark, sf_dir), tasks).groupBy("job_id").agg(F.count("*").alias("n_elements"))
+
+
+@query("extract_text_jobs", operators=("G1", "D10", "C4"), sql="""
+SELECT doc_id // 10 AS job_id, doc_id % 10 AS pos, length(t) AS n_chars, md5(t) AS text_md5 FROM (
+  SELECT doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(text, '\\n\\s*\\n'),
+         lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g')), lambda p: p <> ''), ' ') AS t
+  FROM documents WHERE text IS NOT NULL) x WHERE t <> ''""")
+def extract_text_jobs_q(spark, sf_dir):
+    """Documents as Markdown files of jobs of ten, run through the extract task of the runner."""
+    d = tables.load(spark, sf_dir, "documents").where("text IS NOT NULL")
+    jobs = d.select(F.floor(F.col("doc_id") / 10).alias("job_id"), (F.col("doc_id") % 10).alias("pos"), F.lit("md").alias("document_type"),
+                    F.col("text").alias("content"), F.col("source").alias("source_id"), F.col("source").alias("source_name"))
+    el = run_tasks(jobs, [{"type": "extract", "task_properties": {"document_type": "md", "method": "plain", "params": {"extract_text": True}}}])
+    text = F.col("metadata.content")
+    return el.where("NOT cm_failed").select("job_id", "pos", F.char_length(text).cast("long").alias("n_chars"), F.md5(text).alias("text_md5"))
+
+
 @query("detect_language_profiles", operators=("D6",))
 def detect_language_profiles_q(spark, sf_dir):
     """Trigram profiles learned from three quarters of the documents, and every document's language by

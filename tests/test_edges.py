@@ -258,3 +258,34 @@ def test_list_prefix_table_tags_and_target_sizes(spark):
     files = spark.createDataFrame([("a.pdf", 60), ("b.pdf", 20), ("c.txt", 20)], "path string, size long")
     got = {r.ext: (r.n_files, r.total_bytes, r.target_bytes) for r in sampling.dataset_stats(files, shares={"PDF": 50, "txt": 40, "md": 10}).collect()}
     assert got == {"pdf": (2, 80, 50.0), "txt": (1, 20, 40.0), "md": (0, 0, 10.0), None: (3, 100, None)}
+
+
+def test_the_runner_extracts_uploads_and_skips_failed_jobs(spark, tmp_path):
+    def pages(content, params):
+        if content == "bad":
+            raise ValueError("broken file")
+        return [{"kind": "text", "text": f"{params['document_type']} {w}", "page": i} for i, w in enumerate(content.split())] + [{"kind": "image", "text": "img", "page": 0}, {"kind": "table", "text": "tab", "page": 1}]
+
+    def shout(content, params):
+        return [{"kind": "text", "text": content.upper(), "page": 0}]
+
+    registry = {"pdf": pages, ("pdf", "shout"): shout, "docx": pages}
+    rows = [("a", 0, "pdf", "one two", "p1"), ("a", 1, "text", "plain text here", "t1"), ("b", 0, "pdf", "bad", "p2"), ("b", 1, "text", "other text", "t2"), ("c", 0, "docx", "bad", "d1"), ("c", 1, "text", "third", "t3"), ("d", 0, "PDF", "x", None)]
+    jobs = spark.createDataFrame(rows, "job_id string, pos long, document_type string, content string, source_id string").withColumn("source_name", F.col("source_id"))
+    tasks = [{"type": "extract", "task_properties": {"document_type": "pdf", "method": "none", "params": {"extract_text": True, "extract_images": True, "extract_tables": True, "text_depth": "page"}}},
+             {"type": "extract", "task_properties": {"document_type": "docx", "method": "m", "params": {}}},
+             {"type": "split", "task_properties": {"split_by": "word", "split_length": 1, "split_overlap": 0}}, {"type": "embed", "task_properties": {}}, {"type": "vdb_upload", "task_properties": {}}]
+    table = str(tmp_path / "vectors")
+    out = pipeline.run_tasks(jobs, tasks, embedder=embed.hashing_embedder(4), registry=registry, vector_table=table).collect()
+    texts = {j: sorted(r.metadata.content.strip() for r in out if r.job_id == j and r.document_type == "text") for j in "abcd"}
+    assert texts == {"a": ["here", "one", "pdf", "pdf", "plain", "text", "two"], "b": ["other text"], "c": ["third"], "d": ["pdf", "x"]}
+    assert {r.job_id for r in out if r.cm_failed} == {"b"} and not any(r.cm_failed for r in out if r.job_id != "b")
+    errors = {(r.job_id, r.metadata.error_metadata.error_msg) for r in out if r.document_type is None}
+    assert errors == {("b", "ValueError: broken file"), ("c", "ValueError: broken file")}
+    assert sorted(r.document_type for r in out if r.job_id == "a" and r.document_type != "text") == ["image", "structured"]
+    stored = spark.read.parquet(table)
+    assert {r.job_id for r in stored.collect()} == {"a", "c", "d"} and stored.where("vector IS NULL").count() == 0
+    loud = pipeline.run_tasks(jobs.where("job_id = 'a'"), [{"type": "extract", "task_properties": {"document_type": "pdf", "method": "shout", "params": {}}}], registry=registry).collect()
+    assert sorted(r.metadata.content for r in loud) == ["ONE TWO", "plain text here"]
+    with pytest.raises(ValueError):
+        pipeline.run_tasks(jobs, [{"type": "vdb_upload"}])
