@@ -34,7 +34,7 @@ from folio.llm.shared import small_side, stage
 SEGMENT_TOKENS = 4 << 20
 FILE_SCHEMA = "part int, seq int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, payload binary"
 DOC_SCHEMA = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
-_SLICE = 512             # texts that are Python strings at a time
+_SLICE_BYTES = 8 << 20   # of texts that are cut at a time
 _CACHED = 900_000        # distinct pieces of text whose ids a worker keeps
 _CACHED_WORDS = 400_000  # pre-tokens, in each of two generations
 # Fixed values of byte-level tokenizers: the pattern of their pre-tokens, and the characters that stand for bytes
@@ -189,6 +189,16 @@ def _texts(path: str, end_id: int) -> WholeTexts:
     return WholeTexts(path, end_id)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about _SLICE_BYTES of text together; a longer one comes alone."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + _SLICE_BYTES, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _encode_task(path: str, end_id: int, segment_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, part, seq = _texts(path, end_id), TaskContext.get().partitionId(), 0
@@ -201,8 +211,7 @@ def _encode_task(path: str, end_id: int, segment_tokens: int):
                 pa.array([sizes], pa.list_(pa.int64())), pa.array([rans.encode(flat)], pa.binary())], names=["part", "seq", "n_tokens", "doc_ids", "doc_tokens", "payload"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, _SLICE):
-                rows = batch.slice(lo, _SLICE)
+            for rows in _slices(batch):
                 ids, sizes = tokenizer.encode(rows.column(1))
                 keys, lo_doc, lo_tok = rows.column(0).to_pylist(), 0, 0
                 ends = np.cumsum(sizes)
