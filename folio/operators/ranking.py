@@ -57,7 +57,7 @@ def scan(df: DataFrame, group_cols, order_cols, sums: dict | None = None, lags:
     before = Window.partitionBy("_g").orderBy("_slice", "_kind").rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.sum(f"s_{names[n]}").over(before).alias(f"c_{names[n]}") for n in sums]
     carried += [F.last(f"s_{names[n]}", ignorenulls=True).over(before).alias(f"c_{names[n]}") for n in [*lags, *lasts]]
-    carry = cut_lineage(marks.select("_slice", "_kind", "_g", *carried).where("_kind = 0").drop("_kind"), "table")  # a row a slice
+    carry = marks.select("_slice", "_kind", "_g", *carried).where("_kind = 0").drop("_kind")  # a row a slice
     carry = carry.select(F.col("_slice").alias("_to"), *[F.col("_g")[c].alias(f"_g_{c}") for c in group_cols], *[f"c_{v}" for v in value])
     own = Window.partitionBy("_slice", *group_cols).orderBy("_at")
     so_far = own.rowsBetween(Window.unboundedPreceding, 0)

@@ -61,7 +61,7 @@ def vector_search(vectors: DataFrame, queries: DataFrame, k: int = 10, metric: s
             [], f"`{query_id_col}` {kinds[query_id_col]}, rank int, `{id_col}` {kinds[id_col]}, score double")
     length = max(sizes, key=lambda r: (r["count"], -r["d"]))["d"]
     queries = queries.where(F.size(query_vector_col) == length)
-    vectors = _whole(vectors.select(id_col, vector_col), id_col, vector_col).where(F.size(vector_col) == length)
+    vectors = vectors.where(F.col(id_col).isNotNull() & (F.size(vector_col) == length))
     blocks = []
     if n_q <= max_queries:
         blocks.append(queries)
@@ -109,7 +109,10 @@ def _search_block(vectors, queries, k, metric, id_col, vector_col, qid, qvec):
             if pdf.empty:
                 continue
             v = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vector_col].to_numpy()])
-            pk = pdf[id_col].to_numpy()
+            whole = np.isfinite(v).all(axis=1)  # a null inside is not a number here
+            v, pk = v[whole], pdf[id_col].to_numpy()[whole]
+            if not len(v):
+                continue
             if metric == "l2":
                 squares = (v * v).sum(axis=1)[:, None] + qn[None, :]
                 s = squares - 2.0 * (v @ qm.T)
