@@ -125,7 +125,8 @@ def box_postprocess_q(spark, sf_dir):
     """Suppression -> fusion -> title claiming -> expansion on every image of the
     detections view (sequential per image; rows-only check, brute force in tests)."""
     d = tables.detections(spark, sf_dir).withColumn("box_id", F.col("box_id").cast("long"))
-    out = detect.expand_boxes(detect.match_titles(detect.fuse_boxes(detect.nms(d))))
+    large = detect.large_images(d)
+    out = detect.expand_boxes(detect.match_titles(detect.fuse_boxes(detect.nms(d, large=large), large=large), large=large))
     return out.select("image_id", "box_id", "label", F.round("x1", 6).alias("x1"), F.round("y2", 6).alias("y2"),
                       "titled")
 
