@@ -140,15 +140,19 @@ def fragment_responses(elements: DataFrame, size_limit: int = SIZE_LIMIT, overhe
         return whole
     room = size_limit - (2 + overhead_bytes)
     most = min(reach["items"], 2 * reach["bytes"] // room + 2) if room > 0 else reach["items"]  # two neighbours never fit into one
-    keyed = _null_safe(sized.select("*", *_keys(elements)), big.select("job_id"), ["job_id"], "left_semi")
-    rows = cut_lineage(scan(keyed.withColumn("_bytes", F.col("_bytes") + overhead_bytes), ["job_id"], ["_pos", "_piece", "_uuid"],
+    # items are written once with a number; what is ordered and searched is thin
+    keyed = cut_lineage(_null_safe(sized.select("*", *_keys(elements)), big.select("job_id"), ["job_id"], "left_semi")
+                        .withColumn("_id", F.monotonically_increasing_id()), "table")
+    sizes = keyed.select("job_id", "_id", "_pos", "_piece", "_uuid", (F.col("_bytes") + overhead_bytes).alias("_bytes"))
+    rows = cut_lineage(scan(sizes, ["job_id"], ["_pos", "_piece", "_uuid"],
                             sums={"_rn": F.lit(1).cast("long"), "_upto": "_bytes"}).withColumn("_rn", F.col("_rn") - 1), "table")
     items = rows.select("job_id", "_rn", "_bytes", "_upto")
     starts = _starts(items, size_limit, overhead_bytes, most)
     marked = _null_safe(items.select("job_id", "_rn"), starts, ["job_id", "_rn"], "left").withColumnRenamed("fragment", "_f")
     thin = scan(marked, ["job_id"], ["_rn"], lasts={"fragment": "_f"}).drop("_f")
     counts = starts.groupBy("job_id").agg((F.max("fragment") + 1).alias("fragment_count"))
-    packed = _null_safe(_null_safe(rows, thin, ["job_id", "_rn"], "inner"), counts, ["job_id"], "inner")
+    placed = _null_safe(_null_safe(rows.select("job_id", "_id", "_rn"), thin, ["job_id", "_rn"], "inner"), counts, ["job_id"], "inner")
+    packed = keyed.join(placed.select("_id", "fragment", "fragment_count"), "_id")
     rest = _null_safe(whole, big.select("job_id"), ["job_id"], "left_anti")
     return packed.select(*elements.columns, "fragment", "fragment_count").unionByName(rest)
 
