@@ -34,6 +34,18 @@ def let(value: Column, fn) -> Column:
     return F.transform(F.array(value), fn).getItem(0)
 
 
+def runs_by_size(sizes: list[int], most: int):
+    """(from, to) of consecutive runs whose sizes sum to ``most`` at most; what is larger is a run by itself."""
+    lo, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > lo and held + n > most:
+            yield lo, i
+            lo, held = i, 0
+        held += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
 def split_units(text, split_by: str = "word") -> Column:
     """Split at the delimiter and glue it back onto every unit but the last."""
     if split_by not in DELIMITERS:

@@ -13,13 +13,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.functions.text import runs_by_size
+
 GRAMS = 2000          # trigrams a language keeps
 MARGIN = 0.05         # by which the best language must lead, in mean log share
 COVERED = 0.3         # share of a text's trigrams that the profiles must know
 _FLUSH = 1 << 20
+TAKEN = 1 << 18       # bytes or characters of texts whose trigrams are held at a time
 
 
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,12 +55,12 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
             sums[lang] = new if lang not in sums else sums[lang].add(new, fill_value=0).astype(np.int64)
 
         for batch in batches:
-            pdf = batch.to_pandas()
-            for lang, texts in pdf.groupby("lang")["text"]:
-                gram, _ = trigrams(texts.tolist())
-                held.setdefault(lang, []).append(gram)
-                if sum(map(len, held[lang])) > _FLUSH:
-                    fold(lang)
+            for lo, hi in runs_by_size(pc.binary_length(batch.column("text")).to_pylist(), TAKEN):
+                for lang, texts in batch.slice(lo, hi - lo).to_pandas().groupby("lang")["text"]:
+                    gram, _ = trigrams(texts.tolist())
+                    held.setdefault(lang, []).append(gram)
+                    if sum(map(len, held[lang])) > _FLUSH:
+                        fold(lang)
         for lang in list(held):
             fold(lang)
         for lang, s in sums.items():
@@ -84,8 +88,8 @@ def detector(profiles: DataFrame, margin: float = MARGIN, covered: float = COVER
 
     def detect(texts: pd.Series) -> pd.Series:
         out = []
-        for lo in range(0, len(texts), 512):
-            gram, size = trigrams(texts.iloc[lo:lo + 512].tolist())
+        for lo, hi in runs_by_size([len(t) if isinstance(t, str) else 0 for t in texts], TAKEN):
+            gram, size = trigrams(texts.iloc[lo:hi].tolist())
             if not len(grams):
                 out += ["unknown"] * len(size)
                 continue
