@@ -3,7 +3,7 @@
 No PDF / DOCX / PPTX parser ships with this library (none is installed here). A parser
 is a plain Python function ``parse(content: str, params: dict) -> list[dict]`` returning
 raw pieces (kind, text, page, block, line, span, x1..y2, ...). ``extract_documents``
-runs the parser registered for each document type inside ``mapInPandas`` on the
+runs the parser registered for each document type inside ``mapInArrow`` on the
 executors; failures become error rows, never task failures. Everything after the
 parser (roll-ups, element building) is Spark: :mod:`folio.operators.assemble`.
 """
@@ -17,15 +17,20 @@ from typing import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions.text import runs_by_size
 from folio.operators.assemble import DEPTH_KEYS, _sorted_join
 from folio.operators.metadata import build_image_elements, build_table_elements, build_text_elements, tag_error
 from folio.session import cut_lineage
 
 Parser = Callable[[str, dict], list]
 
+TAKEN = 1 << 22  # bytes of documents that are parsed at a time: their pieces go out before the next ones
+
 RAW_FIELDS = ("piece long, kind string, text string, page int, block int, line int, span int, "
               "x1 double, y1 double, x2 double, y2 double, error string")
 
@@ -47,9 +52,17 @@ DEFAULT_REGISTRY: dict[str, Parser] = {"text": parse_plain_text, "txt": parse_pl
 
 def _run_parsers(registry: dict, params: dict, method: str | None = None, keep: tuple = ()):
     cols = ["kind", "text", "page", "block", "line", "span", "x1", "y1", "x2", "y2"]
+    numbers = {**dict.fromkeys(("page", "block", "line", "span"), pa.int32()), **dict.fromkeys(("x1", "y1", "x2", "y2"), pa.float64())}
+    types = {"piece": pa.int64(), "kind": pa.string(), "text": pa.string(), **numbers, "error": pa.string()}
+
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Schema, pd.DataFrame]]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("content")), 0).to_pylist()
+            for lo, hi in runs_by_size(sizes, TAKEN):
+                yield batch.schema, batch.slice(lo, hi - lo).to_pandas(integer_object_nulls=True)
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given, pdf in taken(batches):
             rows = []
             for job_id, dtype, content, *kept in zip(pdf["job_id"], pdf["document_type"], pdf["content"], *[pdf[f"_{c}"] for c in keep]):
                 own = dict(zip(keep, kept))
@@ -70,7 +83,9 @@ def _run_parsers(registry: dict, params: dict, method: str | None = None, keep:
             out["piece"] = out["piece"].astype("int64")
             for c in ("kind", "text", "error"):
                 out[c] = out[c].astype(object)
-            yield out
+            yield pa.RecordBatch.from_pandas(out, schema=pa.schema([
+                pa.field("job_id", given.field("job_id").type), *[pa.field(c, given.field(f"_{c}").type) for c in keep],
+                *[pa.field(c, t) for c, t in types.items()]]), preserve_index=False)
     return run
 
 
@@ -84,7 +99,7 @@ def extract_documents(jobs: DataFrame, registry: dict | None = None, text: bool
     reg = {**DEFAULT_REGISTRY, **(registry or {})}
     charts = tables if charts is None else charts
     kept = "".join(f"`{c}` {jobs.schema[c].dataType.simpleString()}, " for c in keep)
-    raw = jobs.select("job_id", "document_type", "content", *[F.col(c).alias(f"_{c}") for c in keep]).mapInPandas(
+    raw = jobs.select("job_id", "document_type", "content", *[F.col(c).alias(f"_{c}") for c in keep]).mapInArrow(
         _run_parsers(reg, {"text_depth": text_depth, **params}, method, keep),
         f"job_id {jobs.schema['job_id'].dataType.simpleString()}, {kept}{RAW_FIELDS}")
     kinds = (["text"] if text else []) + (["image"] if images else []) + (["table"] if tables else []) \
