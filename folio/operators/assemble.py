@@ -23,6 +23,7 @@ DEPTH_KEYS = {
 }
 CHART_KEYS = ["caption", "info_deplot", "x_title", "xlabel", "y_title", "ylabel", "legend_label",
               "legend_title", "mark_label", "value_label", "other"]
+ROWS_TASK = 250_000  # rows that a task sorts at a time, or those of its largest group
 # characters escaped by the slide renderer: backslash * ` ! _ { } [ ] ( ) # and the range "+-."
 _ESCAPE_CLASS = "([\\\\*`!_{}\\[\\]()#+,\\-.])"
 
@@ -192,13 +193,22 @@ def apply_text_style(df: DataFrame, style_col: str = "style", text_col: str = "t
     return df.withColumn("styled", F.concat(F.repeat(F.lit("\t"), lvl), styled))
 
 
+def spread(df: DataFrame, keys) -> DataFrame:
+    """``df`` in as many partitions by ``keys`` as leave about ROWS_TASK rows to each, where the session's number of
+    shuffle partitions leaves more; counts ``df``."""
+    n = -(-df.count() // ROWS_TASK)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def render_table(cells: DataFrame, fmt: str = "markdown", scope=("job_id", "table_id"), tag: str = "<table {}>") -> DataFrame:
     """Cells (scope, row, col, text; row 0 = header) -> one rendered table per scope.
 
     markdown: ``| a | b |`` rows under a ``|---|---|`` rule; markdown_light: runs of
     whitespace and of dashes collapsed; csv: header with a leading empty index column,
     data rows prefixed with their 0-based index, fields quoted when needed; tag: ``tag`` with the
-    table's number in its document, from 1, documents being told apart by all of ``scope`` but its last."""
+    table's number in its document, from 1, documents being told apart by all of ``scope`` but its last.
+
+    Cells meet by table in shares of about ROWS_TASK (the cells are counted), rows and tables in the same tasks."""
     scope = list(scope)
     if fmt == "tag":
         tables = cells.select(*scope).distinct()
@@ -207,6 +217,8 @@ def render_table(cells: DataFrame, fmt: str = "markdown", scope=("job_id", "tabl
     cells = cells.withColumn("text", F.coalesce("text", F.lit("")))  # an empty cell keeps its column
     if fmt not in ("markdown", "markdown_light", "csv"):
         raise ValueError("fmt must be markdown, markdown_light, csv or tag")
+    if scope:
+        cells = spread(cells, scope)
     if fmt == "csv":
         q = F.col("text")
         cell = F.when(q.rlike('[,"\\n\\r]'), F.concat(F.lit('"'), F.replace(q, F.lit('"'), F.lit('""')), F.lit('"'))) \
@@ -219,11 +231,12 @@ def render_table(cells: DataFrame, fmt: str = "markdown", scope=("job_id", "tabl
     rows = cells.groupBy(*scope, "row").agg(_sorted_join("text", " | ", ["col"]).alias("_r"),
                                             F.count("*").alias("_n"))
     rows = rows.withColumn("_r", F.concat(F.lit("| "), "_r", F.lit(" |")))
-    hdr = rows.where(F.col("row") == 0).select(*scope, F.concat(
-        F.lit("|"), F.array_join(F.array_repeat(F.lit("---"), F.col("_n").cast("int")), "|"), F.lit("|")).alias("_rule"))
-    rule = hdr.select(*scope, F.lit(0.5).alias("row"), F.col("_rule").alias("_r"))
-    allr = rows.select(*scope, F.col("row").cast("double").alias("row"), "_r").unionByName(rule)
-    out = allr.groupBy(*scope).agg(_sorted_join("_r", "\n", ["row"]).alias("table"))
+    line = F.struct(F.col("row").cast("double").alias("row"), "_r")
+    rule = F.struct(F.lit(0.5).alias("row"), F.concat(
+        F.lit("|"), F.array_join(F.array_repeat(F.lit("---"), F.col("_n").cast("int")), "|"), F.lit("|")).alias("_r"))
+    lines = rows.select(*scope, F.when(F.col("row") == 0, F.array(line, rule)).otherwise(F.array(line)).alias("_l"))
+    in_order = F.array_sort(F.flatten(F.collect_list("_l")))
+    out = lines.groupBy(*scope).agg(F.array_join(F.transform(in_order, lambda x: x["_r"]), "\n").alias("table"))
     if fmt == "markdown_light":
         out = out.withColumn("table", F.regexp_replace(F.regexp_replace("table", "\\s{2,}", " "), "-{2,}", "-"))
     return out

@@ -110,7 +110,7 @@ SELECT table_id, md5(string_agg(r, chr(10) ORDER BY ridx) || chr(10)) AS table_m
                             ELSE text END, ',' ORDER BY col) AS r
   FROM ({CELLS_SQL}) c GROUP BY table_id, ridx) t GROUP BY table_id""")
 def render_table_csv_q(spark, sf_dir):
-    li = tables.load(spark, sf_dir, "lineitem")
+    li = assemble.spread(tables.load(spark, sf_dir, "lineitem"), ["l_orderkey"])
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     rows = li.select(F.col("l_orderkey").alias("table_id"), (F.row_number().over(w) - 1).alias("row"),
                      F.array(F.concat("l_returnflag", F.lit(","), F.col("l_partkey").cast("string")),

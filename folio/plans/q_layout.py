@@ -144,7 +144,7 @@ SELECT table_id, md5(string_agg(r, chr(10) ORDER BY ridx)) AS table_md5 FROM (
   SELECT DISTINCT table_id, 0.5, '|---|---|---|' FROM ({CELLS_SQL}) c) t
 GROUP BY table_id""")
 def render_table_markdown_q(spark, sf_dir):
-    li = tables.load(spark, sf_dir, "lineitem")
+    li = assemble.spread(tables.load(spark, sf_dir, "lineitem"), ["l_orderkey"])
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     rows = li.select(F.col("l_orderkey").alias("table_id"), (F.row_number().over(w) - 1).alias("row"),
                      F.array("l_returnflag", "l_linestatus", F.col("l_partkey").cast("string")).alias("_c"))

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from folio.operators import detect, extract, language, responses, spatial
+from folio.operators import assemble, detect, extract, language, responses, spatial
 
 
 def most_rows(df) -> int:
@@ -98,3 +98,24 @@ def test_items_of_large_jobs_are_ordered_by_thin_rows(spark, monkeypatch):
     got = {(r.job_id, r.pos): (r.fragment, r.fragment_count) for r in responses.fragment_responses(df, 1000).collect()}
     assert seen and not any("metadata" in c for c in seen)
     assert len(got) == 31 and got[None, 0] == (0, 1) and got[1, 0][0] == 0 and got[1, 29][0] == got[1, 29][1] - 1 > 1
+
+
+def test_tables_are_rendered_in_shares_of_their_cells(spark, monkeypatch):
+    monkeypatch.setattr(assemble, "ROWS_TASK", 40)
+    rows = [(t if t != 5 else None, r if t != 9 else r + 1, c, f"{t}.{r}.{c}" if c or r else None) for t in range(90) for r in range(1 + t % 6) for c in range(1 + t % 3)]
+    rows += [(7, None, 0, "x"), (7, None, 1, "y"), (8, -1, 0, "z")]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "t long, row int, col int, text string")
+    want = {}
+    for t in {r[0] for r in rows}:
+        lines = []
+        for row in sorted({r[1] for r in rows if r[0] == t}, key=lambda x: -2 if x is None else x):
+            texts = [r[3] or "" for r in sorted((r for r in rows if r[:2] == (t, row)), key=lambda r: r[2])]
+            lines.append("| " + " | ".join(texts) + " |")
+            if row == 0:
+                lines.append("|" + "|".join(["---"] * len(texts)) + "|")
+        want[t] = "\n".join(lines)
+    found = assemble.render_table(df, scope=("t",))
+    assert {r.t: r.table for r in found.collect()} == want
+    assert found.rdd.getNumPartitions() == -(-len(rows) // 40) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert assemble.render_table(df, "csv", ("t",)).rdd.getNumPartitions() == -(-len(rows) // 40)
