@@ -1,13 +1,14 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, kept in sorted hash arrays.
 
 Counting. Tasks hash the words of training documents, sum the n-grams of a few million tokens
-at a time and send them, packed, to shards: the most frequent words as codes of 16 bits, others as
+at a time and send them, packed, to shards: the most frequent words as codes of 19 bits, others as
 their hashes, so that the packing loses nothing. A shard is a range of n-gram keys; a key's
 leading bits come from its context, so a context's n-grams and its totals meet in one shard.
 Words that hold over 1/512 of all tokens are the exception: contexts made of such words only
 spread over all shards by the whole n-gram, and their totals are summed afterwards (there are
 at most 512 such words, whatever the corpus). Each shard task merges its n-grams, writes
-arrays sorted by key, and passes on, to the shards of the next lower order, how many distinct words
+arrays sorted by key (a key's leading bits are told by its place, its last bytes are kept and
+hold a small count as well), and passes on, to the shards of the next lower order, how many distinct words
 stand before each shorter n-gram. The raw counts of single words travel along.
 
 Scoring. Workers map the arrays from the shared folder and look up the n-grams of a chunk of
@@ -34,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.shared import crc_mod, mounted, shared_path, stage
-from folio.llm.textnum import GRAM, chunks, mix, word_bounds, word_hashes
+from folio.llm.textnum import GRAM, chunks, grams, mix, word_bounds, word_hashes
 
 U = np.uint64
 BOS, END = U(0x0123456789ABCDEF), U(0xFEDCBA9876543210)
 HEAVY = 512
-OFTEN = 1 << 19         # words over 1/OFTEN of a chunk may get a code
-CODES = 0xFFFF          # words with codes; also the code of all others
+CODE_BITS = 19
+CODES = (1 << CODE_BITS) - 1  # words with codes; also the code of all others
+SURVEY_TOKENS = 4_000_000
 CONTEXT_BITS = 20
 FLUSH_TOKENS = 6_000_000
 SHARD_TOKENS = 2_000_000
@@ -113,29 +115,32 @@ def _hash(columns: list[np.ndarray]) -> np.ndarray:
 # ---- packed n-grams -------------------------------------------------------------------------
 
 class Codes:
-    """Codes of 16 bits for the given words, most frequent first."""
+    """Codes of 19 bits for the given words, most frequent first."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
         order_of = np.argsort(words)
-        self.sorted, self.rank = words[order_of], order_of.astype(np.uint16)
+        self.sorted, self.rank = words[order_of], order_of.astype(np.uint32)
+
+    def __reduce__(self):
+        return Codes, (self.words,)
 
     def of(self, column: np.ndarray) -> np.ndarray:
         if not len(self.words):
-            return np.full(len(column), CODES, np.uint16)
+            return np.full(len(column), CODES, np.uint32)
         at = np.minimum(np.searchsorted(self.sorted, column), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == column, self.rank[at], np.uint16(CODES))
+        return np.where(self.sorted[at] == column, self.rank[at], np.uint32(CODES))
 
 
 def pack(columns: list[np.ndarray], codes: list[np.ndarray], count: np.ndarray, raw: np.ndarray) -> bytes:
-    """n-grams with two counts; low and high bytes of codes stand apart, as they compress best so."""
+    """n-grams with two counts; the codes' first, second and third bytes stand apart, as they compress best so."""
     same = bool(np.array_equal(count, raw))
     others = [c[code == CODES] for c, code in zip(columns, codes)]
     head = np.array([len(count), len(columns), same, *(len(o) for o in others)], np.int64)
-    planes = [code.view(np.uint8).reshape(-1, 2).T for code in codes]
+    planes = [code.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T for code in codes]
     parts = [head, *planes, *others, count.astype(np.uint32), *([] if same else [raw.astype(np.uint64)])]
     body = b"".join(p.tobytes() for p in parts)
-    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+    return len(body).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(body, asbytes=True)
 
 
 def unpack(payload: bytes, codes: Codes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -150,10 +155,10 @@ def unpack(payload: bytes, codes: Codes) -> tuple[list[np.ndarray], np.ndarray,
         at += a.nbytes
         return a
 
-    planes = [take(np.uint8, 2 * n).reshape(2, n) for _ in range(k)]
+    planes = [take(np.uint8, 3 * n).reshape(3, n) for _ in range(k)]
     columns = []
     for plane, size in zip(planes, others):
-        code = plane[0] | plane[1].astype(np.uint16) << 8
+        code = plane[0] | plane[1].astype(np.uint32) << 8 | plane[2].astype(np.uint32) << 16
         known = code != CODES
         column = np.empty(n, U)
         column[known] = codes.words[code[known]]
@@ -165,17 +170,18 @@ def unpack(payload: bytes, codes: Codes) -> tuple[list[np.ndarray], np.ndarray,
 
 def _sum_by(order_of: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Rows at which a new value begins in order of ``order_of``, and sums of ``values`` by it."""
-    o = np.argsort(order_of, kind="stable")
+    o = np.argsort(order_of)
     s = order_of[o]
     at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
     return (o[at], *[np.add.reduceat(v[o], at) for v in values])
 
 
-def _send(level: int, columns: list[np.ndarray], count: np.ndarray, raw: np.ndarray, heavy: np.ndarray, codes: Codes, bits: int) -> Iterator[pa.RecordBatch]:
+def _send(level: int, columns: list[np.ndarray], count: np.ndarray, raw: np.ndarray, heavy: np.ndarray, codes: Codes, bits: int,
+          coded: list[np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
     """Summed n-grams as a payload for each of their shards, sorted by the codes of their first words."""
     key, _, _ = keys_of(columns, heavy)
-    coded = [codes.of(c) for c in columns]
-    rank = sum(c.astype(U) << U(48 - 16 * i) for i, c in enumerate(coded[:3])) >> U(bits)
+    coded = coded or [codes.of(c) for c in columns]
+    rank = sum(c.astype(U) << U(64 - CODE_BITS * (i + 1)) for i, c in enumerate(coded[:3])) >> U(bits)
     if bits:
         rank |= key >> U(64 - bits) << U(64 - bits)
     o = np.argsort(rank)
@@ -190,34 +196,115 @@ def _row(level: int, bucket: int, payload: bytes | None = None, ctx: int | None
     return pa.RecordBatch.from_pylist([{"level": level, "bucket": bucket, "payload": payload, "ctx": ctx, "sums": sums}], schema=_ARROW)
 
 
+# ---- sorted keys ----------------------------------------------------------------------------
+
+LEAST_NOTE = 4  # bits of a note at least
+NEAR = 32       # rows that are searched for all keys at once
+
+
+def _layout(n: int, bits: int) -> tuple[int, int]:
+    """(bytes kept of a key, leading bits after the shard's that ``start`` tells) for the least disk."""
+    sizes = [(w, max(0, 64 - bits - 8 * w + LEAST_NOTE)) for w in range(1, 9)]
+    width, told = min(sizes, key=lambda s: (n * s[0] + (4 << s[1]), s[0]))
+    return width, max(told, min(64 - bits, max(1, n >> 4).bit_length() - 1))
+
+
+class Keys:
+    """Sorted keys of a shard, each with a note of a few bits, without the bits that all its keys or
+    its place tell: ``start`` has where the keys with given leading bits begin, ``kept`` what is left."""
+
+    def __init__(self, start: np.ndarray, kept: np.ndarray, bits: int):
+        self.start, n = np.asarray(start), int(start[-1])
+        self.width, self.bits, self.told = (len(kept) - 8) // n if n else 8, bits, (len(start) - 1).bit_length() - 1
+        self.left = 64 - bits - self.told
+        self.note = 8 * self.width - self.left if n else 0
+        # windows of 8 bytes that end with every key's: the low ones are of keys before and change no comparison
+        self.rows, self.low = np.ndarray((n,), "<u8", np.asarray(kept), self.width, (self.width,)), U(64 - 8 * self.width)
+
+    @staticmethod
+    def room(n: int, bits: int) -> int:
+        """Bits of a note."""
+        width, told = _layout(n, bits)
+        return 8 * width - (64 - bits - told)
+
+    @staticmethod
+    def pack(keys: np.ndarray, notes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(start, kept) of sorted distinct keys that share their leading ``bits``."""
+        width, told = _layout(len(keys), bits)
+        left = 64 - bits - told
+        lead = (keys >> U(left) & U((1 << told) - 1)).astype(np.int64) if told else np.zeros(len(keys), np.int64)
+        start = np.concatenate(([0], np.cumsum(np.bincount(lead, minlength=1 << told)))).astype(np.uint32)
+        value = (keys & U((1 << left) - 1)) << U(8 * width - left) | notes.astype(U)
+        kept = np.ascontiguousarray(value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).reshape(-1)
+        return start, np.concatenate((np.zeros(8, np.uint8), kept))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys (of this shard) are held, and their notes."""
+        if not len(self.rows):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        lead = (keys >> U(self.left) & U((1 << self.told) - 1)).astype(np.int64) if self.told else np.zeros(len(keys), np.int64)
+        value = keys << U(64 - self.left)
+        end = self.start[lead + 1].astype(np.int64) - 1
+        at = self.start[lead].astype(np.int64) - 1  # the last row that is known to come before the key
+        most = int((end - at).max(initial=0))
+        for step in (1 << i for i in reversed(range(most.bit_length()))):
+            if step >= NEAR:
+                far = np.flatnonzero(end - at >= NEAR)
+                next_ = np.minimum(at[far] + step, end[far])
+                at[far] = np.where(self.rows[next_] < value[far], next_, at[far])
+            else:
+                next_ = np.minimum(at + step, end)
+                np.copyto(at, next_, where=self.rows[next_] < value)
+        inside = np.flatnonzero(at < end)
+        row = self.rows[at[inside] + 1] >> self.low
+        hit = row >> U(self.note) == value[inside] >> U(64 - self.left)
+        return inside[hit], (row[hit] & U((1 << self.note) - 1)).astype(np.int64)
+
+
 # ---- counting -------------------------------------------------------------------------------
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of a task (word null), and its words over 1/OFTEN of them with their counts."""
+    """Tokens of a task (word null), and the words that come more than twice in some millions of them."""
+    held: list[np.ndarray] = []
+    n = 0
+
+    def flush() -> pa.RecordBatch:
+        word, count = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        often = (count > 2) | (count * HEAVY >= n)
+        found = pa.array(np.append(U(0), word[often]).view(np.int64), mask=np.arange(int(often.sum()) + 1) == 0)
+        return pa.RecordBatch.from_arrays([found, pa.array(np.append(n, count[often]).astype(np.int64))], names=["word", "n"])
+
     for batch in batches:
-        for _, _, buf, offs in chunks(batch.column(0), 8 << 20):
+        for _, _, buf, offs in chunks(batch.column(0), CHUNK):
             p, at, _ = tokens(buf, offs, 1)
-            word, count = np.unique(p[at], return_counts=True)
-            often = (count > 1) & (count * OFTEN >= len(at)) | (count * HEAVY >= len(at))
-            yield pa.RecordBatch.from_arrays([pa.array([None, *word[often].view(np.int64).tolist()], pa.int64()), pa.array([len(at), *count[often].tolist()], pa.int64())],
-                                             names=["word", "n"])
+            held.append(p[at])
+            n += len(at)
+            if n >= SURVEY_TOKENS:
+                yield flush()
+                n = 0
+    if n:
+        yield flush()
 
 
 def _count_task(order: int, heavy: np.ndarray, codes: Codes, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            columns = [np.concatenate([h[j] for h in held]) for j in range(order)]
+            p = np.concatenate([h for h, _ in held])
+            before = np.cumsum([0, *(len(h) for h, _ in held)])
+            begin = np.concatenate([at + b for (_, at), b in zip(held, before)]) - (order - 1)
             held.clear()
-            first, count = _sum_by(_hash(columns), np.ones(len(columns[0]), np.int64))
-            yield from _send(order, [c[first] for c in columns], count, count, heavy, codes, bits)
+            first, count = _sum_by(grams(p, order)[begin], np.ones(len(begin), np.int64))
+            begin, code = begin[first], codes.of(p)
+            yield from _send(order, [p[begin + j] for j in range(order)], count, count, heavy, codes, bits, [code[begin + j] for j in range(order)])
 
         for batch in batches:
             for _, _, buf, offs in chunks(batch.column(0), CHUNK):
                 p, at, _ = tokens(buf, offs, order)
-                held.append([p[at - (order - 1) + j] for j in range(order)])
+                held.append((p, at))
                 n += len(at)
                 if n >= FLUSH_TOKENS:
                     yield from flush()
@@ -235,6 +322,11 @@ def _save(path: str, name: str, array: np.ndarray) -> None:
     os.replace(temporary, os.path.join(path, name))
 
 
+def _save_keys(path: str, name: str, keys: np.ndarray, notes: np.ndarray, bits: int) -> None:
+    for part, array in zip(("start", "kept"), Keys.pack(keys, notes, bits)):
+        _save(path, f"{name}{part}.npy", array)
+
+
 def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: int):
     """Merge the shards of one order, write their arrays, send the next lower order on."""
 
@@ -248,19 +340,25 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         kinds = [int((count == j).sum()) for j in range(1, 5)]
         if level == 1:
             _save(path, f"1-{bucket}-key.npy", key)
-            _save(path, f"1-{bucket}-left.npy", count.astype(np.uint32))
-            _save(path, f"1-{bucket}-raw.npy", raw)
+            _save(path, f"1-{bucket}-left.npy", count.astype(np.min_scalar_type(count.max())))
+            _save(path, f"1-{bucket}-raw.npy", raw.astype(np.min_scalar_type(raw.max())))
             yield _row(0, -1 - bucket, ctx=1, sums=[*kinds, len(key), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
             return
-        _save(path, f"{level}-{bucket}-key.npy", key)
-        _save(path, f"{level}-{bucket}-count.npy", np.minimum(count, 255).astype(np.uint8))
-        many = np.flatnonzero(count >= 255)  # counts that a byte can't hold
+        most = (1 << Keys.room(len(key), bits)) - 1
+        _save_keys(path, f"{level}-{bucket}-key", key, np.minimum(count, most), bits)
+        many = np.flatnonzero(count >= most)  # counts that a note can't hold
         _save(path, f"{level}-{bucket}-many.npy", np.stack((key[many], count[many].astype(U))))
         one, total, n1, n2, n3 = _sum_by(context, count, (count == 1).astype(np.int64), (count == 2).astype(np.int64), (count >= 3).astype(np.int64))
         of, sums = context[one], np.stack((total, n1, n2, n3), axis=1)
         own = ~spread[one]
-        _save(path, f"{level}-{bucket}-ctx.npy", of[own])
         of_own, sums_own = of[own], sums[own]
+        # n1 and n2 of contexts without larger counts make a note if they are small, 0 stands for all others
+        room = Keys.room(len(of_own), bits)
+        half = room // 2
+        small = (sums_own[:, 3] == 0) & (sums_own[:, 1] < 1 << (room - half)) & (sums_own[:, 2] < 1 << half)
+        _save_keys(path, f"{level}-{bucket}-ctx", of_own, np.where(small, sums_own[:, 1] << half | sums_own[:, 2], 0), bits)
+        of_own, sums_own = of_own[~small], sums_own[~small]
+        _save(path, f"{level}-{bucket}-some.npy", of_own)
         _save(path, f"{level}-{bucket}-sums.npy", np.minimum(sums_own, 255).astype(np.uint8))
         wide = np.flatnonzero(sums_own[:, 0] >= 255)  # the total is the largest of the sums
         _save(path, f"{level}-{bucket}-wide.npy", of_own[wide])
@@ -322,11 +420,13 @@ def train(docs: DataFrame, order: int = 2, text_col: str = "text", path: str | N
         if n_often >= CODES:
             least = 2 ** ((r["step"] + 1) / 8)
             break
-    often = words.where((F.col("n") >= least) | (F.col("n") * HEAVY >= n_tokens)).collect()
-    often.sort(key=lambda r: (-r["n"], r["word"]))
+    often = words.where((F.col("n") >= least) | (F.col("n") * HEAVY >= n_tokens)).select("word", "n").toArrow()  # CODES + 511 rows at most
+    word, n = often["word"].to_numpy().astype(np.int64), often["n"].to_numpy()
+    word, n = (x[np.lexsort((word, -n))] for x in (word, n))
+    word = word.view(U)
     # a word over 2/512 of all tokens has over half of them in chunks where it is over 1/512
-    heavy = np.unique(np.append(np.array([r["word"] for r in often if r["n"] * HEAVY >= n_tokens], np.int64).view(U), BOS))
-    codes = Codes(np.array(list(dict.fromkeys([BOS, *np.array([r["word"] for r in often], np.int64).view(U).tolist()]))[:CODES], U))
+    heavy = np.unique(np.append(word[n * HEAVY >= n_tokens], BOS))
+    codes = Codes(np.append(BOS, word[word != BOS])[:CODES])
     bits = max(0, -(-n_tokens // shard_tokens) - 1).bit_length()
 
     rows = texts.mapInArrow(_count_task(order, heavy, codes, bits), ROWS)
@@ -363,16 +463,27 @@ class Arrays:
             self.files[at] = np.load(full, mmap_mode="r") if os.path.exists(full) else None
         return self.files[at]
 
+    def keys(self, level: int, shard: int, name: str) -> Keys | None:
+        at = (level, shard, name)
+        if at not in self.files:
+            start, kept = self.file(level, shard, name + "start"), self.file(level, shard, name + "kept")
+            self.files[at] = None if start is None else Keys(start, kept, self.model.shard_bits)
+        return self.files[at]
+
     def find(self, level: int, index: str, keys: np.ndarray, shards: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(shard, which of the keys it holds, at which rows of its arrays); ``shards`` ascends."""
+        """(shard, which of the keys it holds, at which rows of its arrays or, above level 1, their notes); ``shards`` ascends."""
         at = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1]))) if len(shards) else []
         for lo, hi in zip(at, [*at[1:], len(shards)]):
-            table = self.file(level, int(shards[lo]), index)
-            if table is None or not len(table):
+            table = (self.file if level == 1 else self.keys)(level, int(shards[lo]), index)
+            if table is None:
                 continue
-            row = np.minimum(np.searchsorted(table, keys[lo:hi]), len(table) - 1)
-            hit = np.flatnonzero(table[row] == keys[lo:hi])
-            yield int(shards[lo]), lo + hit, row[hit]
+            if level > 1:
+                hit, note = table.find(keys[lo:hi])
+                yield int(shards[lo]), lo + hit, note
+            elif len(table):
+                row = np.minimum(np.searchsorted(table, keys[lo:hi]), len(table) - 1)
+                hit = np.flatnonzero(table[row] == keys[lo:hi])
+                yield int(shards[lo]), lo + hit, row[hit]
 
     def shard(self, key: np.ndarray) -> np.ndarray:
         bits = self.model.shard_bits
@@ -388,9 +499,8 @@ class Arrays:
     def counts(self, level: int, key: np.ndarray) -> np.ndarray:
         """Counts of sorted n-gram keys."""
         out = np.zeros(len(key), np.int64)
-        for shard, which, row in self.find(level, "key", key, self.shard(key)):
-            c = self.file(level, shard, "count")[row].astype(np.int64)
-            many = np.flatnonzero(c == 255)
+        for shard, which, c in self.find(level, "key", key, self.shard(key)):
+            many = np.flatnonzero(c == (1 << self.keys(level, shard, "key").note) - 1)
             if len(many):
                 table = self.file(level, shard, "many")
                 c[many] = table[1][np.searchsorted(table[0], key[which[many]])]
@@ -401,12 +511,18 @@ class Arrays:
         """(total, n1, n2, n3+) of sorted contexts."""
         out = np.zeros((len(context), 4), np.int64)
         own = np.flatnonzero(~spread)
-        for shard, which, row in self.find(level, "ctx", context[own], self.shard(context[own])):
-            found = self.file(level, shard, "sums")[row].astype(np.int64)
+        for shard, which, note in self.find(level, "ctx", context[own], self.shard(context[own])):
+            half = self.keys(level, shard, "ctx").note // 2
+            n1, n2 = note >> half, note & (1 << half) - 1
+            out[own[which]] = np.stack((n1 + 2 * n2, n1, n2, np.zeros(len(note), np.int64)), axis=1)
+            some = own[which[note == 0]]
+            if not len(some):
+                continue
+            found = self.file(level, shard, "sums")[np.searchsorted(self.file(level, shard, "some"), context[some])].astype(np.int64)
             wide = np.flatnonzero(found[:, 0] == 255)
             if len(wide):
-                found[wide] = self.file(level, shard, "widesums")[np.searchsorted(self.file(level, shard, "wide"), context[own[which[wide]]])]
-            out[own[which]] = found
+                found[wide] = self.file(level, shard, "widesums")[np.searchsorted(self.file(level, shard, "wide"), context[some[wide]])]
+            out[some] = found
         table, sums = self.model.heavy_ctx[level]
         if len(table):
             far = np.flatnonzero(spread)
@@ -432,8 +548,10 @@ def probabilities(arrays: Arrays, p: np.ndarray, at: np.ndarray) -> tuple[np.nda
         key, context, spread = keys_of([p[at - (level - 1) + j] for j in range(level)], m.heavy)
         gram, gram_back = np.unique(key, return_inverse=True)
         count = arrays.counts(level, gram)[gram_back]
-        ctx, first, ctx_back = np.unique(context, return_index=True, return_inverse=True)
-        sums = arrays.contexts(level, ctx, spread[first]).astype(np.float64)
+        ctx, ctx_back = np.unique(context, return_inverse=True)
+        apart = np.zeros(len(ctx), bool)
+        apart[ctx_back] = spread
+        sums = arrays.contexts(level, ctx, apart).astype(np.float64)
         total, rest = sums[:, 0][ctx_back], (sums[:, 1:] @ np.array(m.discounts[level]))[ctx_back]
         seen = total > 0
         prob = np.where(seen, (_less(count, m.discounts[level]) + rest * prob) / np.where(seen, total, 1.0), prob)

@@ -251,6 +251,30 @@ def test_contexts_with_large_totals(spark):
     assert all(abs(r.score - model.score(dict(rows)[r.doc_id])) < 1e-6 for r in got)
 
 
+def test_sorted_keys_take_less_than_hashes_and_lose_nothing():
+    rng = np.random.default_rng(5)
+    for n, bits in ((0, 0), (1, 0), (1, 5), (300, 0), (5000, 3), (200_000, 7)):
+        keys = rng.integers(0, (1 << (64 - bits)) - 1, n, np.uint64, True)
+        if n > 1000:  # many keys in one place
+            keys = np.concatenate((keys, keys[:1] + np.arange(40, dtype=np.uint64), (keys[1] >> np.uint64(16) << np.uint64(16)) + rng.integers(0, 1 << 16, 900, np.uint64)))
+        keys = np.unique(keys & np.uint64((1 << (64 - bits)) - 1))
+        notes = rng.integers(0, 1 << lm.Keys.room(len(keys), bits), len(keys)) if n else np.empty(0, np.int64)
+        shard = np.uint64(5 % (1 << bits) << (64 - bits)) if bits else np.uint64(0)
+        start, kept = lm.Keys.pack(keys | shard, notes, bits)
+        assert n < 200_000 or start.nbytes + kept.nbytes < 6.5 * len(keys)
+        asked = np.unique(np.concatenate((keys, keys + np.uint64(1), rng.integers(0, 1 << 57, 500, np.uint64))) & np.uint64((1 << (64 - bits)) - 1)) | shard
+        which, found = lm.Keys(start, kept, bits).find(asked)
+        assert dict(zip(asked[which].tolist(), found.tolist())) == dict(zip((keys | shard).tolist(), notes.tolist()))
+
+
+def test_arrays_take_few_bytes_for_an_ngram(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(20_000)}" for _ in range(400))) for i in range(400)]
+    model = lm.train(frame(spark, rows), order=3, path=str(tmp_path))
+    size = sum(f.stat().st_size for f in tmp_path.iterdir() if not f.name.startswith("1-"))
+    assert size < 26 * model.tokens  # both orders and the contexts of the higher: 30 bytes with whole hashes
+
+
 def test_model_without_training_texts(spark):
     got = lm.score_held_out(frame(spark, [])).collect()
     assert got == []
