@@ -140,7 +140,7 @@ def pack(columns: list[np.ndarray], codes: list[np.ndarray], count: np.ndarray,
     planes = [code.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T for code in codes]
     parts = [head, *planes, *others, count.astype(np.uint32), *([] if same else [raw.astype(np.uint64)])]
     body = b"".join(p.tobytes() for p in parts)
-    return len(body).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(body, asbytes=True)
+    return len(body).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(body, asbytes=True)
 
 
 def unpack(payload: bytes, codes: Codes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -199,14 +199,14 @@ def _row(level: int, bucket: int, payload: bytes | None = None, ctx: int | None
 # ---- sorted keys ----------------------------------------------------------------------------
 
 LEAST_NOTE = 4  # bits of a note at least
-NEAR = 32       # rows that are searched for all keys at once
+NEAR = 128      # rows that are searched for all keys at once
 
 
 def _layout(n: int, bits: int) -> tuple[int, int]:
     """(bytes kept of a key, leading bits after the shard's that ``start`` tells) for the least disk."""
     sizes = [(w, max(0, 64 - bits - 8 * w + LEAST_NOTE)) for w in range(1, 9)]
     width, told = min(sizes, key=lambda s: (n * s[0] + (4 << s[1]), s[0]))
-    return width, max(told, min(64 - bits, max(1, n >> 4).bit_length() - 1))
+    return width, max(told, min(64 - bits, max(1, n >> 6).bit_length() - 1))
 
 
 class Keys:
@@ -264,14 +264,14 @@ class Keys:
 # ---- counting -------------------------------------------------------------------------------
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of a task (word null), and the words that come more than twice in some millions of them."""
+    """Tokens of a task (word null), and the words that come more than once in some millions of them."""
     held: list[np.ndarray] = []
     n = 0
 
     def flush() -> pa.RecordBatch:
         word, count = np.unique(np.concatenate(held), return_counts=True)
         held.clear()
-        often = (count > 2) | (count * HEAVY >= n)
+        often = (count > 1) | (count * HEAVY >= n)
         found = pa.array(np.append(U(0), word[often]).view(np.int64), mask=np.arange(int(often.sum()) + 1) == 0)
         return pa.RecordBatch.from_arrays([found, pa.array(np.append(n, count[often]).astype(np.int64))], names=["word", "n"])
 
