@@ -340,8 +340,10 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         kinds = [int((count == j).sum()) for j in range(1, 5)]
         if level == 1:
             _save(path, f"1-{bucket}-key.npy", key)
-            _save(path, f"1-{bucket}-left.npy", count.astype(np.min_scalar_type(count.max())))
-            _save(path, f"1-{bucket}-raw.npy", raw.astype(np.min_scalar_type(raw.max())))
+            for name, values in (("left", count), ("raw", raw)):
+                wide = np.flatnonzero(values >= 255)  # rows of numbers that a byte can't hold, and these
+                _save(path, f"1-{bucket}-{name}.npy", np.minimum(values, 255).astype(np.uint8))
+                _save(path, f"1-{bucket}-{name}wide.npy", np.stack((wide, values[wide])))
             yield _row(0, -1 - bucket, ctx=1, sums=[*kinds, len(key), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
             return
         most = (1 << Keys.room(len(key), bits)) - 1
@@ -493,7 +495,13 @@ class Arrays:
         """(distinct words before, raw count) of sorted words."""
         left, raw = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
         for shard, which, row in self.find(1, "key", key, self.shard(key)):
-            left[which], raw[which] = self.file(1, shard, "left")[row], self.file(1, shard, "raw")[row]
+            for out, name in ((left, "left"), (raw, "raw")):
+                found = self.file(1, shard, name)[row].astype(np.int64)
+                wide = np.flatnonzero(found == 255)
+                if len(wide):
+                    table = self.file(1, shard, name + "wide")
+                    found[wide] = table[1][np.searchsorted(table[0], row[wide])]
+                out[which] = found
         return left, raw
 
     def counts(self, level: int, key: np.ndarray) -> np.ndarray:
