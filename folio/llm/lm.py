@@ -9,7 +9,8 @@ spread over all shards by the whole n-gram, and their totals are summed afterwar
 at most 512 such words, whatever the corpus). Each shard task merges its n-grams, writes
 arrays sorted by key (a key's leading bits are told by its place, its last bytes are kept and
 hold a small count as well), and passes on, to the shards of the next lower order, how many distinct words
-stand before each shorter n-gram. The raw counts of single words travel along.
+stand before each shorter n-gram. The raw counts of single words travel along. What goes to the
+next order is staged, and the shuffle files of the order before go.
 
 Scoring. Workers map the arrays from the shared folder and look up the n-grams of a chunk of
 documents at a time, sorted, by binary search. All orders are interpolated down to a uniform
@@ -412,7 +413,7 @@ def train(docs: DataFrame, order: int = 2, text_col: str = "text", path: str | N
     path = mounted(path or shared_path(spark, "lm"))
     os.makedirs(path, exist_ok=True)
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    survey = stage(texts.mapInArrow(_survey, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-survey")
+    survey = stage(texts.mapInArrow(_survey, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-survey", free=True)
     n_tokens = survey.where(F.col("word").isNull()).first()
     n_tokens = int(n_tokens["n"]) if n_tokens else 0
     words = survey.where(F.col("word").isNotNull())
@@ -434,7 +435,9 @@ def train(docs: DataFrame, order: int = 2, text_col: str = "text", path: str | N
     rows = texts.mapInArrow(_count_task(order, heavy, codes, bits), ROWS)
     for level in range(order, 0, -1):
         rows = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_task(level, path, heavy, codes, bits), ROWS)
-    sums = stage(rows.select("level", "ctx", "sums"), "lm-sums")
+        # n-grams of one order are on disk at a time, beside the arrays
+        rows = stage(rows, f"lm-{level}", free=True)
+    sums = rows.select("level", "ctx", "sums")
     total = sums.groupBy("level", "ctx").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(8)]).collect()  # at most 513 ** (order - 1) + order rows
 
     model = Model(path, order, bits, n_tokens, 0, heavy)

@@ -14,6 +14,7 @@ from folio.session import checkpoint_dir
 # A word: a run of characters other than space and the five ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # since Spark 4.1; others ignore it
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,14 +26,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    Cuts the lineage: what follows reads files that survive the loss of any executor.
+    Cuts the lineage: what follows reads files that survive the loss of any executor. ``free``: the
+    shuffle files of the write go as it ends, else they stay until the driver collects its garbage.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    if free:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free and before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        elif free:
+            spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def mounted(path: str) -> str:

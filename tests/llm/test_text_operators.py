@@ -3,7 +3,9 @@
 import json
 import math
 import random
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from brute import HARD_TEXTS, KneserNey, lower, near_components, words
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from folio.llm import components, lm, minhash, pieces, quality, rans, textnum, token_files
+from folio.llm import components, lm, minhash, pieces, quality, rans, shared, textnum, token_files
 from folio.llm.shared import shared_path
 
 BYTE_BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -275,6 +277,43 @@ def test_arrays_take_few_bytes_for_an_ngram(spark, tmp_path):
     assert size < 26 * model.tokens  # both orders and the contexts of the higher: 30 bytes with whole hashes
 
 
+def test_ngrams_of_one_order_are_on_disk_at_a_time(spark, monkeypatch):
+    folders = [Path(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+    shuffles = lambda: {f.name.split("_")[1] for d in folders for f in d.rglob("shuffle_*.data")}
+    staged = []
+
+    def stage(df, name, **how):
+        before, out = shuffles(), shared.stage(df, name, **how)
+        until = time.time() + 10
+        while shuffles() - before and time.time() < until:  # they go in the background
+            time.sleep(0.1)
+        staged.append((name, shuffles() - before))
+        return out
+
+    monkeypatch.setattr(lm, "stage", stage)
+    rows = [(i, f"the cat {i % 7} saw the dog {i % 5} of x{i}") for i in range(400)]
+    model = lm.train(frame(spark, rows), order=3, shard_tokens=500)
+    assert model.shard_bits > 0
+    assert staged == [("lm-survey", set()), ("lm-3", set()), ("lm-2", set()), ("lm-1", set())]
+    brute = KneserNey([t for _, t in rows], 3)
+    assert all(abs(r.score - brute.score(dict(rows)[r.doc_id])) < 1e-6 for r in lm.score(frame(spark, rows), model).collect())
+
+
+def test_freed_shuffles_are_a_matter_of_one_write(spark):
+    docs = spark.range(100).repartition(3)
+    for value in (None, "false", "true"):
+        if value:
+            spark.conf.set(shared.FREE_SHUFFLES, value)
+        try:
+            before = spark.conf.get(shared.FREE_SHUFFLES, None)
+            assert sorted(r.id for r in shared.stage(docs, "freed", free=True).collect()) == list(range(100))
+            with pytest.raises(Exception, match="mended"):
+                shared.stage(docs.select(F.raise_error(F.lit("mended"))), "failed", free=True)
+            assert spark.conf.get(shared.FREE_SHUFFLES, None) == before
+        finally:
+            spark.conf.unset(shared.FREE_SHUFFLES)
+
+
 def test_model_without_training_texts(spark):
     got = lm.score_held_out(frame(spark, [])).collect()
     assert got == []
