@@ -48,6 +48,7 @@ CONTEXT_BITS = 20
 FLUSH_TOKENS = 6_000_000
 SHARD_TOKENS = 2_000_000
 CHUNK = 2 << 20
+SLICE = 1 << 18  # n-grams whose keys are made at a time
 _LOW = U((1 << (64 - CONTEXT_BITS)) - 1)
 ROWS = "level int, bucket int, payload binary, ctx long, sums array<long>"
 _ARROW = pa.schema([("level", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary()), ("ctx", pa.int64()), ("sums", pa.list_(pa.int64()))])
@@ -99,11 +100,15 @@ def keys_of(columns: list[np.ndarray], heavy: np.ndarray) -> tuple[np.ndarray, n
     k = len(columns)
     if k == 1:
         return columns[0], np.zeros(len(columns[0]), U), np.zeros(len(columns[0]), bool)
-    whole, context = _hash(columns), _hash(columns[:-1])
-    spread = _is_in(columns[0], heavy)
-    for c in columns[1:-1]:
-        spread &= _is_in(c, heavy)
-    return np.where(spread, whole, (context & ~_LOW) | (whole & _LOW)), context, spread
+    n = len(columns[0])
+    key, context, spread = np.empty(n, U), np.empty(n, U), np.empty(n, bool)
+    for at in (slice(lo, lo + SLICE) for lo in range(0, n, SLICE)):
+        part = [c[at] for c in columns]
+        whole, context[at], spread[at] = _hash(part), _hash(part[:-1]), _is_in(part[0], heavy)
+        for c in part[1:-1]:
+            spread[at] &= _is_in(c, heavy)
+        key[at] = np.where(spread[at], whole, (context[at] & ~_LOW) | (whole & _LOW))
+    return key, context, spread
 
 
 def _hash(columns: list[np.ndarray]) -> np.ndarray:
@@ -169,28 +174,37 @@ def unpack(payload: bytes, codes: Codes) -> tuple[list[np.ndarray], np.ndarray,
     return columns, count, count if same else take(U, n).astype(np.int64)
 
 
-def _sum_by(order_of: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows at which a new value begins in order of ``order_of``, and sums of ``values`` by it."""
+def _runs(order_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorting order, and the places in it at which a new value begins."""
     o = np.argsort(order_of)
     s = order_of[o]
-    at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    return o, np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+
+
+def _sum_by(order_of: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows at which a new value begins in order of ``order_of``, and sums of ``values`` by it."""
+    o, at = _runs(order_of)
     return (o[at], *[np.add.reduceat(v[o], at) for v in values])
 
 
 def _send(level: int, columns: list[np.ndarray], count: np.ndarray, raw: np.ndarray, heavy: np.ndarray, codes: Codes, bits: int,
           coded: list[np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
     """Summed n-grams as a payload for each of their shards, sorted by the codes of their first words."""
-    key, _, _ = keys_of(columns, heavy)
+    key = keys_of(columns, heavy)[0]
     coded = coded or [codes.of(c) for c in columns]
-    rank = sum(c.astype(U) << U(64 - CODE_BITS * (i + 1)) for i, c in enumerate(coded[:3])) >> U(bits)
-    if bits:
-        rank |= key >> U(64 - bits) << U(64 - bits)
+    rank = np.empty(len(key), U)
+    for at in (slice(lo, lo + SLICE) for lo in range(0, len(key), SLICE)):
+        rank[at] = sum(c[at].astype(U) << U(64 - CODE_BITS * (i + 1)) for i, c in enumerate(coded[:3])) >> U(bits)
+        if bits:
+            rank[at] |= key[at] >> U(64 - bits) << U(64 - bits)
+    del key
     o = np.argsort(rank)
-    shard = (key[o] >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
-    columns, coded, count, raw = [c[o] for c in columns], [c[o] for c in coded], count[o], raw[o]
-    at = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
-    for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(key)]):
-        yield _row(level, int(shard[lo]), pack([c[lo:hi] for c in columns], [c[lo:hi] for c in coded], count[lo:hi], raw[lo:hi]))
+    ends = np.searchsorted(rank, np.arange(1, 1 << bits, dtype=U) << U(64 - bits), sorter=o).tolist() if bits else []
+    del rank
+    for shard, (lo, hi) in enumerate(zip([0, *ends], [*ends, len(o)])):
+        if lo < hi:
+            at = o[lo:hi]
+            yield _row(level, shard, pack([c[at] for c in columns], [c[at] for c in coded], count[at], raw[at]))
 
 
 def _row(level: int, bucket: int, payload: bytes | None = None, ctx: int | None = None, sums: list[int] | None = None) -> pa.RecordBatch:
@@ -298,9 +312,13 @@ def _count_task(order: int, heavy: np.ndarray, codes: Codes, bits: int):
             before = np.cumsum([0, *(len(h) for h, _ in held)])
             begin = np.concatenate([at + b for (_, at), b in zip(held, before)]) - (order - 1)
             held.clear()
-            first, count = _sum_by(grams(p, order)[begin], np.ones(len(begin), np.int64))
-            begin, code = begin[first], codes.of(p)
-            yield from _send(order, [p[begin + j] for j in range(order)], count, count, heavy, codes, bits, [code[begin + j] for j in range(order)])
+            o, at = _runs(grams(p, order)[begin])
+            begin, count = begin[o[at]], np.diff(at, append=len(o))
+            del o, at
+            code = codes.of(p)
+            columns, coded = [p[begin + j] for j in range(order)], [code[begin + j] for j in range(order)]
+            del p, begin, code
+            yield from _send(order, columns, count, count, heavy, codes, bits, coded)
 
         for batch in batches:
             for _, _, buf, offs in chunks(batch.column(0), CHUNK):
@@ -335,6 +353,7 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         parts = [unpack(p, codes) for p in payloads]
         columns = [np.concatenate([p[0][j] for p in parts]) for j in range(level)]
         count, raw = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        del parts
         key, context, spread = keys_of(columns, heavy)
         first, count, raw = _sum_by(key, count, raw)
         columns, key, context, spread = [c[first] for c in columns], key[first], context[first], spread[first]

@@ -4,6 +4,7 @@ import json
 import math
 import random
 import time
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -314,6 +315,29 @@ def test_freed_shuffles_are_a_matter_of_one_write(spark):
             spark.conf.unset(shared.FREE_SHUFFLES)
 
 
+def test_sending_leaves_its_columns_as_they_are():
+    rng = np.random.default_rng(4)
+    codes = lm.Codes(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    for k, bits in ((1, 0), (1, 3), (2, 3), (3, 0)):
+        columns, count = [rng.choice(codes.words, 2000) for _ in range(k)], rng.integers(1, 9, 2000)
+        kept = [c.copy() for c in columns]
+        sent = [lm.unpack(b.column(2)[0].as_py(), codes) for b in lm._send(k, columns, count, count, np.empty(0, np.uint64), codes, bits)]
+        assert all(np.array_equal(a, b) for a, b in zip(columns, kept))
+        assert sorted(np.concatenate([s[0][0] for s in sent]).tolist()) == sorted(kept[0].tolist())
+
+
+def test_counting_takes_few_bytes_for_a_token():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(map(str, rng.integers(0, 50_000, 1000))) for _ in range(2000)]
+    codes = lm.Codes(np.append(lm.BOS, rng.integers(0, 1 << 63, 1000, dtype=np.uint64)))
+    tracemalloc.start()
+    for _ in lm._count_task(3, np.array([lm.BOS]), codes, 4)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130 * 2_002_000  # 158 with whole arrays of all that comes in between
+
+
 def test_model_without_training_texts(spark):
     got = lm.score_held_out(frame(spark, [])).collect()
     assert got == []
