@@ -10,7 +10,9 @@ at most 512 such words, whatever the corpus). Each shard task merges its n-grams
 arrays sorted by key (a key's leading bits are told by its place, its last bytes are kept and
 hold a small count as well), and passes on, to the shards of the next lower order, how many distinct words
 stand before each shorter n-gram. The raw counts of single words travel along. What goes to the
-next order is staged, and the shuffle files of the order before go.
+next order is staged, and the shuffle files of the order before go. The shards grow in number with
+the corpus, as each has to fit a worker's memory; their files are joined, so that a worker that
+scores maps some 1,500 files at order 3, whatever the corpus.
 
 Scoring. Workers map the arrays from the shared folder and look up the n-grams of a chunk of
 documents at a time, sorted, by binary search. All orders are interpolated down to a uniform
@@ -26,9 +28,11 @@ and score one by one; very long texts are read whole; other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +53,9 @@ FLUSH_TOKENS = 6_000_000
 SHARD_TOKENS = 2_000_000
 CHUNK = 2 << 20
 SLICE = 1 << 18  # n-grams whose keys are made at a time
+MERGE_ROWS = 3_000_000  # n-grams of a shard that are merged at a time, unless more of them are distinct
+FILE_BITS = 6           # files of a kind are 64 at most: each that is mapped is an open file
+BATCH_BYTES = 1 << 20
 _LOW = U((1 << (64 - CONTEXT_BITS)) - 1)
 ROWS = "level int, bucket int, payload binary, ctx long, sums array<long>"
 _ARROW = pa.schema([("level", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary()), ("ctx", pa.int64()), ("sums", pa.list_(pa.int64()))])
@@ -69,6 +76,10 @@ class Model:
     unigram_left: float = 0.0                           # mass that order 1 leaves to the uniform share
     heavy_ctx: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
 
+    @property
+    def file_bits(self) -> int:
+        return min(self.shard_bits, FILE_BITS)
+
 
 # ---- tokens ---------------------------------------------------------------------------------
 
@@ -211,6 +222,26 @@ def _row(level: int, bucket: int, payload: bytes | None = None, ctx: int | None
     return pa.RecordBatch.from_pylist([{"level": level, "bucket": bucket, "payload": payload, "ctx": ctx, "sums": sums}], schema=_ARROW)
 
 
+def _sums_rows(level: int, bucket: int, ctx: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    n, wide = sums.shape
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * wide), pa.array(sums.reshape(-1)))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, level, np.int32)), pa.array(np.full(n, bucket, np.int32)), pa.nulls(n, pa.binary()),
+                                       pa.array(ctx.view(np.int64)), lists.cast(_ARROW.field("sums").type)], schema=_ARROW)
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, about ``BATCH_BYTES`` of them at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BATCH_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 # ---- sorted keys ----------------------------------------------------------------------------
 
 LEAST_NOTE = 4  # bits of a note at least
@@ -243,9 +274,9 @@ class Keys:
         return 8 * width - (64 - bits - told)
 
     @staticmethod
-    def pack(keys: np.ndarray, notes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, kept) of sorted distinct keys that share their leading ``bits``."""
-        width, told = _layout(len(keys), bits)
+    def pack(keys: np.ndarray, notes: np.ndarray, bits: int, n: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(start, kept) of sorted distinct keys that share their leading ``bits``, laid out as ``n`` keys if given."""
+        width, told = _layout(len(keys) if n is None else n, bits)
         left = 64 - bits - told
         lead = (keys >> U(left) & U((1 << told) - 1)).astype(np.int64) if told else np.zeros(len(keys), np.int64)
         start = np.concatenate(([0], np.cumsum(np.bincount(lead, minlength=1 << told)))).astype(np.uint32)
@@ -326,37 +357,50 @@ def _count_task(order: int, heavy: np.ndarray, codes: Codes, bits: int):
                 held.append((p, at))
                 n += len(at)
                 if n >= FLUSH_TOKENS:
-                    yield from flush()
+                    yield from _together(flush())
                     n = 0
         if n:
-            yield from flush()
+            yield from _together(flush())
 
     return run
 
 
-def _save(path: str, name: str, array: np.ndarray) -> None:
-    temporary = os.path.join(path, f".{name}-{os.getpid()}-{os.urandom(4).hex()}")
+def _save(path: str, name: str, *pieces: np.ndarray, once: bool = False) -> None:
+    """Write arrays, one after another, as one file. ``once``: a file that is there already stays as it is."""
+    temporary, final = os.path.join(path, f".{name}-{os.getpid()}-{os.urandom(4).hex()}"), os.path.join(path, name)
+    shape, kind = (sum(map(len, pieces)), *pieces[0].shape[1:]), np.lib.format.dtype_to_descr(pieces[0].dtype)
     with open(temporary, "wb") as f:
-        np.save(f, array)
-    os.replace(temporary, os.path.join(path, name))
+        np.lib.format.write_array_header_1_0(f, {"descr": kind, "fortran_order": False, "shape": shape})
+        for piece in pieces:
+            f.write(np.ascontiguousarray(piece).data)
+    if once and os.path.exists(final):
+        os.remove(temporary)
+    else:
+        os.replace(temporary, final)
 
 
-def _save_keys(path: str, name: str, keys: np.ndarray, notes: np.ndarray, bits: int) -> None:
-    for part, array in zip(("start", "kept"), Keys.pack(keys, notes, bits)):
+def _save_keys(path: str, name: str, keys: np.ndarray, notes: np.ndarray, bits: int, n: int | None) -> None:
+    for part, array in zip(("start", "kept"), Keys.pack(keys, notes, bits, n)):
         _save(path, f"{name}{part}.npy", array)
 
 
-def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: int):
-    """Merge the shards of one order, write their arrays, send the next lower order on."""
+Part = tuple[list[np.ndarray], np.ndarray, np.ndarray]
+
+
+def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: int, n: int | None = None):
+    """Merge the shards of one order, write their arrays (all laid out as those of ``n`` keys if given), send the next lower order on."""
 
-    def merge(bucket: int, payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(p, codes) for p in payloads]
+    def summed(parts: list[Part]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each n-gram of the parts once, by its key: words, counts, raw counts, key, context hash, whether that is spread. Empties ``parts``."""
         columns = [np.concatenate([p[0][j] for p in parts]) for j in range(level)]
         count, raw = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
-        del parts
+        parts.clear()
         key, context, spread = keys_of(columns, heavy)
         first, count, raw = _sum_by(key, count, raw)
-        columns, key, context, spread = [c[first] for c in columns], key[first], context[first], spread[first]
+        return [c[first] for c in columns], count, raw, key[first], context[first], spread[first]
+
+    def merge(bucket: int, parts: list[Part]) -> Iterator[pa.RecordBatch]:
+        columns, count, raw, key, context, spread = summed(parts)
         kinds = [int((count == j).sum()) for j in range(1, 5)]
         if level == 1:
             _save(path, f"1-{bucket}-key.npy", key)
@@ -366,8 +410,8 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
                 _save(path, f"1-{bucket}-{name}wide.npy", np.stack((wide, values[wide])))
             yield _row(0, -1 - bucket, ctx=1, sums=[*kinds, len(key), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
             return
-        most = (1 << Keys.room(len(key), bits)) - 1
-        _save_keys(path, f"{level}-{bucket}-key", key, np.minimum(count, most), bits)
+        most = (1 << Keys.room(n or len(key), bits)) - 1
+        _save_keys(path, f"{level}-{bucket}-key", key, np.minimum(count, most), bits, n)
         many = np.flatnonzero(count >= most)  # counts that a note can't hold
         _save(path, f"{level}-{bucket}-many.npy", np.stack((key[many], count[many].astype(U))))
         one, total, n1, n2, n3 = _sum_by(context, count, (count == 1).astype(np.int64), (count == 2).astype(np.int64), (count >= 3).astype(np.int64))
@@ -375,10 +419,10 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         own = ~spread[one]
         of_own, sums_own = of[own], sums[own]
         # n1 and n2 of contexts without larger counts make a note if they are small, 0 stands for all others
-        room = Keys.room(len(of_own), bits)
+        room = Keys.room(n or len(of_own), bits)
         half = room // 2
         small = (sums_own[:, 3] == 0) & (sums_own[:, 1] < 1 << (room - half)) & (sums_own[:, 2] < 1 << half)
-        _save_keys(path, f"{level}-{bucket}-ctx", of_own, np.where(small, sums_own[:, 1] << half | sums_own[:, 2], 0), bits)
+        _save_keys(path, f"{level}-{bucket}-ctx", of_own, np.where(small, sums_own[:, 1] << half | sums_own[:, 2], 0), bits, n)
         of_own, sums_own = of_own[~small], sums_own[~small]
         _save(path, f"{level}-{bucket}-some.npy", of_own)
         _save(path, f"{level}-{bucket}-sums.npy", np.minimum(sums_own, 255).astype(np.uint8))
@@ -386,8 +430,8 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         _save(path, f"{level}-{bucket}-wide.npy", of_own[wide])
         _save(path, f"{level}-{bucket}-widesums.npy", sums_own[wide].astype(np.uint32))
         yield _row(0, -1 - bucket, ctx=level, sums=[*kinds, len(key), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
-        for c, s in zip(of[~own].view(np.int64).tolist(), sums[~own].tolist()):
-            yield _row(-level, -1 - bucket, ctx=c, sums=s)
+        if not own.all():
+            yield _sums_rows(-level, -1 - bucket, of[~own], sums[~own])
         shorter = columns[1:]
         # an n-gram that begins a text has no word before it and keeps its count
         left = np.where(shorter[0] == BOS, raw, 1) if level > 2 else np.ones(len(key), np.int64)
@@ -395,20 +439,69 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         yield from _send(level - 1, [c[first] for c in shorter], left, raw, heavy, codes, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, payloads = None, []
+        bucket, parts, held, once = None, [], 0, 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                if batch.column(0)[i].as_py() != level:
-                    yield batch.slice(i, 1)
-                    continue
-                b = batch.column(1)[i].as_py()
-                if b != bucket and payloads:
-                    yield from merge(bucket, payloads)
-                    payloads = []
+            for b, payload in zip(batch.column(1).to_pylist(), batch.column(2)):
+                if b != bucket and parts:
+                    yield from _together(merge(bucket, parts))
+                    parts, held, once = [], 0, 0
                 bucket = b
-                payloads.append(batch.column(2)[i].as_py())
-        if payloads:
-            yield from merge(bucket, payloads)
+                parts.append(unpack(payload.as_py(), codes))
+                held += len(parts[-1][1])
+                if held >= MERGE_ROWS + 2 * once:  # the n-grams of a frequent word come from all shards above
+                    parts = [summed(parts)[:3]]
+                    held = once = len(parts[0][1])
+        if parts:
+            yield from _together(merge(bucket, parts))
+
+    return run
+
+
+def _shards(path: str, level: int) -> str:
+    """Where the files of an order's shards are until they are joined."""
+    return os.path.join(path, f"shards-{level}")
+
+
+def _join_task(level: int, path: str, bits: int, n: int):
+    """Join the files of neighbouring shards: one of each kind for all that share their leading ``FILE_BITS``."""
+    folder, each = _shards(path, level), bits - FILE_BITS
+    kinds = ("left", "leftwide", "raw", "rawwide", "key") if level == 1 else (
+        "keystart", "keykept", "many", "ctxstart", "ctxkept", "some", "sums", "wide", "widesums")
+
+    def load(kind: str, shards: list[int]) -> list[np.ndarray]:
+        return [np.load(os.path.join(folder, f"{level}-{s}-{kind}.npy"), mmap_mode="r") for s in shards]
+
+    def joined(kind: str, shards: range, held: list[int]) -> list[np.ndarray]:
+        found = load(kind, held)
+        if kind.endswith("start"):
+            start, rows, pieces = dict(zip(held, found)), 0, []
+            for s in shards:
+                pieces.append(start[s][:-1] + np.uint32(rows) if s in start else np.full(1 << _layout(n, bits)[1], rows, np.uint32))
+                rows += int(start[s][-1]) if s in start else 0
+            return [*pieces, np.array([rows], np.uint32)]
+        if kind.endswith("kept"):
+            return [np.zeros(8, np.uint8), *(k[8:] for k in found)]
+        if kind == "many":
+            return [np.concatenate(found, axis=1)]
+        if kind.endswith("wide") and level == 1:  # numbers of rows, and what is there
+            before = np.cumsum([0, *map(len, load("key", held))])
+            return [np.concatenate([np.stack((f[0] + b, f[1])) for f, b in zip(found, before)], axis=1)]
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in (g for batch in batches for g in batch.column(0).to_pylist()):
+            shards = range(group << each, (group + 1) << each)
+            held = [s for s in shards if os.path.exists(os.path.join(folder, f"{level}-{s}-key{'' if level == 1 else 'kept'}.npy"))]
+            try:
+                for kind in kinds if held else ():
+                    _save(path, f"{level}-{group}-{kind}.npy", *joined(kind, shards, held), once=True)
+            except FileNotFoundError:  # another run of this task is done with the group
+                if not all(os.path.exists(os.path.join(path, f"{level}-{group}-{kind}.npy")) for kind in kinds):
+                    raise
+            for file in (os.path.join(folder, f"{level}-{s}-{kind}.npy") for s in shards for kind in kinds):
+                with contextlib.suppress(FileNotFoundError):
+                    os.remove(file)
+        yield from ()
 
     return run
 
@@ -451,12 +544,20 @@ def train(docs: DataFrame, order: int = 2, text_col: str = "text", path: str | N
     codes = Codes(np.append(BOS, word[word != BOS])[:CODES])
     bits = max(0, -(-n_tokens // shard_tokens) - 1).bit_length()
 
-    rows = texts.mapInArrow(_count_task(order, heavy, codes, bits), ROWS)
+    rows, sums = texts.mapInArrow(_count_task(order, heavy, codes, bits), ROWS), []
+    n = max(1, n_tokens >> bits) if bits > FILE_BITS else None  # files that are joined have one layout
     for level in range(order, 0, -1):
-        rows = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_task(level, path, heavy, codes, bits), ROWS)
+        folder = path if n is None else _shards(path, level)
+        os.makedirs(folder, exist_ok=True)
+        shards = rows.where(F.col("level") == level).repartition("bucket").sortWithinPartitions("bucket")
         # n-grams of one order are on disk at a time, beside the arrays
-        rows = stage(rows, f"lm-{level}", free=True)
-    sums = rows.select("level", "ctx", "sums")
+        rows = stage(shards.mapInArrow(_merge_task(level, folder, heavy, codes, bits, n), ROWS), f"lm-{level}", free=True)
+        sums.append(rows.where(F.col("level") <= 0).select("level", "ctx", "sums"))
+        if n is not None:
+            spark.range(0, 1 << FILE_BITS, 1, 1 << FILE_BITS).mapInArrow(_join_task(level, path, bits, n), "id long").collect()  # no rows
+            with contextlib.suppress(OSError):
+                os.rmdir(folder)
+    sums = reduce(DataFrame.unionByName, sums)
     total = sums.groupBy("level", "ctx").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(8)]).collect()  # at most 513 ** (order - 1) + order rows
 
     model = Model(path, order, bits, n_tokens, 0, heavy)
@@ -491,7 +592,7 @@ class Arrays:
         at = (level, shard, name)
         if at not in self.files:
             start, kept = self.file(level, shard, name + "start"), self.file(level, shard, name + "kept")
-            self.files[at] = None if start is None else Keys(start, kept, self.model.shard_bits)
+            self.files[at] = None if start is None else Keys(start, kept, self.model.file_bits)
         return self.files[at]
 
     def find(self, level: int, index: str, keys: np.ndarray, shards: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -510,7 +611,7 @@ class Arrays:
                 yield int(shards[lo]), lo + hit, row[hit]
 
     def shard(self, key: np.ndarray) -> np.ndarray:
-        bits = self.model.shard_bits
+        bits = self.model.file_bits
         return (key >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
 
     def words(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

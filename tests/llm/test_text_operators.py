@@ -2,7 +2,9 @@
 
 import json
 import math
+import os
 import random
+import resource
 import time
 import tracemalloc
 import zlib
@@ -300,6 +302,43 @@ def test_ngrams_of_one_order_are_on_disk_at_a_time(spark, monkeypatch):
     assert all(abs(r.score - brute.score(dict(rows)[r.doc_id])) < 1e-6 for r in lm.score(frame(spark, rows), model).collect())
 
 
+def test_open_files_do_not_grow_with_the_shards(spark):
+    for n, shard_tokens in ((400, 30), (30, 2)):  # all shards have n-grams; some have none
+        rows = [(i, f"the cat {i % 7} saw the dog {i % 5} of x{i} the x{i % 90} cat") for i in range(n)]
+        model = lm.train(frame(spark, rows), order=3, shard_tokens=shard_tokens)
+        assert model.shard_bits > 6 and len(model.heavy_ctx[3][0])
+        names = os.listdir(model.path)
+        assert len(names) <= 64 * 23 and not [f for f in names if f.startswith((".", "shards"))]
+        limit = resource.getrlimit(resource.RLIMIT_NOFILE)
+        resource.setrlimit(resource.RLIMIT_NOFILE, (len(os.listdir("/proc/self/fd")) + 64 * 23 + 10, limit[1]))
+        try:  # 23 files a shard before
+            texts = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows]), pa.array([i for i, _ in rows])], names=["_text", "doc_id"])
+            got = pa.Table.from_batches(lm._score_task(model)(iter([texts]))).to_pylist()
+        finally:
+            resource.setrlimit(resource.RLIMIT_NOFILE, limit)
+        brute = KneserNey([t for _, t in rows], 3)
+        assert len(got) == n and all(abs(r["score"] - brute.score(dict(rows)[r["doc_id"]])) < 1e-6 for r in got)
+
+
+def test_shards_merged_in_turns_are_the_same(tmp_path, monkeypatch):
+    rng = np.random.default_rng(9)
+    codes, heavy = lm.Codes(rng.integers(0, 1 << 63, 40, dtype=np.uint64)), np.array([lm.BOS])
+    sent = []
+    for _ in range(12):
+        columns = [rng.choice(codes.words, 300) for _ in range(2)]
+        sent += lm._send(2, columns, rng.integers(1, 4, 300), rng.integers(1, 9, 300), heavy, codes, 0)
+    out = []
+    for name, rows in (("whole", 1 << 30), ("turns", 200)):
+        monkeypatch.setattr(lm, "MERGE_ROWS", rows)
+        (tmp_path / name).mkdir()
+        made = pa.Table.from_batches(lm._merge_task(2, str(tmp_path / name), heavy, codes, 0)(iter(sent))).to_pylist()
+        grams = [(r["level"], lm.unpack(r["payload"], codes)) for r in made if r["payload"]]
+        sums = [r for r in made if not r["payload"]]
+        out.append(([(k, sorted(zip(*(c.tolist() for c in g[0]), g[1].tolist(), g[2].tolist()))) for k, g in grams], sums,
+                    {f.name: f.read_bytes() for f in (tmp_path / name).iterdir()}))
+    assert out[0] == out[1] and len(out[0][2]) == 9
+
+
 def test_freed_shuffles_are_a_matter_of_one_write(spark):
     docs = spark.range(100).repartition(3)
     for value in (None, "false", "true"):
