@@ -101,9 +101,13 @@ def tokens(buf: np.ndarray, offs: np.ndarray, order: int) -> tuple[np.ndarray, n
 
 
 def _is_in(x: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(x), bool)
-    return table[np.minimum(np.searchsorted(table, x), len(table) - 1)] == x
+    near = np.zeros(1 << 16, bool)  # by leading bits: most words share them with none of the table
+    near[table >> U(48)] = True
+    out = near[x >> U(48)]
+    at = np.flatnonzero(out)
+    if len(at):
+        out[at] = table[np.minimum(np.searchsorted(table, x[at]), len(table) - 1)] == x[at]
+    return out
 
 
 def keys_of(columns: list[np.ndarray], heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,15 +142,28 @@ class Codes:
         self.words = words
         order_of = np.argsort(words)
         self.sorted, self.rank = words[order_of], order_of.astype(np.uint32)
+        # where the words with given leading bits begin: mostly there are one or none
+        lead = (self.sorted >> U(64 - CODE_BITS - 1)).astype(np.int64)
+        self.start = np.concatenate(([0], np.cumsum(np.bincount(lead, minlength=1 << CODE_BITS + 1)))).astype(np.uint32)
 
     def __reduce__(self):
         return Codes, (self.words,)
 
     def of(self, column: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(column), CODES, np.uint32)
-        at = np.minimum(np.searchsorted(self.sorted, column), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == column, self.rank[at], np.uint32(CODES))
+        out = np.full(len(column), CODES, np.uint32)
+        for lo in range(0, len(column), SLICE):
+            part = column[lo:lo + SLICE]
+            lead = (part >> U(64 - CODE_BITS - 1)).astype(np.int64)
+            at, end = self.start[lead], self.start[lead + 1]
+            left = np.flatnonzero(at < end)
+            at, end, word = at[left], end[left], part[left]
+            while len(left):
+                hit = self.sorted[at] == word
+                out[lo + left[hit]] = self.rank[at[hit]]
+                at += np.uint32(1)
+                on = np.flatnonzero(~hit & (at < end))
+                left, at, end, word = left[on], at[on], end[on], word[on]
+        return out
 
 
 def pack(columns: list[np.ndarray], codes: list[np.ndarray], count: np.ndarray, raw: np.ndarray) -> bytes:
@@ -397,7 +414,9 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         parts.clear()
         key, context, spread = keys_of(columns, heavy)
         first, count, raw = _sum_by(key, count, raw)
-        return [c[first] for c in columns], count, raw, key[first], context[first], spread[first]
+        for j in range(level):
+            columns[j] = columns[j][first]
+        return columns, count, raw, key[first], context[first], spread[first]
 
     def merge(bucket: int, parts: list[Part]) -> Iterator[pa.RecordBatch]:
         columns, count, raw, key, context, spread = summed(parts)
@@ -417,6 +436,7 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         one, total, n1, n2, n3 = _sum_by(context, count, (count == 1).astype(np.int64), (count == 2).astype(np.int64), (count >= 3).astype(np.int64))
         of, sums = context[one], np.stack((total, n1, n2, n3), axis=1)
         own = ~spread[one]
+        del key, context, spread, one, total, n1, n2, n3
         of_own, sums_own = of[own], sums[own]
         # n1 and n2 of contexts without larger counts make a note if they are small, 0 stands for all others
         room = Keys.room(n or len(of_own), bits)
@@ -429,14 +449,18 @@ def _merge_task(level: int, path: str, heavy: np.ndarray, codes: Codes, bits: in
         wide = np.flatnonzero(sums_own[:, 0] >= 255)  # the total is the largest of the sums
         _save(path, f"{level}-{bucket}-wide.npy", of_own[wide])
         _save(path, f"{level}-{bucket}-widesums.npy", sums_own[wide].astype(np.uint32))
-        yield _row(0, -1 - bucket, ctx=level, sums=[*kinds, len(key), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
+        yield _row(0, -1 - bucket, ctx=level, sums=[*kinds, len(count), int(count.sum()), int((count >= 3).sum()), int(raw.sum())])
         if not own.all():
             yield _sums_rows(-level, -1 - bucket, of[~own], sums[~own])
+        del of, sums, own, of_own, sums_own, small, count
         shorter = columns[1:]
+        del columns
         # an n-gram that begins a text has no word before it and keeps its count
-        left = np.where(shorter[0] == BOS, raw, 1) if level > 2 else np.ones(len(key), np.int64)
+        left = np.where(shorter[0] == BOS, raw, 1) if level > 2 else np.ones(len(raw), np.int64)
         first, left, raw = _sum_by(shorter[0] if level == 2 else _hash(shorter), left, raw)
-        yield from _send(level - 1, [c[first] for c in shorter], left, raw, heavy, codes, bits)
+        shorter = [c[first] for c in shorter]
+        del first
+        yield from _send(level - 1, shorter, left, raw, heavy, codes, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, held, once = None, [], 0, 0

@@ -339,6 +339,18 @@ def test_shards_merged_in_turns_are_the_same(tmp_path, monkeypatch):
     assert out[0] == out[1] and len(out[0][2]) == 9
 
 
+def test_words_are_found_among_those_that_share_leading_bits():
+    rng = np.random.default_rng(11)
+    near = (np.uint64(7) << np.uint64(44)) + np.arange(9, dtype=np.uint64)  # one place in the index
+    words_ = np.unique(np.concatenate((near, rng.integers(0, (1 << 64) - 1, 3000, np.uint64, True), [np.uint64(0), np.uint64((1 << 64) - 1)])))
+    rng.shuffle(words_)
+    held, asked = words_[:2000], np.concatenate((words_, near + np.uint64(9)))
+    for table in (held, held[:0]):
+        code = {w: i for i, w in enumerate(table.tolist())}
+        assert lm.Codes(table).of(asked).tolist() == [code.get(w, lm.CODES) for w in asked.tolist()]
+        assert lm._is_in(asked, np.sort(table)).tolist() == [w in code for w in asked.tolist()]
+
+
 def test_freed_shuffles_are_a_matter_of_one_write(spark):
     docs = spark.range(100).repartition(3)
     for value in (None, "false", "true"):
